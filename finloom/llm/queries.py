@@ -6,13 +6,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.llm import bpe, quality_rules, secret_scan
+from finloom.llm import bpe, line_dedup, media, quality_rules, secret_scan, source_mix, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = media.write_archives(_table(spark, sf_dir, "documents"))
+    return media.media_features(media.read_archives(spark, manifest))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_warc(_table(spark, sf_dir, "pages"))
+    return warc.read_warc(manifest, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode_documents(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -31,6 +49,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix_sources(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies"
+    )
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
     base = [k for k in secret_scan.KINDS[:3]]
@@ -45,4 +69,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op6_bpe, op8_quality_rules, op10_secret_scan)}
+    found = (
+        op2_media_columns,
+        op4_warc,
+        op5_line_dedup,
+        op6_bpe,
+        op8_quality_rules,
+        op9_source_mix,
+        op10_secret_scan,
+    )
+    return {f.__name__: f for f in found}
