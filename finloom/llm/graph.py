@@ -1,0 +1,55 @@
+"""Connected components of a graph too large for one machine."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from finloom.llm.common import materialise
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Every larger neighbour of a vertex is tied to the smallest neighbour."""
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    low = both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("low"))
+    return (
+        both.join(low, F.col("a") == F.col("v"))
+        .where(F.col("b") > F.col("a"))
+        .select(F.col("b").alias("a"), F.least("a", "low").alias("b"))
+        .distinct()
+    )
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """A vertex and its smaller neighbours are tied to the smallest of them."""
+    low = edges.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("low"))
+    tied = edges.join(low, F.col("a") == F.col("v"))
+    return (
+        tied.where(F.col("b") != F.col("low"))
+        .select(F.col("b").alias("a"), F.col("low").alias("b"))
+        .unionByName(low.select(F.col("v").alias("a"), F.col("low").alias("b")))
+        .distinct()
+    )
+
+
+def components(links: DataFrame) -> DataFrame:
+    """vertex and root, its component's smallest vertex, for all vertices with a
+    link but the roots.
+
+    links: columns a and b of one orderable type, no nulls; loops, repeats and
+    either direction are allowed.  Large and small stars alternate until
+    nothing changes: each round keeps as many edges at most and shrinks
+    distances; every table is written, so a lost executor costs one round.
+    """
+    edges = materialise(
+        links.where(F.col("a") != F.col("b"))
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        .distinct(),
+        "components-0",
+    )
+    sign = (F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)))
+    before, n = None, 0
+    while before != (now := tuple(edges.agg(*sign).first())):
+        before, n = now, n + 1
+        edges = materialise(_small_star(_large_star(edges)), f"components-{n}")
+    return edges.select(F.col("a").alias("vertex"), F.col("b").alias("root"))

@@ -6,18 +6,41 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.llm import bpe, line_dedup, media, quality_rules, secret_scan, source_mix, warc
+from finloom.llm import (
+    bpe,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    media,
+    quality_rules,
+    secret_scan,
+    source_mix,
+    substring_dedup,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_copies", "n_links", "keeper"
+    )
+
+
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = media.write_archives(_table(spark, sf_dir, "documents"))
     return media.media_features(media.read_archives(spark, manifest))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_warc(_table(spark, sf_dir, "pages"))
     return warc.read_warc(manifest, payloads=False).select(
@@ -42,6 +65,17 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+    each = "concat_ws(':', x.license, x.start, x.end, x.matched, x.words)"
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join(F.array_sort(F.array_distinct("licenses.license")), ",").alias("licenses"),
+        F.expr(f"concat_ws(',', transform(licenses, x -> {each}))").alias("spans"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -70,12 +104,17 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     found = (
+        op1_jaccard_join,
         op2_media_columns,
+        op3_substring_dedup,
         op4_warc,
         op5_line_dedup,
         op6_bpe,
+        op7_license_scan,
         op8_quality_rules,
         op9_source_mix,
         op10_secret_scan,
     )
-    return {f.__name__: f for f in found}
+    import corpus_pipeline
+
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
