@@ -62,38 +62,45 @@ def run_hashes(hashes: np.ndarray, run: int) -> np.ndarray:
     return total ^ (total >> np.uint64(29))
 
 
-def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+def _sliding_min(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest of every ``width`` consecutive values and its first place."""
     have = 1
-    low = values
+    low, place = values, np.arange(len(values))
     while have < width:
         step = min(have, width - have)
-        low = np.minimum(low[: len(low) - step], low[step:])
+        later = low[step:] < low[: len(low) - step]
+        place = np.where(later, place[step:], place[: len(place) - step])
+        low = np.where(later, low[step:], low[: len(low) - step])
         have += step
-    return low
+    return low, place
 
 
 def super_kmers(texts: list[list[bytes]], window: int = WINDOW, run: int = RUN) -> tuple[np.ndarray, ...]:
     """Super-k-mers of texts given as words: the number of the text, the
-    minimiser, the first word and the number of windows of each."""
+    minimiser, the first word, the number of windows, and whether the minimiser
+    has several places, so that windows of this one may be equal."""
     lengths = np.array([len(x) for x in texts], np.int64)
     hashes = word_hashes([w for x in texts for w in x])
     if len(hashes) < window:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.int64, np.int64))
-    low = _sliding_min(run_hashes(hashes, run), window - run + 1)
+        return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.int64, np.int64, bool))
+    low, place = _sliding_min(run_hashes(hashes, run), window - run + 1)
     text_of = np.repeat(np.arange(len(texts)), lengths)
     starts = np.cumsum(lengths) - lengths
     whole = np.flatnonzero(text_of[: len(low)] == text_of[window - 1 :])
-    low = low[whole]
+    if not len(whole):
+        return super_kmers([], window, run)
+    low, place = low[whole], place[whole]
     new = np.ones(len(whole), bool)
     new[1:] = (low[1:] != low[:-1]) | (whole[1:] != whole[:-1] + 1)
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(whole)))
+    several = place[first] != place[first + count - 1]
     pieces = -(-count // STRING_WINDOWS)
     nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     first = np.repeat(first, pieces) + nth * STRING_WINDOWS
     count = np.minimum(np.repeat(count, pieces) - nth * STRING_WINDOWS, STRING_WINDOWS)
     at = whole[first]
-    return text_of[at], low[first], at - starts[text_of[at]], count
+    return text_of[at], low[first], at - starts[text_of[at]], count, np.repeat(several, pieces)
 
 
 def repeated_windows(strings: list[tuple[bytes, int]], window: int = WINDOW) -> dict[bytes, list[int]]:
@@ -228,26 +235,27 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> D
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], packed], ["doc_id", "row_hash", "packed_text"])
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "row_hash", "minimiser", "start", "n_windows"]
+        names = ["doc_id", "row_hash", "minimiser", "start", "n_windows", "several"]
         for batch in rows(batches):
-            text, minimiser, start, n = super_kmers([x.split() for x in batch.column(2).to_pylist()], window, run)
+            text, minimiser, start, n, several = super_kmers([x.split() for x in batch.column(2).to_pylist()], window, run)
             at = pa.array(text)
             columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(minimiser.view(np.int64))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], names)
+            columns += [pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(several)]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     packed = plain.mapInArrow(pack, "doc_id long, row_hash long, packed_text binary")
-    found = plain.mapInArrow(places, "doc_id long, row_hash long, minimiser long, start int, n_windows int")
+    found = plain.mapInArrow(places, "doc_id long, row_hash long, minimiser long, start int, n_windows int, several boolean")
     counts = (
         found.groupBy("minimiser")
-        .agg(F.count("*").alias("n"), F.max("n_windows").alias("most"))
-        .where("n > 1")
+        .agg(F.count("*").alias("n"), F.max("several").alias("several"))
+        .where("n > 1 OR several")
         .select(F.col("minimiser").alias("c_minimiser"), "n")
     )
     # Places of one text travel together to fetch its words.
     wanted = (
         found.join(counts, F.col("minimiser") == F.col("c_minimiser"))
         .groupBy("doc_id", "row_hash", "minimiser", "start")
-        .agg(F.max("n_windows").alias("n_windows"), F.max("n").alias("n"), F.count("*").alias("times"))
+        .agg(F.max("n_windows").alias("n_windows"), F.max("n").alias("n"))
         .groupBy("doc_id", "row_hash")
         .agg(F.collect_list(F.struct("minimiser", "start", "n_windows", "n")).alias("places"))
     )
