@@ -159,7 +159,7 @@ def _bucket_counts(strings: DataFrame, window: int) -> DataFrame:
         def close() -> None:
             distinct = [(k, len(v)) for k, v in held.items()]
             for packed, starts in repeated_windows(distinct, window).items():
-                for first, n in _runs(starts):
+                for first, n in _runs(sorted(starts)):
                     found.extend((doc_id, row_hash, at + first, n) for doc_id, row_hash, at in held[packed])
 
         for batch in batches:
