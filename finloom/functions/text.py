@@ -82,7 +82,7 @@ def is_japanese(text: Column) -> Column:
 
 def clean_lines(text: Column) -> Column:
     """Lines trimmed, empty ones dropped."""
-    return F.array_join(F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != ""), "\n")
+    return F.array_join(F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != ""), "\n")
 
 
 def truncated(text: Column, most: int, suffix: str = "...") -> Column:

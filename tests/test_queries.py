@@ -1,16 +1,15 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 
 import finloom.plans  # noqa: F401
 import finloom.streaming  # noqa: F401
 from finloom.plans.catalog import QUERIES, SQL
-import os
-
 from tests.conftest import SMALL as _SMALL
 from tests.oracle import connect, differences
 
-
 #: Tables to run on; the driver compares at sf0.01.
 SMALL = os.environ.get("QUERY_SF_DIR", _SMALL)
 
