@@ -2,44 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from finloom.storage import materialise, shared_dir  # noqa: F401  used by the operators
+
 #: A word: a run of characters other than space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``, which all executors share.
-
-    Only a session without that setting (as in tests, where driver and
-    executors are one process) gets a folder of the local machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.gettempdir() + "/checkpoints"
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
-
-    Cuts the lineage with a copy that survives the loss of executors, and
-    makes several consumers share one computation.
-    """
-    spark = df.sparkSession
-    path = shared_dir(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The store that holds ``uri`` and the path in it (a plain path is local)."""
     if not urlparse(uri).scheme:
