@@ -204,8 +204,9 @@ def _spread_counts(strings: DataFrame, window: int) -> DataFrame:
     windows = materialise(
         distinct.mapInArrow(cut, "string binary, n long, offset int, digest binary"), "substring-windows"
     )
-    repeated = (
-        windows.groupBy("digest").agg(F.sum("n").alias("total")).where("total > 1").select(F.col("digest").alias("r_digest"))
+    repeated = materialise(
+        windows.groupBy("digest").agg(F.sum("n").alias("total")).where("total > 1").select(F.col("digest").alias("r_digest")),
+        "substring-repeated",
     )
     offsets = windows.join(repeated, F.col("digest") == F.col("r_digest")).select(F.col("string").alias("o_string"), "offset")
     return strings.join(offsets, F.col("string") == F.col("o_string")).select(
@@ -245,11 +246,13 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> D
 
     packed = plain.mapInArrow(pack, "doc_id long, row_hash long, packed_text binary")
     found = plain.mapInArrow(places, "doc_id long, row_hash long, minimiser long, start int, n_windows int, several boolean")
-    counts = (
+    # Written, so that adaptive execution can split the join where a minimiser is hot.
+    counts = materialise(
         found.groupBy("minimiser")
         .agg(F.count("*").alias("n"), F.max("several").alias("several"))
         .where("n > 1 OR several")
-        .select(F.col("minimiser").alias("c_minimiser"), "n")
+        .select(F.col("minimiser").alias("c_minimiser"), "n"),
+        "substring-minimisers",
     )
     # Places of one text travel together to fetch its words.
     wanted = (
