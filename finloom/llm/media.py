@@ -164,9 +164,9 @@ def fetch_member(opened, place: str, offset: int, size: int, crc: int, attempts:
             if len(data) != size or zlib.crc32(data) != crc:
                 raise OSError("the member is damaged or cut short")
             return data
-        except (OSError, struct.error):
+        except (OSError, struct.error) as e:
             if attempt + 1 == attempts:
-                raise
+                raise OSError(f"member at {offset} of {place}: {e}") from e
             time.sleep(wait * 2**attempt)
     raise ValueError("attempts must be positive")
 
@@ -191,7 +191,9 @@ class ArchiveReader(DataSourceReader):
             for start in range(0, size, self.range_bytes)
         ]
 
-    def read(self, partition: ArchiveRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: ArchiveRange | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # Spark's call for a plan without partitions
+            return
         fs, place = filesystem(partition.archive)
         files: dict[str, pa.NativeFile] = {}
 
