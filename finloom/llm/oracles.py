@@ -1,7 +1,91 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express.
+
+The others (images, tokens, alignments, random rounding, checksums) are held
+against brute-force versions in the tests.
+"""
 
 from __future__ import annotations
 
+from finloom.llm import jaccard_join, line_dedup, quality_rules, substring_dedup, warc
+
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+_JACCARD = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+g AS (SELECT DISTINCT doc_id, md5(array_to_string(words[i:i + {jaccard_join.NGRAM - 1}], ' ')) AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - {jaccard_join.NGRAM - 2}))) AS i FROM w WHERE len(words) > 0)),
+s AS (SELECT doc_id, md5(string_agg(gram, ',' ORDER BY gram)) AS key, count(*) AS size FROM g GROUP BY 1),
+c AS (SELECT key, min(doc_id) AS rep, any_value(size) AS size, count(*) AS n_copies FROM s GROUP BY 1),
+h AS (SELECT key, gram, size FROM c JOIN g ON g.doc_id = c.rep),
+p AS (SELECT a.key AS a, b.key AS b FROM h a JOIN h b ON a.gram = b.gram AND a.key <> b.key
+  GROUP BY a.key, b.key HAVING count(*) >= {jaccard_join.THRESHOLD} * (any_value(a.size) + any_value(b.size) - count(*)) - 1e-9),
+r AS (SELECT key AS root, key FROM c UNION SELECT r.root, p.b FROM r JOIN p ON r.key = p.a),
+m AS (SELECT r.root AS key, min(c.rep) AS class_id FROM r JOIN c ON c.key = r.key GROUP BY 1),
+l AS (SELECT p.a AS key, sum(c.n_copies) AS linked FROM p JOIN c ON c.key = p.b GROUP BY 1)
+SELECT d.doc_id, coalesce(m.class_id, d.doc_id) AS class_id, CAST(coalesce(c.n_copies, 1) AS BIGINT) AS n_copies,
+  CAST(coalesce(c.n_copies - 1, 0) + coalesce(l.linked, 0) AS BIGINT) AS n_links, coalesce(m.class_id, d.doc_id) = d.doc_id AS keeper
+FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN c ON c.key = s.key LEFT JOIN m ON m.key = s.key LEFT JOIN l ON l.key = s.key"""
+
+_SUBSTRING = f"""
+WITH w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(words[i:i + {substring_dedup.WINDOW - 1}], ' ')) AS k
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - {substring_dedup.WINDOW - 2})) AS i FROM w)),
+r AS (SELECT k FROM g GROUP BY 1 HAVING count(*) > 1),
+s AS (SELECT doc_id, i AS pos, true AS start FROM g WHERE k IN (SELECT k FROM r)),
+u AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM w),
+c AS (SELECT u.doc_id, word, pos, bool_or(coalesce(start, false)) OVER (PARTITION BY u.doc_id ORDER BY pos
+  ROWS BETWEEN {substring_dedup.WINDOW - 1} PRECEDING AND CURRENT ROW) AS gone FROM u LEFT JOIN s USING (doc_id, pos)),
+a AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept FROM c GROUP BY 1)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN a USING (doc_id)"""
+
+_WARC = f"""
+WITH d AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= {warc.MIN_REVISIT_BYTES} GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to FROM d LEFT JOIN f USING (payload_digest)"""
+
+_LINES = f"""
+WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(lines[i:i + {line_dedup.WINDOW - 1}], chr(10))) AS k
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) - {line_dedup.WINDOW - 2})) AS i FROM l)),
+s AS (SELECT doc_id, i AS pos, true AS start FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS place FROM g) WHERE place > 1),
+u AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM l),
+c AS (SELECT u.doc_id, line, pos, bool_or(coalesce(start, false)) OVER (PARTITION BY u.doc_id ORDER BY pos
+  ROWS BETWEEN {line_dedup.WINDOW - 1} PRECEDING AND CURRENT ROW) AS gone FROM u LEFT JOIN s USING (doc_id, pos))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256 FROM c GROUP BY 1"""
+
+_QUALITY = f"""
+WITH w AS (SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
+g AS (SELECT doc_id, i, array_to_string(words[i:i + 2], ' ') AS k FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+s AS (SELECT doc_id, i AS pos, count(*) OVER (PARTITION BY doc_id, k) > 1 AS twice FROM g),
+u AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM w),
+v AS (SELECT u.doc_id, word, bool_or(coalesce(twice, false)) OVER (PARTITION BY u.doc_id ORDER BY pos ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS again
+  FROM u LEFT JOIN s USING (doc_id, pos)),
+a AS (SELECT doc_id, count(*) AS n_words, CAST(sum(length(word)) AS BIGINT) AS word_chars, count(*) FILTER (again) AS n_repeat_words FROM v GROUP BY 1),
+l AS (SELECT doc_id, source, text, line, {_WORDS.replace("coalesce(text, '')", 'line')} AS parts
+  FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM w)),
+k AS (SELECT *, lower(array_to_string(parts, ' ')) AS norm FROM l WHERE len(parts) > 0),
+n AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM k GROUP BY 1),
+f AS (SELECT source, norm, count(DISTINCT text) AS docs FROM k GROUP BY 1, 2),
+t AS (SELECT source, count(DISTINCT text) AS docs FROM w GROUP BY 1),
+b AS (SELECT f.source, f.norm FROM f JOIN t ON f.source IS NOT DISTINCT FROM t.source
+  WHERE f.docs > {quality_rules.LINE_DOCS} AND f.docs > {quality_rules.LINE_SHARE} * t.docs),
+x AS (SELECT doc_id, CAST(sum(len(parts)) AS BIGINT) AS gone FROM k SEMI JOIN b ON k.source IS NOT DISTINCT FROM b.source AND k.norm = b.norm GROUP BY 1),
+q AS (SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+    CAST(len(regexp_extract_all(w.text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(gone, 0) AS n_boilerplate_words
+  FROM w LEFT JOIN a ON a.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN x ON x.doc_id = w.doc_id),
+z AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEATED_PCT} * n_words AS base_failed FROM q)
+SELECT *, NOT base_failed AND n_words - n_boilerplate_words >= {quality_rules.MIN_LEFT_SHARE} * n_words AS kept FROM z"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_jaccard_join": _JACCARD,
+        "op3_substring_dedup": _SUBSTRING,
+        "op4_warc": _WARC,
+        "op5_line_dedup": _LINES,
+        "op8_quality_rules": _QUALITY,
+    }
