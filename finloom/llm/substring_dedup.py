@@ -254,13 +254,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> D
         .select(F.col("minimiser").alias("c_minimiser"), "n"),
         "substring-minimisers",
     )
-    # Places of one text travel together to fetch its words.
+    # Places of one text travel together to fetch its words; rows that repeat one
+    # id and text have the same places.
     wanted = (
         found.join(counts, F.col("minimiser") == F.col("c_minimiser"))
-        .groupBy("doc_id", "row_hash", "minimiser", "start")
-        .agg(F.max("n_windows").alias("n_windows"), F.max("n").alias("n"))
         .groupBy("doc_id", "row_hash")
-        .agg(F.collect_list(F.struct("minimiser", "start", "n_windows", "n")).alias("places"))
+        .agg(F.collect_set(F.struct("minimiser", "start", "n_windows", "n")).alias("places"))
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
