@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.functions import ids
+from finloom.functions import ids, text
+from finloom.functions.finance import magnitude
 from finloom.operators import chains, dedup, graph, similarity
 from finloom.plans.catalog import query
 from finloom.session import table
@@ -299,6 +300,90 @@ def map_web_research(documents: DataFrame) -> Graph:
     )
 
 
+def map_topic_discovery(sessions: DataFrame) -> Graph:
+    """suggestions (rank, topic, category, rationale, total, key_points,
+    suggested_symbols) to recommendations, topics and symbols; trends (query,
+    key_findings) to facts.  Ids are names within the session."""
+    s = sessions.select("session_id", F.inline("suggestions"))
+    claim = F.concat(F.lit("ts:"), F.col("session_id"), F.lit(":rank"), F.coalesce("rank", F.lit(0)).cast("string"))
+    topic = F.when(given(F.col("category")), F.concat(F.lit("content:"), F.col("category")))
+    said = F.concat_ws(": ", "topic", F.when(given(F.col("rationale")), F.col("rationale")))
+    symbols = s.select(claim.alias("claim"), F.explode("suggested_symbols").alias("symbol"))
+    symbol = F.concat(F.lit("symbol:"), F.col("symbol"))
+    trends = sessions.select("session_id", F.posexplode("trends").alias("i", "t"))
+    findings = trends.select("session_id", "i", F.col("t.query").alias("query"), F.posexplode("t.key_findings").alias("j", "finding"))
+    fact = F.concat_ws(":", F.lit("trend"), "session_id", F.col("i").cast("string"), F.col("j").cast("string"))
+    return Graph(
+        union([
+            _nodes(sessions, "Source", F.col("session_id"), F.col("session_id"), suggestions=F.size("suggestions")),
+            _nodes(s, "Topic", topic, F.col("category")),
+            _nodes(s, "Claim", claim, said, magnitude=magnitude(F.coalesce("total", F.lit(0))), key_points=F.to_json(F.coalesce("key_points", F.array().cast("array<string>")))),
+            _nodes(symbols, "Entity", symbol, F.col("symbol"), entity_type=F.when(F.col("symbol").startswith("^"), "index").otherwise("stock")),
+            _nodes(findings, "Fact", fact, F.col("finding"), query=F.col("query")),
+        ]),
+        union([
+            _edges(s, F.col("session_id"), claim, "MAKES_CLAIM"),
+            _edges(s, claim, topic, "TAGGED"),
+            _edges(symbols, F.col("claim"), symbol, "ABOUT"),
+            _edges(findings, F.col("session_id"), fact, "STATES_FACT"),
+        ]),
+    )
+
+
+def map_wealth_blogs(batches: DataFrame, backfill: bool) -> Graph:
+    """themes (key to name_en, keywords_en and articles of url, title, domain,
+    summary) to topics and sources, tagged where a keyword is in the title.  A
+    backfill adds the domains; otherwise summaries become claims."""
+    t = batches.select(F.explode("themes").alias("key", "t"))
+    topic = ids.keyed_id("topic", F.col("t.name_en"), F.lit("wealth-management"))
+    a = t.select("t", F.explode("t.articles").alias("a")).where(given(F.col("a.url")))
+    source = ids.source_id(F.col("a.url"))
+    low = F.lower(F.coalesce("a.title", F.lit("")))
+    tagged = a.where(F.exists("t.keywords_en", lambda k: F.contains(low, F.lower(k))))
+    nodes = [
+        _nodes(t, "Topic", topic, F.col("t.name_en"), key=F.col("key")),
+        _nodes(a, "Source", source, F.col("a.title"), url=F.col("a.url"), source_type=F.lit("blog")),
+    ]
+    edges = [_edges(tagged, source, topic, "TAGGED")]
+    if backfill:
+        named = a.where(given(F.col("a.domain")))
+        nodes.append(_nodes(named, "Entity", ids.keyed_id("entity", F.col("a.domain"), F.lit("domain")), F.col("a.domain"), entity_type=F.lit("domain")))
+    else:
+        told = a.where(given(F.col("a.summary")))
+        claim = ids.content_id(F.col("a.summary"))
+        nodes.append(_nodes(told, "Claim", claim, F.col("a.summary")))
+        edges.append(_edges(told, source, claim, "MAKES_CLAIM"))
+    return Graph(union(nodes), union(edges))
+
+
+def map_creator(documents: DataFrame, entity_types: tuple[str, ...]) -> Graph:
+    """contents (kind, content, topic, about_entities of name and entity_type) of
+    a genre to facts, tips and stories with their topics and entities;
+    entity_relations (from_entity, to_entity as ``name::type``) to edges.
+    Entities of other types, and relations with an end that no content
+    mentions, are dropped."""
+    c = documents.select("genre_id", F.inline("contents")).where(given(F.col("content")))
+    own = ids.content_id(F.col("content"), length=8)
+    topic = F.when(given(F.col("topic")), ids.content_id(F.concat_ws(":", F.lit("topic"), text.slug(F.col("topic")), "genre_id"), length=8))
+    e = c.select("genre_id", own.alias("own"), F.inline("about_entities")).withColumn("entity_type", F.lower(F.trim("entity_type")))
+    e = e.withColumn("name", F.trim("name")).where(given(F.col("name")) & F.col("entity_type").isin(*entity_types))
+    entity = ids.keyed_id("entity", F.col("name"), F.col("entity_type"))
+    known = e.select(F.concat_ws("::", "name", "entity_type").alias("key"), entity.alias("id")).distinct()
+    links = documents.select(F.inline("entity_relations")).select(F.col("from_entity").alias("from_key"), F.col("to_entity").alias("to_key"))
+    return Graph(
+        union([
+            _nodes(c, "Content", own, F.col("content"), kind=F.col("kind")),
+            _nodes(c, "Topic", topic, F.col("topic"), genre=F.col("genre_id")),
+            _nodes(e, "Entity", entity, F.col("name"), entity_type=F.col("entity_type")),
+        ]),
+        union([
+            _edges(c, own, topic, "ABOUT"),
+            _edges(e, F.col("own"), entity, "MENTIONS"),
+            similarity.resolve_endpoints(links, known).distinct().withColumn("type", F.lit("RELATES_TO")),
+        ]),
+    )
+
+
 #: Commands and the mappers that take their documents.
 MAPPERS = {
     "finance-news": map_news,
@@ -309,6 +394,9 @@ MAPPERS = {
     "pdf-extraction": map_extraction,
     "academic": map_papers,
     "web-research": map_web_research,
+    "topic-discovery": map_topic_discovery,
+    "wealth-scrape": map_wealth_blogs,
+    "creator-enrichment": map_creator,
 }
 
 

@@ -124,3 +124,43 @@ def test_web_research(spark):
     bad = ("s", [("http://a", "t", "rumour")], [], [])
     with pytest.raises(Exception, match="unknown authority: rumour"):
         mappers.map_web_research(spark.createDataFrame([bad], schema)).nodes.collect()
+
+
+def test_topic_discovery(spark):
+    schema = (
+        "session_id string, suggestions array<struct<rank:int,topic:string,category:string,rationale:string,total:int,key_points:array<string>,suggested_symbols:array<string>>>, "
+        "trends array<struct<query:string,key_findings:array<string>>>"
+    )
+    rows = [("s", [(1, "T", "etf", "why", 41, ["k"], ["^N225", "AAPL"]), (2, "U", "", None, None, None, ["AAPL"])], [("q", ["f0", "f1"]), ("r", None)]), ("t", None, None)]
+    g = mappers.map_topic_discovery(spark.createDataFrame(rows, schema))
+    assert labels(g) == {"Source": 2, "Topic": 1, "Claim": 2, "Entity": 2, "Fact": 2}
+    assert edges(g, "ABOUT") == {("ts:s:rank1", "symbol:^N225"), ("ts:s:rank1", "symbol:AAPL"), ("ts:s:rank2", "symbol:AAPL")}
+    assert edges(g, "STATES_FACT") == {("s", "trend:s:0:0"), ("s", "trend:s:0:1")}
+    assert edges(g, "TAGGED") == {("ts:s:rank1", "content:etf")}
+    claim = {r.id: r for r in g.nodes.where("label = 'Claim'").collect()}
+    assert claim["ts:s:rank1"].name == "T: why" and '"magnitude":"strong"' in claim["ts:s:rank1"].props
+    assert claim["ts:s:rank2"].name == "U" and '"key_points":"[]"' in claim["ts:s:rank2"].props
+
+
+def test_wealth_blogs(spark):
+    schema = "themes map<string,struct<name_en:string,keywords_en:array<string>,articles:array<struct<url:string,title:string,domain:string,summary:string>>>>"
+    articles = [("http://a/1", "Index Funds", "a", "sum"), ("http://a/2", "Other", "a", ""), (None, "Index", "b", "x")]
+    docs = spark.createDataFrame([({"k": ("Funds", ["index"], articles)},)], schema)
+    back, new = mappers.map_wealth_blogs(docs, True), mappers.map_wealth_blogs(docs, False)
+    assert labels(back) == {"Topic": 1, "Source": 2, "Entity": 1}
+    assert labels(new) == {"Topic": 1, "Source": 2, "Claim": 1}
+    assert edges(back, "TAGGED") == {(u5("http://a/1"), u5("topic:Funds:wealth-management"))}
+    assert {s for s, _ in edges(new, "MAKES_CLAIM")} == {u5("http://a/1")}
+
+
+def test_creator(spark):
+    schema = (
+        "genre_id string, contents array<struct<kind:string,content:string,topic:string,about_entities:array<struct<name:string,entity_type:string>>>>, "
+        "entity_relations array<struct<from_entity:string,to_entity:string>>"
+    )
+    contents = [("fact", "F", "Side Job", [(" A ", "Person"), ("B", "alien")]), ("tip", "T", None, [("C", "company")]), ("story", " ", "x", None)]
+    docs = spark.createDataFrame([("g", contents, [("A::person", "C::company"), ("A::person", "B::alien")])], schema)
+    g = mappers.map_creator(docs, ("person", "company"))
+    assert labels(g) == {"Content": 2, "Topic": 1, "Entity": 2}
+    assert edges(g, "RELATES_TO") == {(u5("entity:A:person"), u5("entity:C:company"))}
+    assert len(edges(g, "MENTIONS")) == 2
