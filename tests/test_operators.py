@@ -142,3 +142,16 @@ def test_streams(spark, tmp_path):
     out.awaitTermination()
     last = spark.sql("SELECT u, max_by(struct(used, accepted, rejected), accepted + rejected) AS s FROM quota GROUP BY u")
     assert {r.u: tuple(r.s) for r in last.collect()} == {"u": (100.0, 2, 1), "v": (5.0, 1, 0)}
+
+
+def test_windows_and_first_seen_on_streams(spark, tmp_path):
+    at = lambda h, m: dt.datetime(2024, 1, 1, h, m)
+    for part in ([(at(10, 0), "a"), (at(10, 30), "a")], [(at(11, 10), "a")], [(at(14, 0), "b")], [(at(10, 5), "a")]):
+        spark.createDataFrame(part, "t timestamp, k string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = incremental.stream_of(spark, str(tmp_path / "in"), "t timestamp, k string")
+    counts = incremental.run_once(incremental.windowed_counts(stream, "t", "k", "1 hour", "30 minutes"), str(tmp_path / "windows"))
+    found = {(r.start.hour, r.k): r.n for r in counts.collect()}
+    # The window of 14:00 is still open, and a row of 10:05 may have come too late.
+    assert found[(11, "a")] == 1 and found[(10, "a")] in (2, 3) and (14, "b") not in found
+    first = incremental.first_seen(incremental.stream_of(spark, str(tmp_path / "in"), "t timestamp, k string"), "k", "t", "2 days")
+    assert rows(incremental.run_once(first.select("k"), str(tmp_path / "first"))) == [("a",), ("b",)]
