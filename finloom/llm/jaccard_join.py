@@ -13,6 +13,10 @@ their links to the pivot and aren't compared with each other any more, so near
 copies never list their pairs.  What is left, if it is little, is compared with
 the whole bucket in blocks; if much of the bucket went with the pivot, what is
 left takes another; else the bucket splits again on further sampled tokens.
+
+So links in large buckets connect sets but don't count them.  Groups with a set
+from a large bucket are compared once more when they are known, block against
+block, and only the number of partners of each set leaves a comparison.
 """
 
 from __future__ import annotations
@@ -43,6 +47,9 @@ SPLITS, PIVOT_SHARE = 2, 0.1
 #: Sets of a block of a large bucket, and sets without a pivot that are compared
 #: with all its blocks; n-grams that count as one set more.
 BLOCK_SETS, BLOCK_NGRAMS = 1024, 1000
+#: Sets of a block of a group whose links are counted, and n-grams (columns) of
+#: a matrix product that counts what its sets share.
+COUNT_SETS, COUNT_NGRAMS = 2048, 4096
 #: Tokens of the sketch that choose the pivot.
 VOTES = 16
 SEED = 7
@@ -406,8 +413,79 @@ class _Large:
             large = materialise(again.select(*columns).unionByName(shared.where("large").select(*columns)), "jaccard-large")
 
 
-def similar_classes(docs: DataFrame, classes: DataFrame, ngram: int, threshold: float, sets: int, ngrams: int) -> DataFrame:
-    """Links a < b between the keys of similar classes.
+def shared_ngrams(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Number of n-grams that each of the sets ``a`` shares with each of ``b``."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    flat = [np.concatenate(x) for x in (a, b)]
+    owner = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (a, b)]
+    common = np.intersect1d(*flat)
+    found = []
+    for ids, of in zip(flat, owner):
+        at = np.searchsorted(common, ids)
+        ok = at < len(common)
+        ok[ok] = common[at[ok]] == ids[ok]
+        order = np.argsort(at[ok], kind="stable")
+        found.append((at[ok][order], of[ok][order]))
+    for low in range(0, len(common), COUNT_NGRAMS):
+        width = min(COUNT_NGRAMS, len(common) - low)
+        parts = []
+        for (at, of), n in zip(found, out.shape):
+            first, last = np.searchsorted(at, (low, low + width))
+            part = np.zeros((n, width), np.float32)
+            part[of[first:last], at[first:last] - low] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _partners(members: DataFrame, ngrams: DataFrame, threshold: float) -> DataFrame:
+    """key and linked, the summed n_copies of the sets of its group that are
+    similar to it.  members: key, root (the group), size and n_copies.
+
+    Every block of a group meets every other once, and itself.
+    """
+    sizes = members.groupBy(F.col("root").alias("s_root")).agg(_weight().alias("w"))
+    sizes = materialise(sizes.select("s_root", F.ceil(F.col("w") / COUNT_SETS).alias("blocks")), "jaccard-groups")
+    placed = members.join(sizes, F.col("root") == F.col("s_root")).withColumn("own", F.pmod(F.xxhash64("key", F.lit(SEED)), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    met = placed.select("key", "root", "n_copies", "own", other).select(
+        F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"), "key", "n_copies",
+        (F.col("own") <= F.col("other")).alias("left"), (F.col("own") >= F.col("other")).alias("right"),
+    )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, table in _groups(batches):
+            sets = [np.frombuffer(x, np.uint64) for x in table.column("ngrams").to_pylist()]
+            lengths, copies = np.array([len(x) for x in sets]), table.column("n_copies").to_numpy()
+            a, b = (np.flatnonzero(table.column(c).to_numpy()) for c in ("left", "right"))
+            if not len(a) or not len(b):
+                continue
+            shared = shared_ngrams([sets[i] for i in a], [sets[i] for i in b])
+            alike = shared + 1e-9 >= threshold * (lengths[a][:, None] + lengths[b] - shared)
+            linked = np.zeros(len(sets), np.int64)
+            if np.array_equal(a, b):
+                np.fill_diagonal(alike, False)
+            else:
+                linked[b] = copies[a] @ alike
+            linked[a] += alike @ copies[b]
+            yield pa.RecordBatch.from_arrays([table.column("key").combine_chunks(), pa.array(linked)], ["key", "linked"])
+
+    return (
+        met.join(ngrams, "key")
+        .select("bucket", "key", "n_copies", "left", "right", "ngrams")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket", "key")
+        .mapInArrow(count, "key binary, linked long")
+        .groupBy("key")
+        .agg(F.sum("linked").alias("linked"))
+    )
+
+
+def similar_classes(
+    docs: DataFrame, classes: DataFrame, ngram: int, threshold: float, sets: int, ngrams: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links a < b between the keys of similar classes; the keys in large buckets,
+    whose links don't list all their partners; the n-grams of all that was compared.
 
     docs: doc_id, row_hash and text as bytes; classes: key, size, sketch, roots
     and holder, a row that has the set.
@@ -442,7 +520,7 @@ def similar_classes(docs: DataFrame, classes: DataFrame, ngram: int, threshold:
     links = work.found[0]
     for more in work.found[1:]:
         links = links.unionByName(more)
-    return materialise(links.distinct(), "jaccard-links")
+    return materialise(links.distinct(), "jaccard-links"), large.select("key").distinct(), ngram_sets
 
 
 def join_documents(
@@ -459,11 +537,9 @@ def join_documents(
     class_id is the smallest doc_id of the documents that links connect, itself
     included; n_copies counts the rows with an equal set of n-grams, itself
     included, and n_links its links: its other copies, and the rows of the
-    classes that the join links to its own.  In buckets of near copies over
-    ``bucket_sets`` those are the links to pivots, so n_links is then a lower
-    bound; which documents are connected is not affected.  keeper marks the
-    first row, by (doc_id, row_hash), of a group; a row repeated in both marks
-    all its repeats.
+    classes similar to its own, however large its group.  keeper marks the first
+    row, by (doc_id, row_hash), of a group; a row repeated in both marks all its
+    repeats.
 
     A text of fewer words than ``ngram`` is one n-gram; one without words (or
     null) is a group of its own.  Null ids come last.  Other columns are ignored.
@@ -487,16 +563,24 @@ def join_documents(
         .drop("repeats"),
         "jaccard-classes",
     )
-    links = similar_classes(plain, classes, ngram, threshold, bucket_sets, bucket_ngrams)
+    links, crowded, ngram_sets = similar_classes(plain, classes, ngram, threshold, bucket_sets, bucket_ngrams)
     copies = classes.select(F.col("key").alias("c_key"), "n_copies", "holder")
+    roots = components(links)
+    roots = roots.unionByName(roots.select(F.col("root").alias("vertex"), "root").distinct())
+    # Similar sets are in one group: groups with a set of a large bucket are counted whole.
+    uncounted = roots.join(crowded, F.col("vertex") == F.col("key")).select(F.col("root").alias("u_root")).distinct()
+    uncounted = materialise(uncounted, "jaccard-uncounted")
+    members = roots.join(uncounted, F.col("root") == F.col("u_root")).join(classes, F.col("vertex") == F.col("key")).select("key", "root", "size", "n_copies")
+    members = materialise(members, "jaccard-members")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     linked = (
-        both.join(copies, F.col("b") == F.col("c_key"))
+        both.join(members.select("key"), F.col("a") == F.col("key"), "left_anti")
+        .join(copies, F.col("b") == F.col("c_key"))
         .groupBy(F.col("a").alias("l_key"))
         .agg(F.sum("n_copies").alias("linked"))
     )
-    roots = components(links)
-    roots = roots.unionByName(roots.select(F.col("root").alias("vertex"), "root").distinct())
+    counted = materialise(_partners(members, ngram_sets, threshold), "jaccard-partners")
+    linked = linked.unionByName(counted.withColumnRenamed("key", "l_key"))
     firsts = (
         roots.join(copies, F.col("vertex") == F.col("c_key"))
         .groupBy(F.col("root").alias("f_root"))

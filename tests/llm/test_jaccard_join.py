@@ -108,3 +108,15 @@ def test_runs_reach_the_recall():
     for recall in (0.9, 0.99, 0.9999):
         runs = runs_for(recall, 0.8)
         assert 1 - 0.2**runs >= recall > 1 - 0.2 ** (runs - 1)
+
+
+@pytest.mark.parametrize("block", [8, 1024])
+def test_large_buckets_count_all_links(spark, monkeypatch, block):
+    """Every link within groups of near copies, some of them in copies, far over the limit."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", block)
+    monkeypatch.setattr(jaccard_join, "COUNT_SETS", block)
+    monkeypatch.setattr(jaccard_join, "COUNT_NGRAMS", 50)
+    passage = " ".join(f"p{i}" for i in range(150))
+    near = _near_copies(40, 1)
+    texts = near + near[:5] + [f"{passage} {t}" for t in _near_copies(30, 3)] + [f"{passage} own{i} own" for i in range(20)]
+    _check(documents(spark, texts), bucket_sets=12)
