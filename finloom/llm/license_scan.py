@@ -1,6 +1,8 @@
 """License scans by patience alignment.
 
 A template's three-word runs point out the regions of a text that may hold it.
+Copies that follow each other would blur the alignment, so a region is also cut
+where the next one begins, and each place of the template in it is tried alone.
 A region and the template are aligned: words that occur once in both are
 anchors, the longest increasing subsequence of them is kept, and the gaps
 between are aligned in the same way, where other words are unique.  Coverage is
@@ -141,7 +143,8 @@ class Templates:
 
     def regions(self, words: list[str]) -> list[tuple[int, int, int]]:
         """(template, from, to) of the stretches that share runs with a template
-        in about the same places."""
+        in about the same places: with a margin, cut at the neighbours, and for
+        each place alone."""
         starts: dict[int, list[int]] = {}
         seeds = self.seeds
         for i, run in enumerate(zip(words, words[1:], words[2:])):
@@ -152,19 +155,26 @@ class Templates:
         for n, found in starts.items():
             size = len(self.words[n])
             slack = 3 + size // 4
-            found.sort()
+            found = sorted(set(found))
+            spans = []
             first = last = found[0]
             for x in [*found[1:], None]:
                 if x is None or x - last > slack:
-                    out.append((n, max(0, first - slack), min(len(words), last + size + slack)))
+                    spans.append((first, last))
                     first = x
                 last = x
+            stretches = {(x, x + size) for x in found}
+            for (_, before), (first, last), (after, _) in zip([(0, -size), *spans], spans, [*spans[1:], (len(words), 0)]):
+                stretches.add((first - slack, last + size + slack))
+                low, high = min(first, before + size), max(last + size, after)
+                stretches.add((max(first - slack, low), min(last + size + slack, high)))
+            out += sorted({(n, max(0, a), min(len(words), b)) for a, b in stretches})
         return out
 
     def find(self, text: str, min_coverage: float) -> list[tuple[str, int, int, int, int]]:
         """(license, start, end, aligned words, template's words) in code points.
         Of overlapping finds the one with most aligned words stays, then the one
-        with most coverage, then the first template."""
+        with most coverage, then the first template, then the shortest."""
         words = words_of(text)
         found = []
         for n, a, b in self.regions(words):
@@ -176,7 +186,7 @@ class Templates:
             return []
         places = [m.span() for m in _WORD.finditer(text)]
         taken: list[tuple[int, int, int, int]] = []
-        for matched, _, n, a, b in sorted(found, key=lambda x: (-x[0], -x[1], x[2], x[3])):
+        for matched, _, n, a, b in sorted(found, key=lambda x: (-x[0], -x[1], x[2], x[4] - x[3], x[3])):
             if all(b < c or a > d for _, c, d, _ in taken):
                 taken.append((n, a, b, matched))
         return [

@@ -59,6 +59,20 @@ def test_edits_repeats_and_noise():
     assert known.find("a license to use the software of the license " * 200, 0.8) == []
 
 
+def test_adjacent_repeats():
+    known = Templates(TEMPLATES)
+    for name, text in TEMPLATES:
+        n = len(words_of(text))
+        for times in (2, 3, 6):
+            copies = [text] * times
+            found = known.find("Words before. " + "\n".join(copies) + "\nWords after.", 0.8)
+            assert [(x[0], x[3]) for x in found] == [(name, n)] * times
+    short = "under the MIT License.\n" * 5
+    assert [(x[0], x[3]) for x in known.find(short, 0.8)] == [("MIT", 4)] * 5
+    mixed = "Released under the MIT License.\nunder the MIT License.\n" * 3
+    assert [x[3] for x in known.find(mixed, 0.8)] == [5, 4] * 3
+
+
 def test_query(spark):
     """Held against a plain search for the short statements, word by word."""
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
