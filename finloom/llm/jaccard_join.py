@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,15 @@ def runs_for(recall: float, threshold: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold))) if threshold < 1 else 1
 
 
+def kept_together(threshold: float) -> float:
+    """Share of the pairs at the threshold that splits keep together at any depth:
+    the fixed point of p = 1 - (1 - threshold * p) ** SPLITS (0 for low thresholds)."""
+    p = 1.0
+    for _ in range(1000):
+        p = 1 - (1 - threshold * p) ** SPLITS
+    return p
+
+
 def ngram_set(words: list[bytes], n: int = NGRAM) -> np.ndarray:
     """Sorted distinct hashes of the n-grams; a shorter text is one n-gram."""
     if not words:
@@ -360,14 +370,17 @@ class _Large:
         self.ngram_sets, self.threshold, self.sets, self.ngrams = ngram_sets, threshold, sets, ngrams
         self.found: list[DataFrame] = []
         self.labels: list[DataFrame] = []
+        #: key and run of the sets whose bucket of a run was split or kept open.
+        self.unfinished: list[DataFrame] = []
 
     def compare(self, groups: DataFrame) -> DataFrame:
         """Written at once: plans stay small, however many rounds there are."""
         return materialise(_verified(_candidates(groups, self.threshold), self.ngram_sets, self.threshold), "jaccard-alike")
 
-    def settle(self, rows: DataFrame) -> DataFrame | None:
+    def settle(self, rows: DataFrame, compared_once: bool = True) -> DataFrame | None:
         """Compare what is left of buckets where it is little; return the others
-        with their labels.  rows: state, met and before."""
+        with their labels.  rows: state, met and before.  ``compared_once`` is for
+        buckets of runs, which skip what an earlier run has compared."""
         left = _settled(rows)
         state = rows.join(left, F.col("bucket") == F.col("l_bucket")).withColumn("pivot", _label())
         self.labels.append(state.where(F.col("pivot").isNotNull()).select("key", F.col("pivot").alias("label")))
@@ -375,12 +388,15 @@ class _Large:
         few, many = state.where(F.col("open") <= BLOCK_SETS), None
         if not left.where(F.col("open") > BLOCK_SETS).isEmpty():
             many = materialise(state.where(F.col("open") > BLOCK_SETS), "jaccard-many")
-            few = _without(few, many.where(F.col("run").isNotNull()))
+            self.unfinished.append(many.where(F.col("run").isNotNull()).select("key", "run"))
+        if compared_once and self.unfinished:
+            few = _without(few, reduce(DataFrame.unionByName, self.unfinished))
         self.found.append(self.compare(_with_rest(few)))
         return many
 
     def rounds(self, large: DataFrame) -> None:
         """Pivots and splits until all buckets are settled.  large: _ROWS, n and before."""
+        first = True
         while not large.isEmpty():
             pivots = materialise(_pivots(large), "jaccard-chosen")
             alike = self.compare(_with_pivots(large, pivots))
@@ -393,7 +409,8 @@ class _Large:
                 .withColumn("met", F.coalesce("k_pivot", F.when(F.col("key") == F.col("p_key"), F.col("key"))))
                 .select(*_ROWS, "n", "before", "met")
             )
-            many = self.settle(materialise(labelled, "jaccard-labelled"))
+            many = self.settle(materialise(labelled, "jaccard-labelled"), first)
+            first = False
             if many is None:
                 return
             stays = F.col("open") <= (1 - PIVOT_SHARE) * F.col("before")
@@ -544,7 +561,9 @@ def join_documents(
     A text of fewer words than ``ngram`` is one n-gram; one without words (or
     null) is a group of its own.  Null ids come last.  Other columns are ignored.
     """
-    runs = runs_for(recall, threshold)
+    # Of the pairs that share the bucket of a run, a split keeps some together.
+    # No number of runs makes up for splits that keep none.
+    runs = runs_for(recall, threshold * (kept_together(threshold) if threshold * SPLITS > 1 else 1))
     plain = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         text_hash(text_column()).alias("row_hash"),
