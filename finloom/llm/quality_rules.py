@@ -3,9 +3,9 @@
 A document passes through two kinds of rule.  The base rules look at the
 document alone (length, repeated three-word windows).  The frequency rule looks
 at the corpus: every distinct normalised line of a document is hashed, the
-distinct documents holding it are counted per host, lines above the limit count
-as boilerplate, and a document that keeps too little after their removal is
-rejected as depleted.
+distinct documents holding it are counted per host, lines above the limit are
+removed as boilerplate, and a document that keeps too little is rejected as
+depleted.
 
 Copies of a text count as one document, so a text that was merely copied often
 does not turn its own lines into boilerplate.
@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from finloom.llm.common import materialise, rows, text_column, text_hash
 
@@ -57,6 +58,29 @@ def _code_points(raw: bytes) -> int:
     return len(raw) if raw.isascii() else len(raw.decode())
 
 
+def _line_key(parts: list[bytes]) -> int:
+    key = xxhash.xxh64_intdigest(b" ".join(parts).decode().lower().encode())
+    return key - ((key >> 63) << 64)
+
+
+def without_lines(text: str, gone: list[int]) -> str:
+    """The lines of the text whose normalised hash is not in ``gone``, in order."""
+    drop = set(gone)
+    parted = ((line, line.encode().split()) for line in text.split("\n"))
+    return "\n".join(line for line, parts in parted if not parts or _line_key(parts) not in drop)
+
+
+@F.arrow_udf(StringType())
+def _kept_text(text: pa.Array, gone: pa.Array) -> pa.Array:
+    found = zip(text.to_pylist(), gone.to_pylist())
+    return pa.array([without_lines(x, lines) if lines else x for x, lines in found], pa.string())
+
+
+def kept_text(text: Column, boilerplate: Column) -> Column:
+    """``text`` without the lines that ``quality_verdicts`` names as boilerplate."""
+    return _kept_text(F.coalesce(text.cast("string"), F.lit("")), boilerplate)
+
+
 def text_features(text: str) -> tuple[int, int, int, int, int, list[dict]]:
     """The counts of one text and its distinct normalised lines with their words.
 
@@ -74,8 +98,7 @@ def text_features(text: str) -> tuple[int, int, int, int, int, list[dict]]:
             continue
         repeated += line in seen
         seen.add(line)
-        key = xxhash.xxh64_intdigest(b" ".join(parts).decode().lower().encode())
-        key -= (key >> 63) << 64
+        key = _line_key(parts)
         lines[key] = lines.get(key, 0) + len(parts)
     return (
         len(words),
@@ -111,7 +134,8 @@ def quality_verdicts(
     """One row per row of ``docs`` (doc_id, text and the column ``host``).
 
     Returns doc_id, row_hash, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, n_boilerplate_words, base_failed and kept.
+    n_repeat_words, n_boilerplate_words, base_failed, kept and boilerplate (the
+    hashes of the lines above the limit, for ``kept_text``; null without any).
 
     Null text: no words, so base_failed.  Null host: a host of its own.  Rows
     that repeat one id and text get one verdict each, all alike.  Other columns
@@ -149,8 +173,8 @@ def quality_verdicts(
         .select("doc_id", "row_hash", "hash", "words")
         .distinct()
         .groupBy("doc_id", "row_hash")
-        .agg(F.sum("words").alias("gone"))
-        .select(F.col("doc_id").alias("r_doc_id"), F.col("row_hash").alias("r_row_hash"), "gone")
+        .agg(F.sum("words").alias("gone"), F.array_sort(F.collect_set("hash")).alias("boilerplate"))
+        .select(F.col("doc_id").alias("r_doc_id"), F.col("row_hash").alias("r_row_hash"), "gone", "boilerplate")
     )
     left = F.col("n_words") - F.col("n_boilerplate_words")
     return (
@@ -161,6 +185,6 @@ def quality_verdicts(
         .withColumn("kept", ~F.col("base_failed") & (left >= min_left_share * F.col("n_words")))
         .select(
             "doc_id", "row_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-            "n_repeat_words", "n_boilerplate_words", "base_failed", "kept",
+            "n_repeat_words", "n_boilerplate_words", "base_failed", "kept", "boilerplate",
         )
     )

@@ -3,7 +3,8 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
-from tests.conftest import MEDIUM
+import corpus_pipeline
+from tests.conftest import MEDIUM, SMALL
 
 from finloom.llm.quality_rules import quality_verdicts
 from tests.llm.helpers import awkward, documents
@@ -73,3 +74,13 @@ def test_boilerplate_depletes_documents(spark):
     _check(docs)
     kept = {r.doc_id: r.kept for r in quality_verdicts(docs).collect()}
     assert kept[0] and not kept[30] and kept[31] and kept[32]
+
+
+def test_the_stage_removes_boilerplate(spark):
+    """Lines above the limit leave the text, in every spelling; other lines stay in order."""
+    own = lambda i: " ".join(f"own{i}w{j}" for j in range(60))
+    texts = [f"Read  MORE here\n{own(i)}\n\nread more here\nlast{i} line" for i in range(30)]
+    docs = documents(spark, texts + [texts[0], own(99)], ["a"] * 31 + ["b"])
+    out = {r.doc_id: (r.text, r.n_chars, r.lang) for r in corpus_pipeline.quality(spark, docs, SMALL).collect()}
+    cut = [f"{own(i)}\n\nlast{i} line" for i in [*range(30), 0]] + [own(99)]
+    assert out == {i: (t, len(t), "en") for i, t in enumerate(cut)}
