@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finloom.storage import materialise
+from finloom.storage import materialise, spread
 
 
 def endpoints(edges: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("low"))
     return (
-        both.join(low, F.col("a") == F.col("v"))
+        both.join(spread(low), F.col("a") == F.col("v"))
         .where(F.col("b") > F.col("a"))
         .select(F.col("b").alias("a"), F.least("a", "low").alias("b"))
         .distinct()
@@ -49,7 +49,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """A vertex and its smaller neighbours are tied to the smallest of them."""
     low = edges.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("low"))
-    tied = edges.join(low, F.col("a") == F.col("v"))
+    tied = edges.join(spread(low), F.col("a") == F.col("v"))
     return (
         tied.where(F.col("b") != F.col("low"))
         .select(F.col("b").alias("a"), F.col("low").alias("b"))

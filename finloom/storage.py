@@ -30,3 +30,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = shared_dir(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly.  A join needs an exchange of its own after it, which is
+    what adaptive execution can split at a hot key; an aggregation or another
+    join right before it would leave the join without one.  For small tables
+    that join big ones."""
+    return df.hint("rebalance")
