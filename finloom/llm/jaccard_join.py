@@ -3,27 +3,24 @@
 Documents are sets of word n-grams.  Equal sets form a class, and classes are
 joined.  A run puts every set into the bucket of one sampled token, the
 smallest of its n-grams under a random order, which two sets share with
-probability equal to their similarity.  Small buckets are compared by brute
-force: estimates from sketches choose the pairs, exact counts confirm them.
-Runs are repeated until a pair at the threshold is met with the target recall.
-
-A large bucket takes a pivot, the set that is most like all others, and all its
-sets are compared with it.  Those confirmed to be similar are in one group by
-their links to the pivot and aren't compared with each other any more, so near
-copies never list their pairs.  What is left, if it is little, is compared with
-the whole bucket in blocks; if much of the bucket went with the pivot, what is
-left takes another; else the bucket splits again on further sampled tokens.
-
-So links in large buckets connect sets but don't count them.  Groups with a set
-from a large bucket are compared once more when they are known, block against
-block, and only the number of partners of each set leaves a comparison.
+probability equal to their similarity.  A bucket splits recursively, on further
+sampled tokens that its sets share, down to small buckets, which are compared by
+brute force.  A part that keeps most of its bucket is not split further: its
+sets are so alike that splitting can't tell them apart.  Runs are repeated until
+a pair at the threshold is met with the target recall.
+
+Tasks split and compare whole buckets on sketches; only a bucket of more sets
+than a task should hold is split (or, if its sets are alike, cut into blocks)
+before it reaches one.  What leaves a bucket are groups of candidates, as one
+edge a set, never their pairs.  The groups of all buckets are joined, the
+n-grams of every set in a group are fetched once, and an exact comparison
+counts the links of each set, block against block in large groups.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,28 +28,27 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finloom.llm.common import materialise, rows, text_column, text_hash
+from finloom.llm.common import materialise, rows, spread, text_column, text_hash
 from finloom.llm.substring_dedup import run_hashes, word_hashes
 from finloom.operators.graph import components
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.9999
 #: Tokens of a sketch, of one byte each, and how far below the threshold an
-#: estimate may be (over four standard deviations) for the pair to be verified.
+#: estimate may be (over four standard deviations) for the pair to be a candidate.
 SKETCH, SLACK = 64, 0.21
-#: A bucket of no more sets and n-grams is small.
-BUCKET_SETS, BUCKET_NGRAMS = 256, 1_000_000
-#: Tokens that a large bucket is split on (with two, 94 % of the pairs at 0.8 meet
-#: again at any depth, while what is less alike thins out), and the share of its
-#: sets that a pivot must take for the bucket to stay whole instead.
-SPLITS, PIVOT_SHARE = 2, 0.1
-#: Sets of a block of a large bucket, and sets without a pivot that are compared
-#: with all its blocks; n-grams that count as one set more.
-BLOCK_SETS, BLOCK_NGRAMS = 1024, 1000
-#: Sets of a block of a group whose links are counted, and n-grams (columns) of
-#: a matrix product that counts what its sets share.
-COUNT_SETS, COUNT_NGRAMS = 2048, 4096
-#: Tokens of the sketch that choose the pivot.
-VOTES = 16
+#: A bucket of no more sets is compared by brute force, and one of no more
+#: sets is split inside a task.
+SMALL_SETS, BUCKET_SETS = 256, 8192
+#: Tokens that a bucket is split on (with two, 94 % of the pairs at 0.8 meet
+#: again at any depth, while what is less alike thins out), and the share of a
+#: bucket in one part from which its sets are alike.
+SPLITS, ALIKE = 2, 0.5
+#: Sets of a block of a group whose links are counted; n-grams that count as one
+#: set more; n-grams (columns) of a matrix product that counts what sets share;
+#: and the share of pairs with an n-gram from which it goes through the product.
+COUNT_SETS, COUNT_NGRAMS, COLUMNS, DENSE = 2048, 1000, 4096, 0.005
+#: Sets up to which all pairs of sketches are compared at once.
+TINY = 24
 SEED = 7
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -129,77 +125,7 @@ def _signatures(docs: DataFrame, ngram: int, runs: int) -> DataFrame:
     )
 
 
-#: Rows of groups that are compared: those of role BOTH with each other, those
-#: of role SPECIAL with those of role PLAIN.  Two of one pivot aren't compared,
-#: nor, where run is not null, two that an earlier run has brought together.
-PLAIN, SPECIAL, BOTH = 0, 1, 2
-_ROWS = ("bucket", "key", "role", "pivot", "run", "size", "sketch", "roots")
-
-
-def _weight(rows: Column | None = None) -> Column:
-    """Number of sets of a group, or more if they are long."""
-    one = F.lit(True) if rows is None else rows
-    return F.greatest(F.count_if(one), F.ceil(F.coalesce(F.sum(F.when(one, F.col("size"))), F.lit(0)) / BLOCK_NGRAMS)).cast("long")
-
-
-def _sized(members: DataFrame, sets: int, ngrams: int) -> DataFrame:
-    """Buckets of two sets or more that aren't all of one label; ``large`` ones are not for brute force."""
-    label = F.xxhash64("pivot")
-    counts = members.groupBy(F.col("bucket").alias("s_bucket")).agg(
-        F.count("*").alias("count"), F.sum("size").alias("ngrams"), _weight().alias("n"),
-        (F.count_if(F.col("pivot").isNull()) > 0).alias("free"), (F.min(label) != F.max(label)).alias("mixed"),
-    )
-    large = (F.col("count") > sets) | ((F.col("ngrams") > ngrams) & (F.col("count") > 2))
-    return counts.where("count > 1 AND (free OR mixed)").select("s_bucket", "n", large.alias("large"))
-
-
-def _comparable(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Roles, and a number for each pivot (-1 without one)."""
-    pivots: dict = {None: -1}
-    numbers = [pivots.setdefault(x, len(pivots)) for x in table.column("pivot").to_pylist()]
-    return table.column("role").to_numpy(), np.array(numbers)
-
-
-def _candidates(groups: DataFrame, threshold: float) -> DataFrame:
-    """bucket, key, role and pivot of the rows that may have a partner in their group."""
-    least = math.ceil((threshold - SLACK) * SKETCH)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, table in _groups(batches):
-            n = table.num_rows
-            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(n, SKETCH)
-            roots = np.array(table.column("roots").to_pylist())
-            sizes = table.column("size").to_numpy()
-            role, pivot = _comparable(table)
-            run = table.column("run")[0].as_py()
-            some = np.zeros(n, bool)
-            for i in range(n):
-                if role[i] == PLAIN:
-                    continue
-                rest = slice(i + 1, n) if role[i] == BOTH else slice(0, n)
-                like = (sketches[rest] == sketches[i]).sum(axis=1) >= least
-                if not like.any():
-                    continue
-                low, high = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
-                like &= (low >= threshold * high - 1e-9) & (role[rest] == (BOTH if role[i] == BOTH else PLAIN))
-                like &= (pivot[rest] != pivot[i]) | (pivot[i] < 0)
-                if run:
-                    like &= ~(roots[rest, :run] == roots[i, :run]).any(axis=1)
-                if like.any():
-                    some[i] = True
-                    some[rest] |= like
-            if some.any():
-                yield from table.select(["bucket", "key", "role", "pivot"]).filter(pa.array(some)).combine_chunks().to_batches()
-
-    return (
-        groups.select(*_ROWS)
-        .repartition("bucket")
-        .sortWithinPartitions("bucket", "key")
-        .mapInArrow(compare, "bucket long, key binary, role int, pivot binary")
-    )
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Rows by the bucket they are sorted by, one group in memory at a time."""
     now, held = None, []
     for batch in batches:
@@ -209,335 +135,321 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]
             if a == b:
                 continue
             if held and now != buckets[a]:
-                yield now, pa.Table.from_batches(held)
+                yield pa.Table.from_batches(held)
                 held = []
             now = int(buckets[a])
             held.append(batch.slice(a, b - a))
     if held:
-        yield now, pa.Table.from_batches(held)
-
-
-def similar_pairs(sets: list[np.ndarray], threshold: float, role: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Pairs i < j of sorted sets whose Jaccard similarity is the threshold at
-    least; with roles, those of role BOTH among each other and SPECIAL with PLAIN."""
-    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    sizes = np.array([len(x) for x in sets])
-    starts = np.cumsum(sizes) - sizes
-    role = np.full(len(sets), BOTH) if role is None else role
-    here = np.zeros(ids.max() + 1, np.int64)
-    out = []
-    for i in range(len(sets)):
-        if role[i] == PLAIN:
-            continue
-        own = ids[starts[i] : starts[i] + sizes[i]]
-        here[own] = 1
-        shared = np.add.reduceat(here[ids], starts)
-        here[own] = 0
-        alike = (shared + 1e-9 >= threshold * (sizes[i] + sizes - shared)) & (role == (BOTH if role[i] == BOTH else PLAIN))
-        if role[i] == BOTH:
-            alike[: i + 1] = False
-        out += [(i, int(j)) for j in np.flatnonzero(alike)]
-    return out
+        yield pa.Table.from_batches(held)
 
 
-def _ngram_sets(docs: DataFrame, holders: DataFrame, ngram: int) -> DataFrame:
-    """key and ngrams (packed 64-bit hashes) of the classes in ``holders``, which
-    names a row (doc_id, row_hash) of each."""
+class _Forest:
+    """Union-find over rows; the smallest row of a tree is its root."""
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows(batches):
-            sets = [ngram_set(x.split(), ngram).tobytes() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["key", "ngrams"])
+    def __init__(self, n: int):
+        self.parent = list(range(n))
+
+    def root(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = i = self.parent[self.parent[i]]
+        return i
+
+    def join(self, i: int, j: int) -> None:
+        a, b = self.root(i), self.root(j)
+        self.parent[max(a, b)] = min(a, b)
+
+
+def _coordinate(path: int) -> int:
+    """The token that a path splits on; the tokens of runs aren't taken again."""
+    return SKETCH // 4 + (path * 0x9E3779B97F4A7C15 + SEED) % (1 << 64) * (SKETCH - SKETCH // 4) // (1 << 64)
+
+
+def _compare(rows: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, threshold: float, forest: _Forest) -> None:
+    """Join all candidates among the rows.  A row joined to another needs no
+    further comparison with what is joined already."""
+    least = math.ceil((threshold - SLACK) * SKETCH)
+    sketch, size = sketches[rows], sizes[rows]
+    if len(rows) <= TINY:
+        like = np.triu((sketch[:, None] == sketch).sum(axis=2) >= least, 1)
+        for i, j in zip(*np.nonzero(like)):
+            if min(size[i], size[j]) >= threshold * max(size[i], size[j]) - 1e-9:
+                forest.join(int(rows[i]), int(rows[j]))
+        return
+    left = np.arange(len(rows))
+    while len(left) > 1:
+        todo, left = [left[0]], left[1:]
+        while todo and len(left):
+            i = todo.pop()
+            like = (sketch[left] == sketch[i]).sum(axis=1) >= least
+            if like.any():
+                like &= np.minimum(size[left], size[i]) >= threshold * np.maximum(size[left], size[i]) - 1e-9
+                for j in left[like].tolist():
+                    forest.join(int(rows[i]), int(rows[j]))
+                    todo.append(j)
+                left = left[~like]
+
+
+def candidate_groups(bucket: int, sketches: np.ndarray, sizes: np.ndarray, threshold: float) -> list[int]:
+    """For each set of a bucket, the first of the sets that candidates connect it with."""
+    forest = _Forest(len(sizes))
+    todo = [(np.arange(len(sizes)), bucket % (1 << 64), False)]
+    while todo:
+        rows, path, alike = todo.pop()
+        if alike or len(rows) <= SMALL_SETS:
+            _compare(rows, sketches, sizes, threshold, forest)
+            continue
+        for j in range(SPLITS):
+            part = (path * SPLITS + j) * 0xBF58476D1CE4E5B9 % (1 << 64)
+            values = sketches[rows, _coordinate(part)]
+            order = np.argsort(values, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(values[order])) + 1):
+                if len(at) > 1:
+                    todo.append((rows[at], part + int(values[at[0]]), len(at) > ALIKE * len(rows)))
+    return [forest.root(i) for i in range(len(sizes))]
 
-    same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.row_hash") == F.col("h.row_hash"))
-    return (
-        docs.alias("d")
-        .join(holders.hint("shuffle_hash").alias("h"), same)
-        .select("h.key", F.col("d.text"))
-        .mapInArrow(packed, "key binary, ngrams binary")
-        .dropDuplicates(["key"])
-    )
 
+def _candidates(members: DataFrame, threshold: float) -> DataFrame:
+    """Edges a, b (keys) that connect the candidates of every bucket."""
 
-def _verified(wanted: DataFrame, ngrams: DataFrame, threshold: float) -> DataFrame:
-    """Similar pairs (a < b) of the rows that ``wanted`` (bucket, key, role,
-    pivot) puts together.  A special row reports one of its partners with the
-    same pivot: the others are linked to that pivot."""
+    def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = [], []
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, table in _groups(batches):
+        def edges() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (a, b)], ["a", "b"])
+            a.clear(), b.clear()
+            return out
+
+        for table in _groups(batches):
+            if table.num_rows < 2:
+                continue
             keys = table.column("key").to_pylist()
-            sets = [np.frombuffer(x, np.uint64) for x in table.column("ngrams").to_pylist()]
-            role, pivot = _comparable(table)
-            seen = set()
-            out = []
-            for i, j in similar_pairs(sets, threshold, role):
-                if keys[i] == keys[j] or 0 <= pivot[i] == pivot[j]:
-                    continue
-                if role[i] == SPECIAL and pivot[j] >= 0:
-                    if (i, pivot[j]) in seen:
-                        continue
-                    seen.add((i, pivot[j]))
-                out.append((keys[i], keys[j]) if keys[i] < keys[j] else (keys[j], keys[i]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], ["a", "b"])
+            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+            for i, j in enumerate(candidate_groups(table.column("bucket")[0].as_py(), sketches, table.column("size").to_numpy(), threshold)):
+                if i != j and keys[i] != keys[j]:
+                    a.append(keys[i])
+                    b.append(keys[j])
+            if len(a) >= 10_000:
+                yield edges()
+        if a:
+            yield edges()
 
     return (
-        wanted.join(ngrams, "key")
-        .select("bucket", "key", "role", "pivot", "ngrams")
+        members.select("bucket", "key", "size", "sketch")
         .repartition("bucket")
         .sortWithinPartitions("bucket", "key")
-        .mapInArrow(confirm, "a binary, b binary")
+        .mapInArrow(connect, "a binary, b binary")
         .distinct()
     )
 
 
-def _pivots(large: DataFrame) -> DataFrame:
-    """p_bucket, most and p_* of each bucket's pivot: that which agrees most with
-    the commonest bytes of the sketches, of the sets without a label if there
-    are any.  most is the largest number of sets of the pivot's buckets."""
-    places = [1 + i * SKETCH // VOTES for i in range(VOTES)]
-    byte = lambda i: F.hex(F.substring("sketch", i, 1))
-    free = F.col("pivot").isNull()
-    votes = large.where(free).groupBy(F.col("bucket").alias("p_bucket")).agg(*[F.mode(byte(i), True).alias(f"v{i}") for i in places])
-    # Written, as are other small tables here, so that the join can split a hot bucket.
-    votes = materialise(votes, "jaccard-votes")
-    agreed = sum((byte(i).eqNullSafe(F.col(f"v{i}")).cast("int") for i in places), F.lit(0))
-    rated = large.join(votes, F.col("bucket") == F.col("p_bucket"), "left").select("bucket", free.alias("free"), agreed.alias("agreed"), "key", "size", "sketch", "roots", "n")
-    best = F.max(F.struct("free", "agreed", F.xxhash64("key").alias("h"), "key", "size", "sketch", "roots", "n"))
-    of_bucket = rated.groupBy(F.col("bucket").alias("p_bucket")).agg(best.alias("p")).select("p_bucket", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("key", "size", "sketch", "roots", "n")])
-    of_bucket = materialise(of_bucket, "jaccard-pivots")
-    most = of_bucket.groupBy(F.col("p_key").alias("m_key")).agg(F.max("p_n").alias("most"))
-    return of_bucket.join(most, F.col("p_key") == F.col("m_key")).drop("m_key", "p_n")
-
-
-def _block(key: Column, n: Column) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(SEED)), F.ceil(n / BLOCK_SETS))
-
-
-def _with_pivots(large: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Groups of every pivot with blocks of the sets of its buckets."""
-    no_pivot, no_run = F.lit(None).cast("binary").alias("pivot"), F.lit(None).cast("int").alias("run")
-    met = large.join(pivots.select("p_bucket", "p_key", "most"), F.col("bucket") == F.col("p_bucket")).where(F.col("key") != F.col("p_key"))
-    plain = met.select(F.xxhash64("p_key", _block(F.col("key"), F.col("most"))).alias("bucket"), "key", F.lit(PLAIN).alias("role"), no_pivot, no_run, "size", "sketch", "roots")
-    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("most") / BLOCK_SETS) - 1)).alias("block")
-    special = pivots.select("p_key", "p_size", "p_sketch", "p_roots", blocks).select(
-        F.xxhash64("p_key", "block").alias("bucket"), F.col("p_key").alias("key"), F.lit(SPECIAL).alias("role"), no_pivot, no_run,
-        F.col("p_size").alias("size"), F.col("p_sketch").alias("sketch"), F.col("p_roots").alias("roots"),
-    )
-    return plain.unionByName(special).distinct()
-
-
-def _with_rest(members: DataFrame) -> DataFrame:
-    """Groups of blocks of buckets with all their sets that aren't of the main label."""
-    plain = members.withColumn("block", _block(F.col("key"), F.col("n"))).withColumn("role", F.lit(PLAIN))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / BLOCK_SETS) - 1))
-    special = members.where(~F.col("pivot").eqNullSafe(F.col("main")) | F.col("main").isNull()).withColumn("block", every).withColumn("role", F.lit(SPECIAL))
-    return plain.unionByName(special).withColumn("bucket", F.xxhash64("bucket", "block", F.lit("rest"))).select(*_ROWS)
-
-
-def _without(rows: DataFrame, unfinished: DataFrame) -> DataFrame:
-    """``rows`` whose roots of the runs that ``unfinished`` (key, run) names equal
-    no other: two sets may still have to be compared though they met there."""
-    runs = unfinished.groupBy(F.col("key").alias("u_key")).agg(F.collect_set("run").alias("runs"))
-    masked = F.transform("roots", lambda r, i: F.when(F.array_contains("runs", i), F.xxhash64("key", i)).otherwise(r))
-    joined = rows.join(runs, F.col("key") == F.col("u_key"), "left")
-    return joined.withColumn("roots", F.when(F.col("runs").isNull(), F.col("roots")).otherwise(masked)).drop("u_key", "runs")
-
-
-def _settled(rows: DataFrame) -> DataFrame:
-    """Buckets (l_bucket): joined, the older label that sets share with the new
-    one; main, the commonest label; open, the sets without it (0 where all have
-    it).  rows: bucket, pivot (older label), met (new label) and size."""
-    kinds = rows.groupBy("bucket", "pivot", "met").agg(_weight().alias("w"))
-    by_bucket = kinds.groupBy(F.col("bucket").alias("l_bucket")).agg(F.max(F.when(F.col("met").isNotNull(), F.col("pivot"))).alias("joined"))
-    by_bucket = materialise(by_bucket, "jaccard-joined")
-    labels = kinds.join(by_bucket, F.col("bucket") == F.col("l_bucket")).groupBy("l_bucket", "joined", _label().alias("label")).agg(F.sum("w").alias("w"))
-    named = F.col("label").isNotNull()
-    best = labels.groupBy("l_bucket", "joined").agg(F.max(F.when(named, F.struct("w", "label"))).alias("m"), F.sum("w").alias("all"), F.count("*").alias("kinds"))
-    open_ = F.when((F.col("kinds") > 1) | F.col("m").isNull(), F.greatest(F.col("all") - F.coalesce("m.w", F.lit(0)), F.lit(1))).otherwise(0)
-    return materialise(best.select("l_bucket", "joined", F.col("m.label").alias("main"), open_.cast("long").alias("open")), "jaccard-open")
-
-
-def _label() -> Column:
-    return F.coalesce("pivot", F.when(F.col("met").isNotNull(), F.coalesce("joined", "met")))
-
-
-class _Large:
-    """Large buckets of sets on their way to a label or to a small bucket."""
-
-    def __init__(self, ngram_sets: DataFrame, threshold: float, sets: int, ngrams: int):
-        self.ngram_sets, self.threshold, self.sets, self.ngrams = ngram_sets, threshold, sets, ngrams
-        self.found: list[DataFrame] = []
-        self.labels: list[DataFrame] = []
-        #: key and run of the sets whose bucket of a run was split or kept open.
-        self.unfinished: list[DataFrame] = []
-
-    def compare(self, groups: DataFrame) -> DataFrame:
-        """Written at once: plans stay small, however many rounds there are."""
-        return materialise(_verified(_candidates(groups, self.threshold), self.ngram_sets, self.threshold), "jaccard-alike")
-
-    def settle(self, rows: DataFrame, compared_once: bool = True) -> DataFrame | None:
-        """Compare what is left of buckets where it is little; return the others
-        with their labels.  rows: state, met and before.  ``compared_once`` is for
-        buckets of runs, which skip what an earlier run has compared."""
-        left = _settled(rows)
-        state = rows.join(left, F.col("bucket") == F.col("l_bucket")).withColumn("pivot", _label())
-        self.labels.append(state.where(F.col("pivot").isNotNull()).select("key", F.col("pivot").alias("label")))
-        state = state.where("open > 0").select(*_ROWS, "n", "before", "main", "open")
-        few, many = state.where(F.col("open") <= BLOCK_SETS), None
-        if not left.where(F.col("open") > BLOCK_SETS).isEmpty():
-            many = materialise(state.where(F.col("open") > BLOCK_SETS), "jaccard-many")
-            self.unfinished.append(many.where(F.col("run").isNotNull()).select("key", "run"))
-        if compared_once and self.unfinished:
-            few = _without(few, reduce(DataFrame.unionByName, self.unfinished))
-        self.found.append(self.compare(_with_rest(few)))
-        return many
-
-    def rounds(self, large: DataFrame) -> None:
-        """Pivots and splits until all buckets are settled.  large: _ROWS, n and before."""
-        first = True
-        while not large.isEmpty():
-            pivots = materialise(_pivots(large), "jaccard-chosen")
-            alike = self.compare(_with_pivots(large, pivots))
-            self.found.append(alike)
-            ends = alike.unionByName(alike.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-            known = ends.select(F.col("a").alias("k_key"), F.col("b").alias("k_pivot"))
-            labelled = (
-                large.join(pivots.select("p_bucket", "p_key"), F.col("bucket") == F.col("p_bucket"))
-                .join(known, (F.col("key") == F.col("k_key")) & (F.col("p_key") == F.col("k_pivot")), "left")
-                .withColumn("met", F.coalesce("k_pivot", F.when(F.col("key") == F.col("p_key"), F.col("key"))))
-                .select(*_ROWS, "n", "before", "met")
-            )
-            many = self.settle(materialise(labelled, "jaccard-labelled"), first)
-            first = False
-            if many is None:
-                return
-            stays = F.col("open") <= (1 - PIVOT_SHARE) * F.col("before")
-            coordinate = F.expr(f"CAST(pmod(xxhash64(bucket, j), {SKETCH}) AS int) + 1")
-            children = (
-                many.where(~stays)
-                .withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(SPLITS))))
-                .withColumn("bucket", F.xxhash64("bucket", "j", F.col("sketch").substr(coordinate, F.lit(1))))
-                .withColumn("run", F.lit(None).cast("int"))
-                .select(*_ROWS)
-            )
-            sized = materialise(_sized(children, self.sets, self.ngrams), "jaccard-buckets")
-            shared = children.join(sized, F.col("bucket") == F.col("s_bucket")).withColumn("role", F.lit(BOTH)).withColumn("before", F.col("n"))
-            self.found.append(self.compare(shared.where("NOT large")))
-            again = many.where(stays).withColumn("before", F.col("open")).withColumn("run", F.lit(None).cast("int"))
-            columns = [*_ROWS, "n", "before"]
-            large = materialise(again.select(*columns).unionByName(shared.where("large").select(*columns)), "jaccard-large")
-
-
-def shared_ngrams(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Number of n-grams that each of the sets ``a`` shares with each of ``b``."""
-    out = np.zeros((len(a), len(b)), np.float32)
-    flat = [np.concatenate(x) for x in (a, b)]
-    owner = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (a, b)]
-    common = np.intersect1d(*flat)
-    found = []
-    for ids, of in zip(flat, owner):
-        at = np.searchsorted(common, ids)
-        ok = at < len(common)
-        ok[ok] = common[at[ok]] == ids[ok]
-        order = np.argsort(at[ok], kind="stable")
-        found.append((at[ok][order], of[ok][order]))
-    for low in range(0, len(common), COUNT_NGRAMS):
-        width = min(COUNT_NGRAMS, len(common) - low)
+def _counted(members: DataFrame) -> DataFrame:
+    """c_bucket, n and before (sets of the bucket it is part of) of buckets with two sets or more."""
+    return (
+        members.groupBy(F.col("bucket").alias("c_bucket"))
+        .agg(F.count("*").alias("n"), F.max("before").alias("before"))
+        .where("n > 1")
+    )
+
+
+def _bucketed(classes: DataFrame, sets: int) -> DataFrame:
+    """bucket, key, size and sketch of what tasks compare: the buckets of all
+    runs, those of more than ``sets`` split or cut into blocks."""
+    columns = ["bucket", "key", "size", "sketch"]
+    members = classes.select(F.explode("roots").alias("bucket"), "key", "size", "sketch", F.lit(None).cast("long").alias("before"))
+    # Written, so that adaptive execution can split the join where a bucket is hot.
+    counts = materialise(_counted(members), "jaccard-buckets")
+    of_bucket = F.col("bucket") == F.col("c_bucket")
+    found = members.drop("before").join(counts.where(F.col("n") <= sets), of_bucket).select(*columns)
+    large = members.drop("before").join(counts.where(F.col("n") > sets), of_bucket).select(*columns, "n")
+    while not counts.where(F.col("n") > sets).isEmpty():
+        large = materialise(large, "jaccard-large")
+        path = F.xxhash64("bucket", "j")
+        coordinate = F.pmod(path, F.lit(SKETCH - SKETCH // 4)) + SKETCH // 4 + 1
+        parts = (
+            large.withColumnRenamed("n", "before")
+            .withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(SPLITS))))
+            .withColumn("bucket", F.xxhash64(path, F.col("sketch").substr(coordinate.cast("int"), F.lit(1))))
+            .select(*columns, "before")
+        )
+        counts = materialise(_counted(parts), "jaccard-buckets")
+        alike = F.col("n") > F.greatest(F.lit(sets), F.col("before") * ALIKE)
+        sized = parts.drop("before").join(counts, of_bucket)
+        found = found.unionByName(sized.where(F.col("n") <= sets).select(*columns))
+        blocks = F.ceil(F.col("n") * 2 / sets)
+        found = found.unionByName(_in_blocks(sized.where(alike).withColumn("blocks", blocks), "bucket").select(*columns))
+        counts = counts.where((F.col("n") > sets) & ~alike)
+        large = parts.drop("before").join(counts, of_bucket).select(*columns, "n")
+    return found
+
+
+def _in_blocks(members: DataFrame, group: str) -> DataFrame:
+    """Every set once for each pair of blocks of its group that its own block is
+    in: bucket (the pair), and whether it is in the first or second of them."""
+    own = F.pmod(F.xxhash64("key", F.lit(SEED)), F.col("blocks"))
+    return (
+        members.withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumn("bucket", F.xxhash64(group, F.least("own", "other"), F.greatest("own", "other")))
+        .withColumn("left", F.col("own") <= F.col("other"))
+        .withColumn("right", F.col("own") >= F.col("other"))
+    )
+
+
+def _occurrences(sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the n-grams in ``common``, their places there in ascending order and their sets."""
+    ids = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    at = np.searchsorted(common, ids)
+    ok = at < len(common)
+    ok[ok] = common[at[ok]] == ids[ok]
+    order = np.argsort(at[ok], kind="stable")
+    return at[ok][order], owner[ok][order]
+
+
+def shared_ngrams(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> np.ndarray:
+    """Number of n-grams that each of the sets ``a`` shares with each of ``b``
+    (None: with each other of ``a``; the diagonal then has no meaning)."""
+    if b is None:
+        ids, counts = np.unique(np.concatenate(a), return_counts=True)
+        common, b = ids[counts > 1], a
+    else:
+        common = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    shape = (len(a), len(b))
+    out = np.zeros(shape, np.float32)
+    if not len(common):
+        return out
+    found = [_occurrences(a, common)]
+    found.append(found[0] if b is a else _occurrences(b, common))
+    counts = [np.bincount(at, minlength=len(common)) for at, _ in found]
+    pairs = counts[0] * counts[1]
+    # N-grams of many sets go through matrix products, the others pair by pair.
+    dense = pairs > max(1, DENSE * shape[0] * shape[1])
+    number = np.cumsum(dense) - 1
+    for low in range(0, int(dense.sum()), COLUMNS):
         parts = []
-        for (at, of), n in zip(found, out.shape):
-            first, last = np.searchsorted(at, (low, low + width))
-            part = np.zeros((n, width), np.float32)
-            part[of[first:last], at[first:last] - low] = 1
+        for (at, of), n in zip(found, shape):
+            here = dense[at] & (number[at] >= low) & (number[at] < low + COLUMNS)
+            part = np.zeros((n, min(COLUMNS, int(dense.sum()) - low)), np.float32)
+            part[of[here], number[at[here]] - low] = 1
             parts.append(part)
         out += parts[0] @ parts[1].T
+    (at_a, of_a), (at_b, of_b) = found
+    first_b = np.cumsum(counts[1]) - counts[1]
+    rare = np.flatnonzero(~dense[at_a])
+    steps = np.cumsum(counts[1][at_a[rare]])
+    low = 0
+    while low < len(rare):
+        high = max(low + 1, int(np.searchsorted(steps, (steps[low - 1] if low else 0) + (1 << 21))))
+        chunk = rare[low:high]
+        width = counts[1][at_a[chunk]]
+        nth = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
+        other = of_b[np.repeat(first_b[at_a[chunk]], width) + nth]
+        flat = np.repeat(of_a[chunk], width) * shape[1] + other
+        out += np.bincount(flat, minlength=shape[0] * shape[1]).reshape(shape)
+        low = high
     return out
 
 
-def _partners(members: DataFrame, ngrams: DataFrame, threshold: float) -> DataFrame:
-    """key and linked, the summed n_copies of the sets of its group that are
-    similar to it.  members: key, root (the group), size and n_copies.
-
-    Every block of a group meets every other once, and itself.
+def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the sets on both sides of a comparison, and which pairs are similar."""
+    a, b = np.flatnonzero(left), np.flatnonzero(right)
+    if not len(a) or not len(b):
+        return a, b, np.zeros((len(a), len(b)), bool)
+    lengths = np.array([len(x) for x in sets])
+    same = np.array_equal(a, b)
+    shared = shared_ngrams([sets[i] for i in a], None if same else [sets[i] for i in b])
+    alike = shared + 1e-9 >= threshold * (lengths[a][:, None] + lengths[b] - shared)
+    if same:
+        np.fill_diagonal(alike, False)
+    return a, b, alike
+
+
+def _joined(a: np.ndarray, b: np.ndarray, alike: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` rows, the first that the similar pairs connect it with."""
+    label = np.arange(n)
+    while alike.any():
+        new = label.copy()
+        new[a] = np.minimum(new[a], np.where(alike, label[b], n).min(axis=1))
+        new[b] = np.minimum(new[b], np.where(alike, label[a][:, None], n).min(axis=0))
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return label
+
+
+def _partners(docs: DataFrame, members: DataFrame, ngram: int, threshold: float) -> DataFrame:
+    """key, linked (the summed n_copies of the sets of its group that are similar
+    to it) and first (a set that links connect it with, or itself), a row for
+    each comparison that finds a link.  members: key, root (the group), size,
+    n_copies and holder, a row that has the set.
+
+    Every block of a group meets every other once, and itself; the n-grams of a
+    set are computed once.
     """
-    sizes = members.groupBy(F.col("root").alias("s_root")).agg(_weight().alias("w"))
-    sizes = materialise(sizes.select("s_root", F.ceil(F.col("w") / COUNT_SETS).alias("blocks")), "jaccard-groups")
-    placed = members.join(sizes, F.col("root") == F.col("s_root")).withColumn("own", F.pmod(F.xxhash64("key", F.lit(SEED)), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    met = placed.select("key", "root", "n_copies", "own", other).select(
-        F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"), "key", "n_copies",
-        (F.col("own") <= F.col("other")).alias("left"), (F.col("own") >= F.col("other")).alias("right"),
-    )
+    weight = F.greatest(F.count("*"), F.ceil(F.sum("size") / COUNT_NGRAMS))
+    blocks = members.groupBy(F.col("root").alias("s_root")).agg(F.ceil(weight / COUNT_SETS).alias("blocks"))
+    blocks = materialise(blocks, "jaccard-groups")
+    holders = members.join(blocks, F.col("root") == F.col("s_root")).select("holder.doc_id", "holder.row_hash", "key", "root", "blocks", "n_copies")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # rows that repeat one id and text
+        for batch in rows(batches):
+            new = []
+            for i, key in enumerate(batch.column(0).to_pylist()):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(i)
+            batch = batch.take(pa.array(new, pa.int64()))
+            sets = [ngram_set(x.split(), ngram).tobytes() for x in batch.column(4).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sets, pa.binary())], ["key", "root", "blocks", "n_copies", "ngrams"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, table in _groups(batches):
+        for table in _groups(batches):
+            keys = table.column("key").to_pylist()
+            new = [i for i in range(len(keys)) if not i or keys[i] != keys[i - 1]]
+            if len(new) < len(keys):
+                table, keys = table.take(new), [keys[i] for i in new]
             sets = [np.frombuffer(x, np.uint64) for x in table.column("ngrams").to_pylist()]
-            lengths, copies = np.array([len(x) for x in sets]), table.column("n_copies").to_numpy()
-            a, b = (np.flatnonzero(table.column(c).to_numpy()) for c in ("left", "right"))
-            if not len(a) or not len(b):
+            copies = table.column("n_copies").to_numpy()
+            a, b, alike = _links(sets, table.column("left").to_numpy(), table.column("right").to_numpy(), threshold)
+            if not alike.any():
                 continue
-            shared = shared_ngrams([sets[i] for i in a], [sets[i] for i in b])
-            alike = shared + 1e-9 >= threshold * (lengths[a][:, None] + lengths[b] - shared)
             linked = np.zeros(len(sets), np.int64)
-            if np.array_equal(a, b):
-                np.fill_diagonal(alike, False)
-            else:
+            if not np.array_equal(a, b):
                 linked[b] = copies[a] @ alike
             linked[a] += alike @ copies[b]
-            yield pa.RecordBatch.from_arrays([table.column("key").combine_chunks(), pa.array(linked)], ["key", "linked"])
+            first = _joined(a, b, alike, len(sets))
+            some = np.flatnonzero(linked).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([keys[i] for i in some], pa.binary()),
+                    pa.array(linked[some]),
+                    pa.array([keys[first[i]] for i in some], pa.binary()),
+                ],
+                ["key", "linked", "first"],
+            )
 
+    same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.row_hash") == F.col("h.row_hash"))
+    sets = (
+        docs.alias("d")
+        .join(holders.hint("shuffle_hash").alias("h"), same)
+        .select("h.key", "h.root", "h.blocks", "h.n_copies", "d.text")
+        .mapInArrow(packed, "key binary, root binary, blocks long, n_copies long, ngrams binary")
+    )
     return (
-        met.join(ngrams, "key")
+        _in_blocks(sets, "root")
         .select("bucket", "key", "n_copies", "left", "right", "ngrams")
         .repartition("bucket")
         .sortWithinPartitions("bucket", "key")
-        .mapInArrow(count, "key binary, linked long")
-        .groupBy("key")
-        .agg(F.sum("linked").alias("linked"))
+        .mapInArrow(count, "key binary, linked long, first binary")
     )
 
 
-def similar_classes(
-    docs: DataFrame, classes: DataFrame, ngram: int, threshold: float, sets: int, ngrams: int
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links a < b between the keys of similar classes; the keys in large buckets,
-    whose links don't list all their partners; the n-grams of all that was compared.
-
-    docs: doc_id, row_hash and text as bytes; classes: key, size, sketch, roots
-    and holder, a row that has the set.
-    """
-    members = classes.select(
-        F.posexplode("roots").alias("run", "bucket"), "key", "size", "sketch", "roots", F.lit(None).cast("binary").alias("pivot")
-    )
-    sized = materialise(_sized(members, sets, ngrams), "jaccard-buckets")
-    shared = members.join(sized, F.col("bucket") == F.col("s_bucket")).withColumn("role", F.lit(BOTH)).withColumn("before", F.col("n"))
-    large = materialise(shared.where("large").select(*_ROWS, "n", "before"), "jaccard-large")
-    small = materialise(_candidates(_without(shared.where("NOT large"), large), threshold), "jaccard-candidates")
-    # All that is compared later is in a large bucket now, so texts move once.
-    keys = small.select("key").unionByName(large.select("key")).distinct()
-    holders = classes.select("key", "holder.doc_id", "holder.row_hash").join(keys, "key", "left_semi")
-    ngram_sets = materialise(_ngram_sets(docs, holders, ngram), "jaccard-sets")
-    work = _Large(ngram_sets, threshold, sets, ngrams)
-    work.found.append(materialise(_verified(small, ngram_sets, threshold), "jaccard-alike"))
-    # The first run labels most of a group of near copies; the buckets of the
-    # others have little left.
-    work.rounds(large.where("run = 0"))
-    others = large.where("run > 0")
-    if work.labels:
-        labels = work.labels[0]
-        for more in work.labels[1:]:
-            labels = labels.unionByName(more)
-        labels = materialise(labels.groupBy(F.col("key").alias("k_key")).agg(F.min("label").alias("label")), "jaccard-labels")
-        labelled = others.join(labels, F.col("key") == F.col("k_key"), "left").withColumn("pivot", F.col("label"))
-        labelled = materialise(labelled.select(*_ROWS, "n", "before", F.lit(None).cast("binary").alias("met")), "jaccard-labelled")
-        others = work.settle(labelled)
-    if others is not None:
-        work.rounds(others.select(*_ROWS, "n", F.col("open" if work.labels else "before").alias("before")))
-    links = work.found[0]
-    for more in work.found[1:]:
-        links = links.unionByName(more)
-    return materialise(links.distinct(), "jaccard-links"), large.select("key").distinct(), ngram_sets
+def _with_roots(edges: DataFrame) -> DataFrame:
+    """key and root of every end of an edge."""
+    found = components(edges)
+    return found.unionByName(found.select(F.col("root").alias("vertex"), "root").distinct()).withColumnRenamed("vertex", "g_key")
 
 
 def join_documents(
@@ -546,7 +458,6 @@ def join_documents(
     threshold: float = THRESHOLD,
     recall: float = RECALL,
     bucket_sets: int = BUCKET_SETS,
-    bucket_ngrams: int = BUCKET_NGRAMS,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, row_hash, class_id, n_copies, n_links
     and keeper.
@@ -572,50 +483,41 @@ def join_documents(
     signed = materialise(_signatures(plain, ngram, runs), "jaccard-signatures")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_hash")
     known = signed.where(F.col("key").isNotNull())
-    counts = known.groupBy("key").agg(F.count("*").alias("n_copies"), F.min(order).alias("holder"))
-    # Of equal sets any row's sketch serves; the holder's is taken.
-    classes = materialise(
-        known.join(counts, "key")
-        .where(F.col("holder").eqNullSafe(order))
-        .groupBy("key", "size", "sketch", "roots", "n_copies", "holder")
-        .agg(F.count("*").alias("repeats"))
-        .drop("repeats"),
-        "jaccard-classes",
-    )
-    links, crowded, ngram_sets = similar_classes(plain, classes, ngram, threshold, bucket_sets, bucket_ngrams)
+    # Equal sets have equal sketches.
+    of_set = [F.any_value(c).alias(c) for c in ("size", "sketch", "roots")]
+    classes = known.groupBy("key").agg(F.count("*").alias("n_copies"), F.min(order).alias("holder"), *of_set)
+    classes = materialise(classes, "jaccard-classes")
+    groups = _with_roots(materialise(_candidates(_bucketed(classes, bucket_sets), threshold), "jaccard-candidates"))
+    members = groups.join(classes, F.col("g_key") == F.col("key")).select("key", "root", "size", "n_copies", "holder")
+    links = materialise(_partners(plain, materialise(members, "jaccard-members"), ngram, threshold), "jaccard-links")
+    linked = links.groupBy(F.col("key").alias("l_key")).agg(F.sum("linked").alias("linked"))
+    joined = materialise(_with_roots(links.where("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b"))), "jaccard-groups")
     copies = classes.select(F.col("key").alias("c_key"), "n_copies", "holder")
-    roots = components(links)
-    roots = roots.unionByName(roots.select(F.col("root").alias("vertex"), "root").distinct())
-    # Similar sets are in one group: groups with a set of a large bucket are counted whole.
-    uncounted = roots.join(crowded, F.col("vertex") == F.col("key")).select(F.col("root").alias("u_root")).distinct()
-    uncounted = materialise(uncounted, "jaccard-uncounted")
-    members = roots.join(uncounted, F.col("root") == F.col("u_root")).join(classes, F.col("vertex") == F.col("key")).select("key", "root", "size", "n_copies")
-    members = materialise(members, "jaccard-members")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    linked = (
-        both.join(members.select("key"), F.col("a") == F.col("key"), "left_anti")
-        .join(copies, F.col("b") == F.col("c_key"))
-        .groupBy(F.col("a").alias("l_key"))
-        .agg(F.sum("n_copies").alias("linked"))
-    )
-    counted = materialise(_partners(members, ngram_sets, threshold), "jaccard-partners")
-    linked = linked.unionByName(counted.withColumnRenamed("key", "l_key"))
     firsts = (
-        roots.join(copies, F.col("vertex") == F.col("c_key"))
+        joined.join(copies, F.col("g_key") == F.col("c_key"))
         .groupBy(F.col("root").alias("f_root"))
         .agg(F.min("holder").alias("first"))
     )
-    grouped = roots.join(firsts, F.col("root") == F.col("f_root")).select(F.col("vertex").alias("g_key"), "first")
+    grouped = joined.join(spread(firsts), F.col("root") == F.col("f_root")).select("g_key", "first")
     verdicts = (
         copies.join(linked, F.col("c_key") == F.col("l_key"), "left")
         .join(grouped, F.col("c_key") == F.col("g_key"), "left")
         .select("c_key", "n_copies", F.coalesce("linked", F.lit(0)).alias("linked"), F.coalesce("first", "holder").alias("first"))
     )
-    return signed.join(verdicts, F.col("key") == F.col("c_key"), "left").select(
+    found = known.join(spread(verdicts), F.col("key") == F.col("c_key")).select(
+        "doc_id",
+        "row_hash",
+        F.col("first.doc_id").alias("class_id"),
+        F.col("n_copies").cast("long").alias("n_copies"),
+        (F.col("n_copies") - 1 + F.col("linked")).cast("long").alias("n_links"),
+        (F.col("first") == order).alias("keeper"),
+    )
+    alone = signed.where(F.col("key").isNull()).select(
         "doc_id",
         "row_hash",
-        F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
-        F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
-        (F.coalesce(F.col("n_copies") - 1, F.lit(0)) + F.coalesce("linked", F.lit(0))).cast("long").alias("n_links"),
-        F.coalesce(F.col("first") == order, F.lit(True)).alias("keeper"),
+        F.col("doc_id").alias("class_id"),
+        F.lit(1).cast("long").alias("n_copies"),
+        F.lit(0).cast("long").alias("n_links"),
+        F.lit(True).alias("keeper"),
     )
+    return found.unionByName(alone)
