@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finloom.llm.common import text_column, text_hash
+from finloom.llm.common import spread, text_column, text_hash
 
 WINDOW = 3
 
@@ -65,9 +65,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         .where(F.col("n") > 1)
         .select(F.col("key").alias("first_key"), "first")
     )
-    # A hot key has one row on the right; adaptive execution splits the left.
+    # A hot key has one row on the right; dealt evenly first, so that adaptive
+    # execution can split the left.
     starts = (
-        windows.join(firsts, F.col("key") == F.col("first_key"))
+        windows.join(spread(firsts), F.col("key") == F.col("first_key"))
         .where(F.struct("doc_id", "row_hash", "line") != F.col("first"))
         .groupBy("doc_id", "row_hash")
         .agg(F.sort_array(F.collect_set("line")).alias("starts"))
@@ -81,7 +82,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         'from', if(i = 0, 0, get(starts, i - 1) + {WINDOW}),
         'to', if(i = size(starts), size(lines), get(starts, i)))), g -> g.to > g.from)"""
     return (
-        identified.join(starts.hint("shuffle_hash"), same_row, "left")
+        identified.join(spread(starts).hint("shuffle_hash"), same_row, "left")
         .select("row", "text", lines.alias("lines"), "starts")
         .select("row", "text", "lines", "starts", F.expr(stretches).alias("stretches"))
         .select(
