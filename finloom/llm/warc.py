@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finloom.llm.common import filesystem, materialise, rows, shared_dir
+from finloom.llm.common import filesystem, materialise, rows, shared_dir, spread
 
 #: Payloads of fewer bytes never become revisits.
 MIN_REVISIT_BYTES = 100
@@ -47,19 +47,22 @@ def with_verdicts(pages: DataFrame) -> DataFrame:
         F.col("url").cast("string").alias("url"),
         F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload"),
     ).withColumn("digest", F.unhex(F.sha2("payload", 256)))
+    long = F.octet_length("payload") >= MIN_REVISIT_BYTES
     firsts = (
-        records.where(F.octet_length("payload") >= MIN_REVISIT_BYTES)
+        records.where(long)
         .groupBy("digest")
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
         .where((F.col("n") > 1) & F.col("first").isNotNull())
         .select(F.col("digest").alias("f_digest"), "first")
     )
     # A payload that very many pages share is a hot key with one row on the
-    # right, which adaptive execution splits.
-    return records.join(firsts.hint("shuffle_hash"), F.col("digest") == F.col("f_digest"), "left").select(
+    # right, dealt evenly first so that adaptive execution can split the left.
+    # Short payloads don't meet at all.
+    joined = records.where(long).join(spread(firsts).hint("shuffle_hash"), F.col("digest") == F.col("f_digest"), "left").select(
         "page_id", "url", "payload", "digest",
         F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"),
     )
+    return joined.unionByName(spread(records.where(~long)).withColumn("refers_to", F.lit(None).cast("long")))
 
 
 def _record(page_id: int | None, url: str | None, payload: bytes, digest: bytes, refers_to: int | None, date: str) -> bytes:
@@ -86,7 +89,12 @@ def build_dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict:
     SAMPLE_BYTES together at most or one record."""
     total = sum(map(len, records))
     step = max(1, -(-total // SAMPLE_BYTES))
-    sample = records[::step]
+    sample, held = [], 0
+    for record in records[::step]:
+        held += len(record)
+        if sample and held > SAMPLE_BYTES:
+            break
+        sample.append(record)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, sample, k=512, d=8, level=LEVEL)
     except zstandard.ZstdError:  # too few records to train on: use their bytes
