@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from finloom.llm.common import WORD, materialise, text_column, text_hash
+from finloom.llm.common import WORD, materialise, spread, text_column, text_hash
 
 WEIGHTS, SHARE, MAX_COPIES = (5, 2, 1), 1.5, 2
 #: Documents of a block on average, and the seed of the random choices.
@@ -25,6 +25,8 @@ BLOCK, SEED = 64, 20240101
 #: With no more sources than this their table (under 1 MB) is broadcast; with
 #: more, it is joined by a shuffle that adaptive execution splits where hot.
 BROADCAST_SOURCES = 10_000
+#: Rows of one id and text that are numbered at a time.
+REPEATS = 1_000_000
 
 _ITEM = "doc_id long, row_hash long, size long, h long, p double"
 _DONE = "doc_id long, row_hash long, size long, copies int"
@@ -165,6 +167,16 @@ def _round(items: DataFrame, most_docs: int, block: int) -> tuple[DataFrame, Dat
         level, width = level + 1, width * block
 
 
+def _numbered(sized: DataFrame) -> DataFrame:
+    """A row for each of ``rows``, numbered (nth), so that rows that repeat one id
+    and text meet in different blocks.  No task makes more than REPEATS of one."""
+    many = sized.where(F.col("rows") > 1)
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), (F.col("rows") - 1).cast("long"), F.lit(REPEATS).cast("long"))).alias("low")
+    last = F.least(F.col("low") + REPEATS, F.col("rows")) - 1
+    each = spread(many.select("*", chunk)).withColumn("nth", F.explode(F.sequence(F.col("low"), last))).drop("low", "rows")
+    return sized.where(F.col("rows") == 1).withColumn("nth", F.lit(0).cast("long")).drop("rows").unionByName(each)
+
+
 def mix_sources(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -181,16 +193,19 @@ def mix_sources(
     that repeat one id and text, each has its own copies.  The last fraction of
     a source goes to the nearer whole number.  Other columns are ignored.
     """
+    # Rows that repeat one id and text are one row with their number here.
     sized = materialise(
         docs.select(
             F.col("source").cast("string").alias("source"),
             F.col("doc_id").cast("long").alias("doc_id"),
             text_hash(text_column()).alias("row_hash"),
             F.regexp_count(text_column(), F.lit(WORD)).cast("long").alias("size"),
-        ),
+        )
+        .groupBy("source", "doc_id", "row_hash", "size")
+        .agg(F.count("*").alias("rows")),
         "mix-sizes",
     )
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+    totals = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.sum("rows").alias("n_docs"))
     targets = materialise(source_targets(totals, weights, share, max_copies), "mix-targets")
     n_sources, most_docs = targets.agg(F.count("*"), F.coalesce(F.max("n_docs"), F.lit(0))).first()
     small = F.broadcast(targets) if n_sources <= BROADCAST_SOURCES else targets
@@ -198,14 +213,14 @@ def mix_sources(
         F.col("source").alias("t_source"), "source_size", "n_docs", "target",
         F.coalesce(F.col("target") / F.col("source_size"), F.lit(0.0)).alias("expected"),
     )
-    joined = sized.join(small, F.col("source").eqNullSafe(F.col("t_source"))).withColumn(
+    joined = _numbered(sized).join(small, F.col("source").eqNullSafe(F.col("t_source"))).withColumn(
         "part", F.when(F.col("size") > 0, F.col("expected") - F.floor("expected")).otherwise(0.0)
     )
     item = F.struct(
         "doc_id",
         "row_hash",
         "size",
-        F.xxhash64("doc_id", "row_hash", F.lit(SEED)).alias("h"),
+        F.xxhash64("doc_id", "row_hash", "nth", F.lit(SEED)).alias("h"),
         F.col("part").alias("p"),
     )
     rounded = _round(joined.where(F.col("part") > 0).select("source", "n_docs", item.alias("item")), most_docs, block)

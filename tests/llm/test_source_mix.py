@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from tests.conftest import MEDIUM
 
+from finloom.llm import source_mix
 from finloom.llm.source_mix import mix_sources
 from tests.llm.helpers import awkward, documents
 
@@ -64,3 +65,13 @@ def test_a_source_of_many_blocks(spark):
     docs = documents(spark, ["w " * (1 + i % 9) for i in range(3000)], ["big" if i % 3 else "small" for i in range(3000)])
     rows = _check(docs, near=True)
     assert {r[0] for r in rows} == {"big", "small"}
+
+
+def test_rows_of_one_id_and_text(spark, monkeypatch):
+    """Half of the rows repeat one id and text; they are rounded apart from each other."""
+    monkeypatch.setattr(source_mix, "REPEATS", 100)
+    texts = ["w " * 7] * 1001 + ["w " * (1 + i % 9) for i in range(1000)]
+    docs = documents(spark, texts, ["a"] * 1500 + ["b"] * 501, [1] * 1001 + list(range(2, 1002)))
+    rows = _check(docs, near=True)
+    assert sum(r[1] == 1 for r in rows) == 1001
+    assert len({r[-1] for r in rows if r[1] == 1}) == 2
