@@ -245,7 +245,11 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> D
             yield pa.RecordBatch.from_arrays(columns, names)
 
     packed = plain.mapInArrow(pack, "doc_id long, row_hash long, packed_text binary")
-    found = plain.mapInArrow(places, "doc_id long, row_hash long, minimiser long, start int, n_windows int, several boolean")
+    # Written, as they are counted and then joined with the counts.
+    found = materialise(
+        plain.mapInArrow(places, "doc_id long, row_hash long, minimiser long, start int, n_windows int, several boolean"),
+        "substring-places",
+    )
     # Written, so that adaptive execution can split the join where a minimiser is hot.
     counts = materialise(
         found.groupBy("minimiser")
