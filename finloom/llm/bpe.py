@@ -98,7 +98,11 @@ class PerfectHash:
 
 
 class ByteBPE:
-    """Encoder and decoder for tokens given with their ranks, which are the ids."""
+    """Encoder and decoder for tokens given with their ranks, which are the ids.
+
+    The pattern must be one of those described at ``_CHUNK``: none of its matches
+    may go on from other characters into white space, but for one that ends there.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
@@ -210,8 +214,13 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, decoded: boo
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _bpe(rank_file, pattern)
+        before, encoded = None, np.zeros(0, "<u4")
         for batch in rows(source, 256):
-            ids = [bpe.encode(x) for x in batch.column(1).to_pylist()]
+            ids = []
+            for text in batch.column(1).to_pylist():
+                if text != before:  # copies often follow each other
+                    before, encoded = text, bpe.encode(text)
+                ids.append(encoded)
             columns = [batch.column(0), pa.array([x.tobytes() for x in ids], pa.binary())]
             if decoded:
                 columns.append(pa.array([bpe.decode(x) for x in ids], pa.binary()))
