@@ -16,7 +16,7 @@ import time
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,10 @@ from finloom.llm.common import filesystem, rows, shared_dir, text_column
 #: Samples of a row; payloads are padded to a positive multiple of it.
 WIDTH = 64
 #: Bytes of an archive, of a planned range, and of a batch.
-ARCHIVE_BYTES, RANGE_BYTES, BATCH_BYTES = 32 << 20, 8 << 20, 4 << 20
+ARCHIVE_BYTES, RANGE_BYTES, BATCH_BYTES = 64 << 20, 16 << 20, 4 << 20
+#: Partitions that a plan holds at most: beyond that, ranges grow and take in
+#: several archives.
+PARTITIONS = 50_000
 ATTEMPTS = 4
 ZLIB_LEVEL = 1
 # Signature and chunk names of the format.
@@ -98,6 +101,20 @@ def feature(samples: np.ndarray) -> str:
     return f"h={len(samples)};mean={total * 1000 // n};var={variance * 1000 // (n * n)};bits={bits:016x}"
 
 
+class _Appended(io.RawIOBase):
+    """A store's output as a file that can't seek, which is all an archive needs."""
+
+    def __init__(self, out: pa.NativeFile):
+        self.out = out
+
+    def writable(self) -> bool:
+        return True
+
+    def write(self, data) -> int:
+        self.out.write(data)
+        return len(data)
+
+
 def write_archives(docs: DataFrame, path: str | None = None) -> str:
     """Store every text as a member of archives under ``path`` (a fresh shared
     folder if None) and return the path of their manifest.
@@ -114,28 +131,28 @@ def write_archives(docs: DataFrame, path: str | None = None) -> str:
         fs, place = filesystem(folder)
         fs.create_dir(place, recursive=True)
 
-        def close(buffer: io.BytesIO, archive: zipfile.ZipFile) -> pa.RecordBatch:
+        def close() -> pa.RecordBatch:
             n = len(archive.infolist())
             archive.close()
-            name = f"{uuid.uuid4().hex}.zip"
-            with fs.open_output_stream(f"{place}/{name}") as out:
-                out.write(buffer.getbuffer())
-                size = out.tell()
+            size = out.tell()
+            out.close()
             return pa.RecordBatch.from_pylist([{"archive": f"{folder}/{name}", "n_members": n, "n_bytes": size}])
 
-        buffer = archive = None
+        # Members are streamed: a task holds one of them, not the archive.
+        archive = None
         for batch in rows(batches, 64):
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if archive is None:
-                    buffer = io.BytesIO()
-                    archive = zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED)
-                name = f"{len(archive.infolist()):08d}-{'' if doc_id is None else doc_id}.png"
-                archive.writestr(zipfile.ZipInfo(name), encode_png(text.encode()))
-                if buffer.tell() >= ARCHIVE_BYTES:
-                    yield close(buffer, archive)
-                    buffer = archive = None
+                    name = f"{uuid.uuid4().hex}.zip"
+                    out = fs.open_output_stream(f"{place}/{name}")
+                    archive = zipfile.ZipFile(_Appended(out), "w", zipfile.ZIP_STORED)
+                member = f"{len(archive.infolist()):08d}-{'' if doc_id is None else doc_id}.png"
+                archive.writestr(zipfile.ZipInfo(member), encode_png(text.encode()))
+                if out.tell() >= ARCHIVE_BYTES:
+                    yield close()
+                    archive = None
         if archive is not None:
-            yield close(buffer, archive)
+            yield close()
 
     written = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text")).mapInArrow(
         write, "archive string, n_members long, n_bytes long"
@@ -145,28 +162,64 @@ def write_archives(docs: DataFrame, path: str | None = None) -> str:
     return manifest
 
 
-class ArchiveRange(InputPartition):
-    def __init__(self, archive: str, start: int, end: int):
-        self.archive, self.start, self.end = archive, start, end
+class ArchiveRanges(InputPartition):
+    """Byte ranges (archive, start, end) that one task reads."""
+
+    def __init__(self, ranges: list[tuple[str, int, int]]):
+        self.ranges = ranges
+
+
+def planned(archives: Iterable[tuple[str, int]], range_bytes: int, partitions: int = PARTITIONS) -> list[ArchiveRanges]:
+    """Partitions of about ``range_bytes``, or of an equal share of all bytes if
+    that would be too many of them."""
+    archives = list(archives)
+    range_bytes = max(range_bytes, -(-sum(size for _, size in archives) // partitions))
+    out, held = [], range_bytes
+    for archive, size in archives:
+        for start in range(0, size, range_bytes):
+            end = min(size, start + range_bytes)
+            if held + end - start > range_bytes:
+                out.append(ArchiveRanges([]))
+                held = 0
+            out[-1].ranges.append((archive, start, end))
+            held += end - start
+    return out
 
 
 def fetch_member(opened, place: str, offset: int, size: int, crc: int, attempts: int = ATTEMPTS, wait: float = 0.2) -> bytes:
     """The bytes of one stored member by its offset.  A read that fails or whose
     checksum is wrong is tried again with a newly opened file, this member only."""
+
+    def fetch(source) -> bytes:
+        source.seek(offset)
+        header = source.read(_LOCAL_HEADER)
+        name, extra = struct.unpack_from("<HH", header, 26)
+        source.seek(offset + _LOCAL_HEADER + name + extra)
+        data = source.read(size)
+        if len(data) != size or zlib.crc32(data) != crc:
+            raise OSError("the member is damaged or cut short")
+        return data
+
+    return _tried(fetch, opened, place, f"member at {offset} of {place}", attempts, wait)
+
+
+def fetch_directory(opened, place: str, attempts: int = ATTEMPTS, wait: float = 0.2) -> list[zipfile.ZipInfo]:
+    """The members of an archive, tried again in the same way."""
+
+    def fetch(source) -> list[zipfile.ZipInfo]:
+        with zipfile.ZipFile(source) as archive:
+            return archive.infolist()
+
+    return _tried(fetch, opened, place, f"directory of {place}", attempts, wait)
+
+
+def _tried(fetch, opened, place: str, what: str, attempts: int, wait: float):
     for attempt in range(attempts):
         try:
-            source = opened(place, attempt > 0)
-            source.seek(offset)
-            header = source.read(_LOCAL_HEADER)
-            name, extra = struct.unpack_from("<HH", header, 26)
-            source.seek(offset + _LOCAL_HEADER + name + extra)
-            data = source.read(size)
-            if len(data) != size or zlib.crc32(data) != crc:
-                raise OSError("the member is damaged or cut short")
-            return data
-        except (OSError, struct.error) as e:
+            return fetch(opened(place, attempt > 0))
+        except (OSError, struct.error, zipfile.BadZipFile) as e:
             if attempt + 1 == attempts:
-                raise OSError(f"member at {offset} of {place}: {e}") from e
+                raise OSError(f"{what}: {e}") from e
             time.sleep(wait * 2**attempt)
     raise ValueError("attempts must be positive")
 
@@ -177,24 +230,25 @@ class ArchiveReader(DataSourceReader):
         self.range_bytes = int(options.get("range_bytes", RANGE_BYTES))
         self.attempts = int(options.get("attempts", ATTEMPTS))
 
-    def partitions(self) -> list[ArchiveRange]:
-        """Byte ranges of the archives; what the plan holds grows with their
-        number, not with that of the members."""
+    def partitions(self) -> list[ArchiveRanges]:
+        """Byte ranges of the archives, from their manifest: names and sizes of
+        archives of 64 MB each; the plan never looks at members."""
         fs, place = filesystem(self.manifest)
         files = [f.path for f in fs.get_file_info(pafs.FileSelector(place)) if f.path.endswith(".parquet")]
         if not files:
             return []
         table = pads.dataset(files, filesystem=fs, format="parquet").to_table(columns=["archive", "n_bytes"])
-        return [
-            ArchiveRange(archive, start, start + self.range_bytes)
-            for archive, size in zip(*(c.to_pylist() for c in table.columns))
-            for start in range(0, size, self.range_bytes)
-        ]
+        return planned(zip(*(c.to_pylist() for c in table.columns)), self.range_bytes)
 
-    def read(self, partition: ArchiveRange | None) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: ArchiveRanges | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # Spark's call for a plan without partitions
             return
-        fs, place = filesystem(partition.archive)
+        for archive, start, end in partition.ranges:
+            yield from self._members(archive, start, end)
+
+    def _members(self, archive: str, start: int, end: int) -> Iterator[pa.RecordBatch]:
+        """The members that start in a range."""
+        fs, place = filesystem(archive)
         files: dict[str, pa.NativeFile] = {}
 
         def opened(path: str, anew: bool = False) -> pa.NativeFile:
@@ -202,15 +256,16 @@ class ArchiveReader(DataSourceReader):
                 files[path] = fs.open_input_file(path)
             return files[path]
 
-        with zipfile.ZipFile(opened(place)) as archive:
-            members = [m for m in archive.infolist() if partition.start <= m.header_offset < partition.end]
+        members = fetch_directory(opened, place, self.attempts)
         files.clear()
         found: list[dict] = []
         held = 0
         for m in members:
+            if not start <= m.header_offset < end:
+                continue
             data = fetch_member(opened, place, m.header_offset, m.compress_size, m.CRC, self.attempts)
             number = m.filename.rpartition(".")[0].partition("-")[2]
-            found.append({"archive": partition.archive, "member": m.filename, "offset": m.header_offset, "doc_id": int(number) if number else None, "media": data})
+            found.append({"archive": archive, "member": m.filename, "offset": m.header_offset, "doc_id": int(number) if number else None, "media": data})
             held += len(data)
             if held >= BATCH_BYTES:
                 yield pa.RecordBatch.from_pylist(found, _MEMBER)

@@ -80,3 +80,34 @@ def test_a_member_is_fetched_again_by_itself(tmp_path):
 def test_feature_depends_on_the_samples_alone():
     a = np.arange(128, dtype=np.uint8).reshape(2, 64)
     assert media.feature(a) == media.feature(a.copy()) != media.feature(a[::-1] + np.uint8(1))
+
+
+def test_plans_stay_small():
+    archives = [(f"a{i}", 100 + 37 * i) for i in range(40)]
+    for range_bytes, most in ((50, 1000), (50, 7), (10**9, 5)):
+        parts = media.planned(archives, range_bytes, most)
+        assert len(parts) <= 2 * most + 1
+        pieces = [r for p in parts for r in p.ranges]
+        assert [(a, e - s) for a, s, e in sorted(pieces, key=lambda x: (int(x[0][1:]), x[1]))] == [(a, e - s) for a, s, e in pieces]
+        for name, size in archives:
+            own = [(s, e) for a, s, e in pieces if a == name]
+            assert own[0][0] == 0 and own[-1][1] == size and all(x[1] == y[0] for x, y in zip(own, own[1:]))
+    assert media.planned([], 50) == []
+
+
+def test_a_directory_is_fetched_again(tmp_path):
+    path = tmp_path / "a.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        archive.writestr("one", b"1")
+    tries = []
+
+    def opened(place, anew):
+        tries.append(anew)
+        if len(tries) < 3:
+            raise OSError("gone")
+        return open(place, "rb")
+
+    assert [m.filename for m in media.fetch_directory(opened, str(path), wait=0.0)] == ["one"]
+    assert tries == [False, True, True]
+    with pytest.raises(OSError):
+        media.fetch_directory(lambda place, anew: io.BytesIO(b"no archive"), str(path), attempts=2, wait=0.0)
