@@ -64,19 +64,22 @@ u AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos
 v AS (SELECT u.doc_id, word, bool_or(coalesce(twice, false)) OVER (PARTITION BY u.doc_id ORDER BY pos ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS again
   FROM u LEFT JOIN s USING (doc_id, pos)),
 a AS (SELECT doc_id, count(*) AS n_words, CAST(sum(length(word)) AS BIGINT) AS word_chars, count(*) FILTER (again) AS n_repeat_words FROM v GROUP BY 1),
-l AS (SELECT doc_id, source, text, line, {_WORDS.replace("coalesce(text, '')", 'line')} AS parts
-  FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM w)),
+l AS (SELECT doc_id, source, text, line, pos, {_WORDS.replace("coalesce(text, '')", 'line')} AS parts
+  FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM w)),
 k AS (SELECT *, lower(array_to_string(parts, ' ')) AS norm FROM l WHERE len(parts) > 0),
 n AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM k GROUP BY 1),
 f AS (SELECT source, norm, count(DISTINCT text) AS docs FROM k GROUP BY 1, 2),
 t AS (SELECT source, count(DISTINCT text) AS docs FROM w GROUP BY 1),
 b AS (SELECT f.source, f.norm FROM f JOIN t ON f.source IS NOT DISTINCT FROM t.source
   WHERE f.docs > {quality_rules.LINE_DOCS} AND f.docs > {quality_rules.LINE_SHARE} * t.docs),
+y AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS left_text FROM l LEFT JOIN b
+  ON l.source IS NOT DISTINCT FROM b.source AND lower(array_to_string(l.parts, ' ')) = b.norm WHERE b.norm IS NULL GROUP BY 1),
 x AS (SELECT doc_id, CAST(sum(len(parts)) AS BIGINT) AS gone FROM k SEMI JOIN b ON k.source IS NOT DISTINCT FROM b.source AND k.norm = b.norm GROUP BY 1),
 q AS (SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
     CAST(len(regexp_extract_all(w.text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
-    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(gone, 0) AS n_boilerplate_words
-  FROM w LEFT JOIN a ON a.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN x ON x.doc_id = w.doc_id),
+    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(gone, 0) AS n_boilerplate_words,
+    sha256(coalesce(left_text, '')) AS kept_sha256
+  FROM w LEFT JOIN y ON y.doc_id = w.doc_id LEFT JOIN a ON a.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN x ON x.doc_id = w.doc_id),
 z AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEATED_PCT} * n_words AS base_failed FROM q)
 SELECT *, NOT base_failed AND n_words - n_boilerplate_words >= {quality_rules.MIN_LEFT_SHARE} * n_words AS kept FROM z"""
 

@@ -9,6 +9,9 @@ depleted.
 
 Copies of a text count as one document, so a text that was merely copied often
 does not turn its own lines into boilerplate.
+
+Texts are read twice, for their lines and for the verdicts, and never shuffled
+(unless there are very many lines above the limit).
 """
 
 from __future__ import annotations
@@ -20,9 +23,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import types as T
 
-from finloom.llm.common import materialise, rows, text_column, text_hash
+from finloom.llm.common import materialise, rows, spread, text_column, text_hash
 
 #: Shortest document, in words, and the largest share of words in repeated
 #: three-word windows, in per cent.
@@ -33,11 +36,13 @@ LINE_SHARE, LINE_DOCS = 0.1, 20
 #: A document is depleted if less than this share of its words is left.
 MIN_LEFT_SHARE = 0.5
 
+#: With no more lines above the limit than this their table (some tens of MB) is
+#: broadcast; with more, texts are joined with it by a shuffle.
+BROADCAST_LINES = 1_000_000
+#: Hosts whose lines a task remembers before it starts anew.
+CACHED_HOSTS = 1000
+
 _SYMBOLS = "#*$%&|<>"
-_FEATURES = (
-    "doc_id long, host string, row_hash long, n_words long, word_chars long, n_symbols long, "
-    "n_dup_lines long, n_repeat_words long, lines array<struct<hash:long,words:int>>"
-)
 
 
 def _repeated_words(words: list[bytes]) -> int:
@@ -63,61 +68,70 @@ def _line_key(parts: list[bytes]) -> int:
     return key - ((key >> 63) << 64)
 
 
-def without_lines(text: str, gone: list[int]) -> str:
-    """The lines of the text whose normalised hash is not in ``gone``, in order."""
-    drop = set(gone)
-    parted = ((line, line.encode().split()) for line in text.split("\n"))
-    return "\n".join(line for line, parts in parted if not parts or _line_key(parts) not in drop)
-
-
-@F.arrow_udf(StringType())
-def _kept_text(text: pa.Array, gone: pa.Array) -> pa.Array:
-    found = zip(text.to_pylist(), gone.to_pylist())
-    return pa.array([without_lines(x, lines) if lines else x for x, lines in found], pa.string())
+def line_keys(text: str) -> set[int]:
+    """Hashes of the distinct normalised lines of a text.
 
+    A line is normalised by lower-casing it and joining its words with one
+    space; lines without a word are left out.
+    """
+    parted = (line.split() for line in text.encode().split(b"\n"))
+    return {_line_key(parts) for parts in parted if parts}
 
-def kept_text(text: Column, boilerplate: Column) -> Column:
-    """``text`` without the lines that ``quality_verdicts`` names as boilerplate."""
-    return _kept_text(F.coalesce(text.cast("string"), F.lit("")), boilerplate)
 
+def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in rows(batches):
+        keys = [list(line_keys(x)) for x in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(keys, pa.list_(pa.int64()))], ["host", "row_hash", "lines"])
 
-def text_features(text: str) -> tuple[int, int, int, int, int, list[dict]]:
-    """The counts of one text and its distinct normalised lines with their words.
 
-    A line is normalised by lower-casing it and joining its words with one
-    space; lines without a word are left out.
-    """
+def text_features(text: str, gone: set[int]) -> tuple[int, int, int, int, int, int, str]:
+    """Words, their code points, symbols, repeated lines, words in repeated
+    windows, words in the lines whose hashes are ``gone``, and the text without
+    those lines."""
     raw = text.encode()
     words = raw.split()
     seen: set[bytes] = set()
-    repeated = 0
-    lines: dict[int, int] = {}
+    repeated = gone_words = 0
+    kept: list[bytes] = []
     for line in raw.split(b"\n"):
         parts = line.split()
-        if not parts:
-            continue
-        repeated += line in seen
-        seen.add(line)
-        key = _line_key(parts)
-        lines[key] = lines.get(key, 0) + len(parts)
+        if parts:
+            repeated += line in seen
+            seen.add(line)
+            if gone and _line_key(parts) in gone:
+                gone_words += len(parts)
+                continue
+        kept.append(line)
     return (
         len(words),
         _code_points(b"".join(words)),
         sum(map(text.count, _SYMBOLS)),
         repeated,
         _repeated_words(words),
-        [{"hash": k, "words": v} for k, v in lines.items()],
+        gone_words,
+        b"\n".join(kept).decode() if gone_words else text,
     )
 
 
-def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    line_type = pa.list_(pa.struct([("hash", pa.int64()), ("words", pa.int32())]))
-    for batch in rows(batches):
-        found = [text_features(x) for x in batch.column(3).to_pylist()]
-        columns = [pa.array(x, pa.int64()) for x in list(zip(*found))[:5]]
-        lines = pa.array([x[5] for x in found], line_type)
-        names = ["doc_id", "host", "row_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns, lines], names)
+def boilerplate_lines(docs: DataFrame, line_share: float = LINE_SHARE, line_docs: int = LINE_DOCS) -> DataFrame:
+    """host and gone, the hashes of its lines above the limit; docs: host, row_hash, text.
+
+    A host has few of them, however many documents it has: a line takes the
+    stated share of its texts, which hold so many distinct lines on average.
+    """
+    lines = materialise(docs.mapInArrow(_key_batches, "host string, row_hash long, lines array<long>"), "quality-lines")
+    # Counts of distinct texts; both steps combine before their shuffle, so
+    # neither a line that all documents hold nor a host with most rows is hot.
+    each = lines.select("host", "row_hash", F.explode("lines").alias("hash")).distinct()
+    line_counts = each.groupBy("host", "hash").agg(F.count("*").alias("line_docs")).where(F.col("line_docs") > line_docs)
+    host_counts = lines.select("host", "row_hash").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
+    common = (
+        spread(line_counts)
+        .alias("c")
+        .join(spread(host_counts).alias("h"), F.col("c.host").eqNullSafe(F.col("h.host")))
+        .where(F.col("c.line_docs") > line_share * F.col("h.host_docs"))
+    )
+    return materialise(common.groupBy("c.host").agg(F.collect_list("c.hash").alias("gone")), "quality-common")
 
 
 def base_failed() -> Column:
@@ -130,61 +144,51 @@ def quality_verdicts(
     line_share: float = LINE_SHARE,
     line_docs: int = LINE_DOCS,
     min_left_share: float = MIN_LEFT_SHARE,
+    columns: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text and the column ``host``).
 
-    Returns doc_id, row_hash, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, n_boilerplate_words, base_failed, kept and boilerplate (the
-    hashes of the lines above the limit, for ``kept_text``; null without any).
+    Returns row (a struct of the input's ``columns``), n_words, word_chars,
+    n_symbols, n_dup_lines, n_repeat_words, n_boilerplate_words, kept_text (the
+    text without its lines above the limit), base_failed and kept.
 
-    Null text: no words, so base_failed.  Null host: a host of its own.  Rows
-    that repeat one id and text get one verdict each, all alike.  Other columns
-    are ignored, whatever their names.
+    Null text: no words, so base_failed.  Null host: a host of its own.
+    Repeated rows get one verdict each, all alike.  Other columns are ignored,
+    whatever their names.
     """
-    features = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+    plain = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
         F.col(host).cast("string").alias("host"),
         text_hash(text_column()).alias("row_hash"),
         text_column().alias("text"),
-    ).mapInArrow(_feature_batches, _FEATURES)
-    features = materialise(features, "quality-features")
-
-    lines = features.select("host", "doc_id", "row_hash", F.inline("lines").alias("hash", "words"))
-    # Counts of distinct texts; both steps combine before their shuffle, so
-    # neither a line that all documents hold nor a host with most rows is hot.
-    line_counts = (
-        lines.select("host", "hash", "row_hash").distinct().groupBy("host", "hash").agg(F.count("*").alias("line_docs"))
     )
-    host_counts = (
-        features.select("host", "row_hash").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    )
-    same_host = F.col("c.host").eqNullSafe(F.col("h.host"))
-    common = (
-        line_counts.where(F.col("line_docs") > line_docs)
-        .alias("c")
-        .join(host_counts.alias("h"), same_host)
-        .where(F.col("c.line_docs") > line_share * F.col("h.host_docs"))
-        .select(F.col("c.host").alias("b_host"), F.col("c.hash").alias("b_hash"))
-    )
-    # A hot line is a hot join key with one row on the other side: adaptive
-    # execution splits it.
-    removed = (
-        lines.join(common, F.col("host").eqNullSafe(F.col("b_host")) & (F.col("hash") == F.col("b_hash")))
-        .select("doc_id", "row_hash", "hash", "words")
-        .distinct()
-        .groupBy("doc_id", "row_hash")
-        .agg(F.sum("words").alias("gone"), F.array_sort(F.collect_set("hash")).alias("boilerplate"))
-        .select(F.col("doc_id").alias("r_doc_id"), F.col("row_hash").alias("r_row_hash"), "gone", "boilerplate")
-    )
-    left = F.col("n_words") - F.col("n_boilerplate_words")
+    common = boilerplate_lines(plain.select("host", "row_hash", "text"), line_share, line_docs)
+    n_lines = common.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0]
+    common = common.withColumnRenamed("host", "c_host")
+    if n_lines <= BROADCAST_LINES:
+        common = F.broadcast(common)
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_boilerplate_words")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_host: dict[str | None, set[int]] = {}
+        for batch in rows(batches):
+            gone = batch.column(3)
+            found = []
+            for i, (name, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                if name not in of_host:
+                    if len(of_host) >= CACHED_HOSTS:
+                        of_host.clear()
+                    of_host[name] = set(gone[i].as_py() or ())
+                found.append(text_features(text, of_host[name]))
+            *numbers, kept = zip(*found)
+            arrays = [*(pa.array(x, pa.int64()) for x in numbers), pa.array(kept, pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["row", *counts, "kept_text"])
+
+    schema = T.StructType([plain.schema["row"], *(T.StructField(c, T.LongType()) for c in counts), T.StructField("kept_text", T.StringType())])
     return (
-        features.drop("lines")
-        .join(removed, F.col("doc_id").eqNullSafe(F.col("r_doc_id")) & (F.col("row_hash") == F.col("r_row_hash")), "left")
-        .withColumn("n_boilerplate_words", F.coalesce("gone", F.lit(0)))
+        plain.join(common, F.col("host").eqNullSafe(F.col("c_host")), "left")
+        .select("row", "host", "text", "gone")
+        .mapInArrow(judge, schema)
         .withColumn("base_failed", base_failed())
-        .withColumn("kept", ~F.col("base_failed") & (left >= min_left_share * F.col("n_words")))
-        .select(
-            "doc_id", "row_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-            "n_repeat_words", "n_boilerplate_words", "base_failed", "kept", "boilerplate",
-        )
-    )
+        .withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("n_boilerplate_words") >= min_left_share * F.col("n_words")))
+    )

@@ -78,8 +78,8 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(_table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "n_boilerplate_words",
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "n_boilerplate_words", F.sha2("kept_text", 256).alias("kept_sha256"),
     )
 
 

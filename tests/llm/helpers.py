@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Extra columns whose names the operators use inside.
@@ -23,3 +26,35 @@ def awkward(spark: SparkSession) -> DataFrame:
     ids = [0, 1, 2, 3, 4, 4, 5, 6, 7, 8, None]
     sources = ["a", None, "a", "b", "a", "a", None, "b", "a", "a", "b"]
     return documents(spark, texts, sources, ids)
+
+
+@contextmanager
+def many_partitions(spark: SparkSession) -> Iterator[None]:
+    """Settings under which a key of a tenth of the rows is a skewed partition."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.files.maxPartitionBytes": "64k",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def executed(df: DataFrame) -> str:
+    """The plan that adaptive execution ended with."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -162,34 +162,6 @@ def test_recall_where_buckets_split(monkeypatch):
     assert np.mean(np.any(met, axis=0)) >= 0.999
 
 
-def test_hot_keys_are_split(spark):
-    """A key in half of all rows: the join with a small table is dealt anew."""
-    from finloom.storage import spread
-
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.shuffle.partitions": "16",
-    }
-    before = {k: spark.conf.get(k) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        rows = spark.range(0, 40_000, 1, 8).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
-        low = rows.groupBy(F.col("k").alias("f")).agg(F.min("v").alias("low"))
-        joined = rows.join(spread(low), F.col("k") == F.col("f"))
-        joined.write.format("noop").mode("overwrite").save()
-        assert joined.count() == 40_000
-        # The plan that was executed is that of the same query object.
-        joined.collect()
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-
-
 def test_runs_allow_for_splits():
     share = 0.8 * jaccard_join.kept_together(0.8)
     assert abs(share - 0.75) < 1e-9

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 from tests.conftest import MEDIUM, SMALL
 
+from finloom.llm import quality_rules
 from finloom.llm.quality_rules import quality_verdicts
 from tests.llm.helpers import awkward, documents
 
@@ -33,10 +34,12 @@ def brute(rows, share=0.1, docs=20, left=0.5) -> list[tuple]:
         counts = Counter(grams)
         repeated = {j for i, g in enumerate(grams) if counts[g] > 1 for j in range(i, i + 3)}
         cut = [x for x in t.split("\n") if WORD.search(x)]
-        gone = sum(n for line, n in own.items() if len(holders[r.source, line]) > docs and len(holders[r.source, line]) > share * len(hosts[r.source]))
+        common = {x for x in own if len(holders[r.source, x]) > docs and len(holders[r.source, x]) > share * len(hosts[r.source])}
+        gone = sum(own[x] for x in common)
+        kept = "\n".join(x for x in t.split("\n") if " ".join(WORD.findall(x)).lower() not in common)
         failed = len(words) < 50 or 100 * len(repeated) > 50 * len(words)
         out.append((
-            r.doc_id, len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), len(cut) - len(set(cut)), len(repeated), gone, failed,
+            r.doc_id, len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), len(cut) - len(set(cut)), len(repeated), gone, kept, failed,
             not failed and len(words) - gone >= left * len(words),
         ))
     return out
@@ -45,7 +48,7 @@ def brute(rows, share=0.1, docs=20, left=0.5) -> list[tuple]:
 def _check(docs):
     rows = docs.collect()
     found = Counter(
-        (r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.n_boilerplate_words, r.base_failed, r.kept)
+        (r.row.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.n_boilerplate_words, r.kept_text, r.base_failed, r.kept)
         for r in quality_verdicts(docs).collect()
     )
     assert found == Counter(brute(rows))
@@ -59,6 +62,11 @@ def test_awkward(spark):
     _check(awkward(spark))
 
 
+def test_lines_joined_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "BROADCAST_LINES", -1)
+    _check(spark.read.parquet(f"{SMALL}/documents.parquet"))
+
+
 def test_empty(spark):
     assert quality_verdicts(documents(spark, [])).count() == 0
 
@@ -72,7 +80,7 @@ def test_boilerplate_depletes_documents(spark):
     sources = ["a"] * 30 + ["a", "b", None]
     docs = documents(spark, texts, sources)
     _check(docs)
-    kept = {r.doc_id: r.kept for r in quality_verdicts(docs).collect()}
+    kept = {r.row.doc_id: r.kept for r in quality_verdicts(docs).collect()}
     assert kept[0] and not kept[30] and kept[31] and kept[32]
 
 
