@@ -25,13 +25,13 @@ def _with_verdicts(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, without their boilerplate lines."""
-    kept = quality_rules.quality_verdicts(docs).where("kept").select("doc_id", "row_hash", "boilerplate")
-    cut = F.col("v.boilerplate").isNotNull()
-    text = F.when(cut, quality_rules.kept_text(F.col("d.text"), F.col("v.boilerplate"))).otherwise(F.col("d.text"))
-    joined = _with_verdicts(docs, kept).select("d.*", text.alias("_kept_text"), cut.alias("_cut"))
-    n_chars = F.when(F.col("_cut"), F.length("_kept_text").cast("long")).otherwise(F.col("n_chars"))
-    new = {"text": F.col("_kept_text"), "n_chars": n_chars}
-    return joined.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
+    kept = quality_rules.quality_verdicts(docs, columns=tuple(docs.columns)).where("kept")
+    cut = F.col("n_boilerplate_words") > 0
+    new = {
+        "text": F.when(cut, F.col("kept_text")).otherwise(F.col("row.text")),
+        "n_chars": F.when(cut, F.length("kept_text").cast("long")).otherwise(F.col("row.n_chars")),
+    }
+    return kept.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
