@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Formats that listings use, tried in this order.
-FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "MMM d, yyyy", "yyyy-MM-dd")
+FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "MMM d, yyyy", "yyyy-MM-dd", "MM/dd/yyyy")
 
 
 def parse_formats(text: Column, now: Column | None = None, formats: Sequence[str] = FORMATS) -> Column:

@@ -40,3 +40,7 @@ def content_id(content: Column, kind: str | None = None, length: int = 32) -> Co
 
 def datapoint_id(source_hash: Column, metric: Column, period: Column) -> Column:
     return content_id(F.concat_ws(":", source_hash, metric, period))
+
+
+def creator_topic_id(slug: Column, genre: Column) -> Column:
+    return content_id(F.concat_ws(":", F.lit("topic"), slug, genre), length=8)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,14 +32,22 @@ def jaccard(a: Column, b: Column) -> Column:
 
 def hits(text: Column, keywords: Sequence[str]) -> Column:
     """Keywords that occur in the text, case ignored, in the given order."""
-    low = F.lower(F.coalesce(text, F.lit("")))
     if not keywords:
         return F.array().cast("array<string>")
-    return F.filter(_lits(keywords), lambda k: F.contains(low, F.lower(k)))
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(k.lower()).alias("low")) for k in keywords])
+    return F.element_at(F.transform(_lowered(text), lambda t: F.transform(F.filter(pairs, lambda p: F.contains(t, p["low"])), lambda p: p["k"])), 1)
+
+
+def _lowered(text: Column) -> Column:
+    """The text in lower case in an array: a function of its element has it
+    computed once, not once a keyword."""
+    return F.array(F.lower(F.coalesce(text, F.lit(""))))
 
 
 def has_any(text: Column, keywords: Sequence[str]) -> Column:
-    return F.size(hits(text, keywords)) > 0
+    if not keywords:
+        return F.lit(False)
+    return F.exists(_lowered(text), lambda t: reduce(Column.__or__, [F.contains(t, F.lit(k.lower())) for k in keywords]))
 
 
 def matches_query(query: str, *fields: Column) -> Column:
@@ -134,3 +143,20 @@ def slug(text: Column) -> Column:
 def levenshtein_similarity(a: Column, b: Column) -> Column:
     longest = F.greatest(F.length(a), F.length(b))
     return F.when(longest > 0, 1 - F.levenshtein(a, b) / longest).otherwise(F.lit(1.0))
+
+
+def fenced_json(text: Column) -> Column:
+    """What stands in the first fenced json block of an answer, or the trimmed answer."""
+    inner = F.regexp_extract(text, r"(?s)```json\s*(.*?)\s*```", 1)
+    return F.when(text.rlike(r"(?s)```json\s*.*?\s*```"), inner).otherwise(F.trim(text))
+
+
+def before_marker(text: Column, marker: str) -> Column:
+    """The text up to the first ``marker``; all of it without one."""
+    return F.substring_index(text, marker, 1)
+
+
+def should_fall_back(status: Column, content: Column, least: int = 200) -> Column:
+    """Whether an extraction must be tried another way: it failed, or what it
+    found is shorter than ``least``."""
+    return (status == "failed") | ((status == "success") & (F.length(F.coalesce(content, F.lit(""))) < least))

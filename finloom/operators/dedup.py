@@ -34,6 +34,12 @@ def new_rows(fetched: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return fetched.join(existing.select(key).distinct(), key, "left_anti")
 
 
+def processed(hashes: DataFrame, state: DataFrame, key: str) -> DataFrame:
+    """Rows with whether their key has been completed: state (key, status)."""
+    done = state.where("status = 'completed'").select(key).distinct().withColumn("done", F.lit(True))
+    return hashes.join(done, key, "left").withColumn("done", F.coalesce("done", F.lit(False)))
+
+
 def unseen(fetched: DataFrame, history: DataFrame, key: str, seen_at: str, cutoff: str, null_is_seen: bool) -> DataFrame:
     """Fetched rows not seen since ``cutoff``.  An entry without a time counts
     as seen or not, by ``null_is_seen``."""

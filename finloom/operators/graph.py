@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finloom.storage import materialise, spread
+from finloom.storage import discard, materialise, spread
 
 
 def endpoints(edges: DataFrame) -> DataFrame:
@@ -76,8 +76,9 @@ def components(links: DataFrame) -> DataFrame:
     sign = (F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)))
     before, n = None, 0
     while before != (now := tuple(edges.agg(*sign).first())):
-        before, n = now, n + 1
-        edges = materialise(_small_star(_large_star(edges)), f"components-{n}")
+        before, n, old = now, n + 1, edges
+        edges = materialise(_small_star(_large_star(old)), f"components-{n}")
+        discard(old)
     return edges.select(F.col("a").alias("vertex"), F.col("b").alias("root"))
 
 
@@ -92,17 +93,72 @@ def hop_distances(edges: DataFrame, start: DataFrame, hops: int) -> DataFrame:
     """id and distance of what ``start`` (id) reaches over undirected edges in at
     most ``hops`` steps.  Each step joins the frontier, not all nodes found."""
     both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    found = materialise(start.select("id", F.lit(0).alias("distance")).distinct(), "hops-0")
+    found = frontier = materialise(start.select("id", F.lit(0).alias("distance")).distinct(), "hops-0")
     for step in range(1, hops + 1):
-        frontier = found.where(F.col("distance") == step - 1)
         if frontier.isEmpty():
             break
         reached = frontier.join(both, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct()
-        fresh = reached.join(found.select("id"), "id", "left_anti").withColumn("distance", F.lit(step))
-        found = materialise(found.unionByName(fresh), f"hops-{step}")
+        frontier = materialise(reached.join(found.select("id"), "id", "left_anti").withColumn("distance", F.lit(step)), f"hops-{step}")
+        found = found.unionByName(frontier)
     return found
 
 
+def pair_distances(edges: DataFrame, pairs: DataFrame, hops: int) -> DataFrame:
+    """a, b and distance (null beyond ``hops`` undirected steps) of every pair.
+
+    All pairs search at once, from both ends: a step moves the frontier of one
+    side, each node with the ends it is reached from, and pairs leave as soon as
+    the two sides meet.  Half the depth keeps frontiers small.
+    """
+    pairs = pairs.select("a", "b").distinct()
+    both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    both = materialise(both.where(F.col("src") != F.col("dst")), "distances-edges")
+    seen = {s: materialise(pairs.select("a", "b", F.col(s).alias("id"), F.lit(0).alias("d")), f"distances-{s}0") for s in "ab"}
+    edge_of = dict(seen)
+    met = materialise(pairs.where(F.col("a").eqNullSafe(F.col("b"))).withColumn("distance", F.lit(0)), "distances-met0")
+    for step in range(1, hops + 1):
+        side, other = ("a", "b") if step % 2 else ("b", "a")
+        open_ = edge_of[side].join(met.select("a", "b"), ["a", "b"], "left_anti")
+        if open_.isEmpty():
+            continue
+        reached = open_.join(both, F.col("id") == F.col("src")).select("a", "b", F.col("dst").alias("id")).distinct()
+        fresh = reached.join(seen[side].select("a", "b", "id"), ["a", "b", "id"], "left_anti").withColumn("d", F.lit(step))
+        edge_of[side] = materialise(fresh, f"distances-{side}{step}")
+        seen[side] = seen[side].unionByName(edge_of[side])
+        now = edge_of[side].join(seen[other].select("a", "b", "id"), ["a", "b", "id"]).select("a", "b").distinct()
+        met = met.unionByName(materialise(now.withColumn("distance", F.lit(step)), f"distances-met{step}"))
+    return pairs.join(met, ["a", "b"], "left").select("a", "b", "distance")
+
+
+def simple_cycles(edges: DataFrame, longest: int) -> DataFrame:
+    """Directed cycles of 2 to ``longest`` different vertices, once each: vertices,
+    an array that begins with the smallest.
+
+    Only edges inside strongly connected parts take part: vertices without an
+    edge in or out are peeled off first.  Paths grow from their smallest vertex
+    by larger ones, so a cycle is found once.
+    """
+    e = materialise(edges.where(F.col("src") != F.col("dst")).select("src", "dst").distinct(), "cycles-edges")
+    n = -1
+    while (now := e.count()) != n:
+        n, old = now, e
+        kept = old.join(old.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(old.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
+        e = materialise(kept.select("src", "dst"), "cycles-edges")
+        discard(old)
+    step = e.select(F.col("src").alias("at"), F.col("dst").alias("next"))
+    paths = e.where(F.col("src") < F.col("dst")).select(F.array("src", "dst").alias("vertices"), F.col("src").alias("first"), F.col("dst").alias("at"))
+    cycles = None
+    for size in range(2, longest + 1):
+        paths = materialise(paths, f"cycles-{size}")
+        closed = paths.join(step.withColumnRenamed("next", "first"), ["at", "first"], "left_semi").select("vertices")
+        cycles = closed if cycles is None else cycles.unionByName(closed)
+        if size == longest or paths.isEmpty():
+            break
+        longer = paths.join(step, "at").where((F.col("next") > F.col("first")) & ~F.array_contains("vertices", F.col("next")))
+        paths = longer.select(F.concat("vertices", F.array("next")).alias("vertices"), "first", F.col("next").alias("at"))
+    return cycles
+
+
 def short_cycles(edges: DataFrame) -> DataFrame:
     """Directed cycles of two or three different vertices, once each: a < b, a < c
     (c null for two)."""

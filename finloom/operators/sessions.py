@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from finloom.functions import text, url
 from finloom.operators.dedup import keep_newest
+from finloom.storage import spread
 
 _URL = r"https?://[^\s)\]>\"']+"
 
@@ -43,14 +44,18 @@ def known_duplicates(new: DataFrame, known: DataFrame, threshold: float = 0.85)
 
     a = new.select("id", url.normalize_url(F.col("url")).alias("normal"), F.array_sort(text.word_set(F.coalesce("title", F.lit("")))).alias("words"))
     b = known.select("pos", F.col("id").alias("known_id"), url.normalize_url(F.col("url")).alias("normal"), F.array_sort(text.word_set(F.coalesce("title", F.lit("")))).alias("words"))
-    by_url = a.where("normal <> ''").join(b, "normal").select("id", "pos", "known_id", F.lit("url").alias("reason"))
+    # One known item a URL or title is enough: that which comes first.
+    first_known = F.min(F.struct("pos", "known_id")).alias("k")
+    of_url = b.groupBy("normal").agg(first_known).select("normal", "k.*")
+    by_url = a.where("normal <> ''").join(spread(of_url), "normal").select("id", "pos", "known_id", F.lit("url").alias("reason"))
     key = lambda: F.xxhash64("words")
     sets = a.select("words").unionByName(b.select("words")).where(F.size("words") > 0).distinct().withColumn("set", key())
     pairs = similar_sets(sets, "set", "words", threshold).select("a", "b")
     same = sets.select(F.col("set").alias("a"), F.col("set").alias("b"))
     linked = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(same)
-    ours, theirs = a.select("id", key().alias("a")), b.select("pos", "known_id", key().alias("b"))
-    by_title = ours.join(linked, "a").join(theirs, "b").select("id", "pos", "known_id", F.lit("title").alias("reason"))
+    theirs = b.groupBy(key().alias("b")).agg(first_known).select("b", "k.*")
+    of_title = linked.join(theirs, "b").groupBy("a").agg(first_known).select("a", "k.*")
+    by_title = a.select("id", key().alias("a")).join(spread(of_title), "a").select("id", "pos", "known_id", F.lit("title").alias("reason"))
     # Of one known item the URL is the reason that is found first.
     both = by_url.unionByName(by_title)
     first = F.min(F.struct("pos", F.when(F.col("reason") == "url", 0).otherwise(1).alias("rank"), "known_id", "reason")).alias("m")
@@ -88,6 +93,28 @@ def entry_errors(presets: DataFrame) -> DataFrame:
     return presets.withColumn("errors", problems)
 
 
+def preset_problems(entries: DataFrame, content: str, intervals: Sequence[str]) -> DataFrame:
+    """Presets as JSON objects with what is wrong with them (errors) or odd
+    (warnings): required fields, web address, types and known intervals."""
+    kind = F.schema_of_variant
+    v = F.try_parse_json(content)
+    of = lambda name: F.try_variant_get(v, f"$.{name}", "string")
+    typed = lambda name: kind(F.try_variant_get(v, f"$.{name}", "variant"))
+    scheme, host = F.lower(F.regexp_extract(F.coalesce(of("url"), F.lit("")), r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)), url.host(F.coalesce(of("url"), F.lit("")))
+    given = F.coalesce(of("url"), F.lit("")) != ""
+    errors = F.array_compact(F.array(
+        F.when(v.isNull() | ~F.coalesce(kind(v).startswith("OBJECT"), F.lit(False)), "not an object"),
+        *[F.when(typed(c).isNull(), f"{c} is missing") for c in ("url", "title", "category")],
+        F.when(given & ~scheme.isin("http", "https"), "scheme is not http or https"), F.when(given & (host == ""), "no host"), F.when(~given, "url is empty"),
+        F.when(typed("enabled").isNotNull() & ~typed("enabled").isin("BOOLEAN", "VOID"), "enabled is not a boolean"),
+    ))
+    warnings = F.array_compact(F.array(
+        F.when((F.coalesce(of("fetch_interval"), F.lit("")) != "") & ~of("fetch_interval").isin(*intervals), "unknown interval"),
+        F.when(typed("tier").isNotNull() & ~typed("tier").isin("BIGINT", "VOID"), "tier is not an integer"),
+    ))
+    return entries.select(*[c for c in entries.columns if c != content], of("url").alias("url"), errors.alias("errors"), warnings.alias("warnings"))
+
+
 def fuzzy_search(items: DataFrame, query: str, weights: dict[str, float], threshold: float = 0.4, k: int = 20) -> DataFrame:
     """The k best items by the weighted likeness of their fields to the query: 1
     where a field contains it, else the best Levenshtein similarity of a word."""

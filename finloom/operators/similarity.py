@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from finloom.functions.text import jaccard, levenshtein_similarity
 from finloom.storage import materialise
 
-#: Query vectors that one pass over all vectors compares, about 4 MB of numbers.
-QUERY_BLOCK = 8192
+#: Query vectors that a task holds (32 MB at 64 dimensions), and vectors that
+#: stream over them.
+QUERY_BLOCK, PART_VECTORS = 65_536, 4_000_000
 
 
 def _prefixed(sets: DataFrame, key: str, tokens: str, keep: Column) -> DataFrame:
@@ -87,56 +88,63 @@ def resolve_names(names: DataFrame, master: DataFrame, threshold: float = 0.8) -
     return exact.unionByName(found)
 
 
-def best_matches(vectors: DataFrame, queries: DataFrame, threshold: float, key: str = "id", vector: str = "vector") -> DataFrame:
+def best_matches(
+    vectors: DataFrame, queries: DataFrame, threshold: float, key: str = "id", vector: str = "vector", block: int = QUERY_BLOCK
+) -> DataFrame:
     """For each query the other vector of the greatest dot product, if it is
     ``threshold`` at least: query, match, score (four digits); ties by smaller id.
 
-    A stated set of queries against all vectors, in blocks of queries of a
-    fixed number: each block is one pass over the vectors that keeps one row a
-    query and task before the shuffle.  Null vectors match nothing.
+    A stated set of queries against all vectors, as a grid: queries fall into
+    blocks and vectors into parts, and a cell of the grid is one block, held in
+    memory, over which one part streams.  A cell returns one row a query.  Null
+    vectors match nothing.
     """
-    known = vectors.where(F.col(vector).isNotNull()).select(key, F.col(vector).cast("array<double>").alias(vector))
-    asked = queries.where(F.col(vector).isNotNull()).select(key, F.col(vector).cast("array<double>").alias(vector))
-
-    def scan(ids: np.ndarray, matrix: np.ndarray):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best, who = np.full(len(ids), -np.inf), np.zeros(len(ids), np.int64)
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                own = batch.column(0).to_numpy()
-                rows = np.array(batch.column(1).flatten().to_numpy(zero_copy_only=False)).reshape(batch.num_rows, -1)
-                scores = matrix @ rows.T
-                scores[ids[:, None] == own[None, :]] = -np.inf
-                top = scores.max(axis=1)
-                tied = np.where(scores == top[:, None], own[None, :], np.iinfo(np.int64).max).min(axis=1)
-                better = (top > best) | ((top == best) & (tied < who))
-                best, who = np.where(better, top, best), np.where(better, tied, who)
-            at = np.flatnonzero(best > -np.inf)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(who[at]), pa.array(best[at])], ["query", "match", "score"])
-
-        return run
-
-    parts, block = [], []
+    number = F.col(vector).cast("array<double>").alias("v")
+    known = vectors.where(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("id"), number)
+    asked = queries.where(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("id"), number)
     spark = vectors.sparkSession
-
-    def close() -> None:
-        ids = np.array([r[0] for r in block], np.int64)
-        matrix = np.array([r[1] for r in block], np.float64)
-        parts.append(materialise(known.mapInArrow(scan(ids, matrix), "query long, match long, score double"), "best-matches"))
-        block.clear()
-
-    for row in asked.orderBy(key).toLocalIterator():
-        block.append(row)
-        if len(block) == QUERY_BLOCK:
-            close()
-    if block:
-        close()
-    if not parts:
-        return spark.createDataFrame([], "query long, match long, score double")
-    found = parts[0]
-    for more in parts[1:]:
-        found = found.unionByName(more)
+    blocks = max(1, -(-asked.count() // block))
+    parts = max(1, -(-known.count() // PART_VECTORS), int(spark.conf.get("spark.sql.shuffle.partitions")) // blocks)
+
+    def cells(df: DataFrame, own: str, n_own: int, other: str, n_other: int, is_vector: bool) -> DataFrame:
+        placed = df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int"))
+        placed = placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
+        return placed.select((F.col("block") * parts + F.col("part")).cast("long").alias("cell"), F.lit(is_vector).alias("is_vector"), "id", "v")
+
+    grid = cells(asked, "block", blocks, "part", parts, False).unionByName(cells(known, "part", parts, "block", blocks, True))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, best = None, [], None
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if best is not None:
+                ids, _, top, who = best
+                at = np.flatnonzero(top > -np.inf)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(who[at]), pa.array(top[at])], ["query", "match", "score"])
+
+        for batch in batches:
+            cell, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            change = np.flatnonzero((cell[1:] != cell[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for a, b in zip([0, *change], [*change, len(cell)]):
+                if a == b:
+                    continue
+                if cell[a] != now:
+                    yield from close()
+                    now, held, best = cell[a], [], None
+                piece = batch.slice(a, b - a)
+                ids = piece.column(2).to_numpy()
+                rows = piece.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+                if not kind[a]:
+                    held.append((ids, rows))
+                elif held or best is not None:
+                    if best is None:
+                        own = np.concatenate([x for x, _ in held])
+                        best = (own, np.concatenate([x for _, x in held]), np.full(len(own), -np.inf), np.zeros(len(own), np.int64))
+                        held = []
+                    _better(best, ids, rows)
+        yield from close()
+
+    found = grid.repartition("cell").sortWithinPartitions("cell", "is_vector").mapInArrow(scan, "query long, match long, score double")
     order = F.struct("score", -F.col("match"))
     return (
         found.groupBy("query")
@@ -146,6 +154,19 @@ def best_matches(vectors: DataFrame, queries: DataFrame, threshold: float, key:
     )
 
 
+def _better(best: tuple[np.ndarray, ...], ids: np.ndarray, rows: np.ndarray, at_once: int = 1024) -> None:
+    """Compare a block's queries with more vectors, some queries at a time."""
+    own, matrix, top, who = best
+    for low in range(0, len(own), at_once):
+        part = slice(low, low + at_once)
+        scores = matrix[part] @ rows.T
+        scores[own[part, None] == ids[None, :]] = -np.inf
+        high = scores.max(axis=1)
+        first = np.where(scores == high[:, None], ids[None, :], np.iinfo(np.int64).max).min(axis=1)
+        better = (high > top[part]) | ((high == top[part]) & (first < who[part]))
+        top[part], who[part] = np.where(better, high, top[part]), np.where(better, first, who[part])
+
+
 def link_aliases(names: DataFrame, aliases: DataFrame) -> DataFrame:
     """name and target (null where unknown) by lower-case equality; of repeated
     aliases (alias, target, pos) the last wins."""

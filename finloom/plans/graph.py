@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from finloom.operators import graph, grouping, similarity
 from finloom.plans.catalog import query
@@ -45,21 +46,21 @@ def degree_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparse edges of customers and suppliers: full-size lines of urgent orders."""
-    lines = table(spark, sf_dir, "lineitem").where("l_quantity = 50").select("l_orderkey", "l_suppkey")
-    orders = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    """Edges of customers and the suppliers that they order from."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     return lines.join(orders, "l_orderkey").select(_key("C", "o_custkey").alias("src"), _key("S", "l_suppkey").alias("dst")).distinct()
 
 
-_TRADES = """SELECT DISTINCT concat('C', o_custkey) AS src, concat('S', l_suppkey) AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_quantity = 50 AND o_orderpriority = '1-URGENT'"""
+_TRADES = "SELECT DISTINCT concat('C', o_custkey) AS src, concat('S', l_suppkey) AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 _TRADERS = "SELECT concat('C', c_custkey) AS id FROM customer UNION ALL SELECT concat('S', s_suppkey) FROM supplier"
 
 
 @query(f"""
-WITH RECURSIVE b AS (SELECT src, dst FROM ({_TRADES}) UNION SELECT dst, src FROM ({_TRADES})),
-r AS (SELECT id AS root, id FROM ({_TRADERS}) UNION SELECT r.root, b.dst FROM r JOIN b ON r.id = b.src),
-c AS (SELECT id, min(root) AS root FROM r GROUP BY 1), s AS (SELECT root, count(*) AS size FROM c GROUP BY 1)
+WITH RECURSIVE t AS MATERIALIZED ({_TRADES}), b AS MATERIALIZED (SELECT src, dst FROM t UNION SELECT dst, src FROM t),
+c(id, root) USING KEY (id) AS (SELECT id, id AS root FROM ({_TRADERS})
+  UNION SELECT b.dst, min(c.root) FROM c JOIN b ON c.id = b.src JOIN recurring.c AS o ON o.id = b.dst WHERE c.root < o.root GROUP BY 1),
+s AS (SELECT root, count(*) AS size FROM c GROUP BY 1)
 SELECT count(*) AS n_components, max(size) AS largest, round(max(size) / sum(size), 4) AS ratio FROM s""")
 def connected_component_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = table(spark, sf_dir, "customer").select(_key("C", "c_custkey").alias("id")).unionByName(table(spark, sf_dir, "supplier").select(_key("S", "s_suppkey").alias("id")))
@@ -79,7 +80,7 @@ def shortest_paths_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TRADE_NATIONS = """SELECT DISTINCT c_nationkey AS src, s_nationkey AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-  JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity = 50 AND o_orderpriority = '1-URGENT' AND c_nationkey <> s_nationkey"""
+  JOIN supplier ON l_suppkey = s_suppkey WHERE c_nationkey <> s_nationkey"""
 
 
 @query(f"""
@@ -89,8 +90,8 @@ UNION ALL SELECT e1.src, e1.dst, e2.dst FROM e e1 JOIN e e2 ON e1.dst = e2.src J
 def cycle_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade cycles of two and three nations."""
     t = lambda name: table(spark, sf_dir, name)
-    lines = t("lineitem").where("l_quantity = 50").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("s_suppkey"))
-    orders = t("orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    lines = t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("s_suppkey"))
+    orders = t("orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     joined = lines.join(orders, "o_orderkey").join(t("customer"), "c_custkey").join(t("supplier"), "s_suppkey")
     edges = joined.select(F.col("c_nationkey").cast("long").alias("src"), F.col("s_nationkey").cast("long").alias("dst")).distinct()
     return graph.short_cycles(edges)
@@ -106,22 +107,24 @@ def cooccurrence_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH m AS (SELECT DISTINCT l_partkey AS item, l_orderkey AS g FROM lineitem), ok AS (SELECT g FROM m GROUP BY 1 HAVING count(*) <= 10), n AS (SELECT * FROM m SEMI JOIN ok USING (g))
+WITH m AS (SELECT DISTINCT l_partkey AS item, l_orderkey AS g FROM lineitem), ok AS (SELECT g FROM m GROUP BY 1 HAVING count(*) <= 50), n AS (SELECT * FROM m SEMI JOIN ok USING (g))
 SELECT a.item AS a, b.item AS b, count(*) AS n_shared, min(a.g) AS first_group FROM n a JOIN n b ON a.g = b.g AND a.item < b.item GROUP BY 1, 2 HAVING count(*) >= 2""")
 def coauthor_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts that two orders or more have in common; orders of over ten parts don't count."""
+    """Parts that two orders or more have in common; orders of over fifty parts don't count."""
     members = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("item"), F.col("l_orderkey").alias("group"))
-    return graph.shared_members(members, 2, most_members=10)
+    return graph.shared_members(members, 2, most_members=50)
 
 
 @query("""
-WITH p AS (SELECT o_orderkey AS id FROM orders WHERE o_custkey % 5 = 0), x AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus = 'F'),
-c AS (SELECT id AS src, unnest([id - 7, id + 3]) AS dst FROM p)
+WITH p AS (SELECT o_orderkey AS id, o_custkey, lag(o_orderkey) OVER w AS before, lead(o_orderkey) OVER w AS after FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
+x AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus = 'F'), c AS (SELECT id AS src, unnest([before, after]) AS dst FROM p)
 SELECT DISTINCT src, dst FROM c WHERE dst IN (SELECT id FROM x) OR (dst < src AND dst IN (SELECT id FROM p))""")
 def citation_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Citations of what exists or was seen earlier."""
+    """Citations of what exists or was seen earlier: an order cites its customer's
+    last and next one, finished orders exist."""
     orders = table(spark, sf_dir, "orders")
-    papers = orders.where("o_custkey % 5 = 0").select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("pos"), F.expr("array(o_orderkey - 7, o_orderkey + 3)").alias("cites"))
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    papers = orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("pos"), F.array(F.lag("o_orderkey").over(w), F.lead("o_orderkey").over(w)).alias("cites"))
     return similarity.citations_in_order(papers, orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id")))
 
 

@@ -384,6 +384,68 @@ def map_creator(documents: DataFrame, entity_types: tuple[str, ...]) -> Graph:
     )
 
 
+# What concepts may be to each other.
+CONCEPT_RELATIONS = ("ENABLES", "REQUIRES", "COMPETES_WITH")
+
+
+def map_creator_concepts(documents: DataFrame, entity_types: tuple[str, ...], layers: dict[str, str]) -> Graph:
+    """The second form of creator documents: sources (url, title) and their
+    domains, entities (name, entity_type), concepts (name, category), contents
+    (kind, content, source_url, about_concepts, about_entities), serves_as
+    (entity_name, concept_name) and concept_relations (from_concept, to_concept,
+    rel_type), of a genre (genre_id); doc names the document.
+
+    Names join within their document; a relation with an unknown end or of an
+    unknown kind, and a category without a layer, are dropped.
+    """
+    key = "doc"
+    d = documents
+    s = d.select(key, F.inline("sources")).withColumn("url", F.trim("url")).where(given(F.col("url")))
+    source = ids.source_id(F.col("url"))
+    domain = F.regexp_replace(F.lower(F.regexp_extract("url", r"^[A-Za-z]+://([^/?#]*)", 1)), r"^www\.", "")
+    e = d.select(key, F.inline("entities")).select(key, F.trim("name").alias("name"), F.lower(F.trim("entity_type")).alias("entity_type"))
+    e = e.where(given(F.col("name")) & F.col("entity_type").isin(*entity_types)).withColumn("entity", ids.keyed_id("entity", F.col("name"), F.col("entity_type")))
+    c = d.select(key, F.inline("concepts")).select(key, F.trim("name").alias("name"), F.trim("category").alias("category")).where(given(F.col("name")))
+    c = c.withColumn("concept", ids.keyed_id("concept", F.col("name")))
+    layer = F.lit(None).cast("string")
+    for name, value in layers.items():
+        layer = F.when(F.col("category") == name, value).otherwise(layer)
+    x = d.select(key, "genre_id", F.inline("contents")).withColumn("content", F.trim("content")).where(given(F.col("content")))
+    x = x.withColumn("own", ids.content_id(F.concat_ws(":", F.lower("kind"), "content"), length=8))
+    # A name that an entity list repeats stands for its last type in order.
+    by_name = e.groupBy(key, F.col("name").alias("e_name")).agg(F.max_by("entity", "entity_type").alias("entity"))
+    concepts = c.select(key, F.col("name").alias("c_name"), "concept").distinct()
+    about = x.select(key, "own", F.explode("about_concepts").alias("c_name")).join(concepts, [key, "c_name"])
+    mentions = x.select(key, "own", F.explode("about_entities").alias("e_name")).join(by_name, [key, "e_name"])
+    cited = x.join(s.select(key, F.col("url").alias("source_url")).distinct(), [key, "source_url"])
+    serves = d.select(key, F.inline("serves_as")).select(key, F.col("entity_name").alias("e_name"), F.col("concept_name").alias("c_name")).join(by_name, [key, "e_name"]).join(concepts, [key, "c_name"])
+    ends = lambda end: concepts.select(key, F.col("c_name").alias(f"{end}_concept"), F.col("concept").alias(f"{end}_id"))
+    r = d.select(key, F.inline("concept_relations")).where(F.col("rel_type").isin(*CONCEPT_RELATIONS))
+    r = r.join(ends("from"), [key, "from_concept"]).join(ends("to"), [key, "to_concept"])
+    typed = r.select(F.col("from_id").alias("src"), F.col("to_id").alias("dst"), F.col("rel_type").alias("type")).distinct()
+    return Graph(
+        union([
+            _nodes(s, "Source", source, F.col("title"), url=F.col("url")),
+            _nodes(s, "Domain", F.nullif(domain, F.lit("")), domain),
+            _nodes(e, "Entity", F.col("entity"), F.col("name"), entity_type=F.col("entity_type")),
+            _nodes(c, "Concept", F.col("concept"), F.col("name")),
+            _nodes(c.where(layer.isNotNull()), "ConceptCategory", F.col("category"), F.col("category"), layer=layer),
+            _nodes(x, "Content", F.col("own"), F.col("content"), kind=F.lower("kind")),
+            _nodes(d, "Genre", F.col("genre_id"), F.col("genre_id")),
+        ]),
+        union([
+            _edges(s, source, F.nullif(domain, F.lit("")), "FROM_DOMAIN"),
+            _edges(c, F.col("concept"), F.nullif("category", F.lit("")), "IS_A"),
+            _edges(about, F.col("own"), F.col("concept"), "ABOUT"),
+            _edges(mentions, F.col("own"), F.col("entity"), "MENTIONS"),
+            _edges(cited, F.col("own"), ids.source_id(F.col("source_url")), "FROM_SOURCE"),
+            _edges(x, F.col("own"), F.col("genre_id"), "IN_GENRE"),
+            _edges(serves, F.col("entity"), F.col("concept"), "SERVES_AS"),
+            typed,
+        ]),
+    )
+
+
 #: Commands and the mappers that take their documents.
 MAPPERS = {
     "finance-news": map_news,
@@ -397,6 +459,7 @@ MAPPERS = {
     "topic-discovery": map_topic_discovery,
     "wealth-scrape": map_wealth_blogs,
     "creator-enrichment": map_creator,
+    "creator-enrichment-v2": map_creator_concepts,
 }
 
 

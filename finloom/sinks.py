@@ -57,6 +57,36 @@ def expired(partitions: DataFrame, day: str, today: str, days: int) -> DataFrame
     return partitions.where(F.coalesce(at < F.date_sub(F.to_date(F.lit(today)), days), F.lit(False)))
 
 
+def replace_partition(df: DataFrame, path: str, by: str) -> None:
+    """Write rows in folders by a column: the folders that they fall into are
+    replaced whole when the job commits, others stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
+def append_run(df: DataFrame, path: str, day: str) -> None:
+    """Append the rows of a run under its day."""
+    df.withColumn("dt", F.lit(day)).write.mode("append").partitionBy("dt").parquet(path)
+
+
+def append_lines(df: DataFrame, path: str) -> None:
+    """Append rows as JSON lines."""
+    df.write.mode("append").json(path)
+
+
+def json_documents(df: DataFrame, key: str) -> DataFrame:
+    """Every row as one JSON document (nulls left out) beside its key."""
+    return df.select(key, F.to_json(F.struct(*df.columns)).alias("document"))
+
+
+def converted_news(articles: DataFrame, start: str, end: str, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Articles (published: date, category) of a period with their number from 1 in
+    the given order, and the count of every category; undated ones are left out."""
+    from finloom.operators.reports import numbered
+
+    kept = articles.where(F.col("published").between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+    return numbered(kept, order), kept.groupBy("category").agg(F.count("*").alias("n"))
+
+
 def _exists(spark, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -15,9 +15,9 @@ def hashed_files(spark: SparkSession, path: str, pattern: str = "*.pdf") -> Data
     return files.select(F.col("path").alias("file"), F.sha2("content", 256).alias("sha256"))
 
 
-def markdown_sources(spark: SparkSession, path: str) -> DataFrame:
+def markdown_sources(spark: SparkSession, path: str, pattern: str = "*.md") -> DataFrame:
     """file, url, title and sections of markdown files with a ``url`` in their frontmatter."""
-    read = spark.read.option("pathGlobFilter", "*.md").option("recursiveFileLookup", True).text(path, wholetext=True)
+    read = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(path, wholetext=True)
     front = read.select(F.col("_metadata.file_path").alias("file"), "value", frontmatter(F.col("value")).alias("front"))
     body = F.regexp_replace("value", r"(?s)\A---\n.*?\n---(?:\n|\z)", "")
     return front.select("file", F.try_element_at("front", F.lit("url")).alias("url"), F.try_element_at("front", F.lit("title")).alias("title"), sections(body).alias("sections")).where(

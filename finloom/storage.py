@@ -4,18 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder of every table that ``materialise`` returned and that is still in use.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+#: Folders of this process's sessions that haven't been deleted, in order.
+_WRITTEN: dict[str, None] = {}
+
 
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which all executors share.
 
-    Only a session without that setting (as in tests, where driver and
-    executors are one process) gets a folder of the local machine.
+    Only a session of one local process (as in tests) may lack that setting; it
+    gets a folder of the local machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = "file://" + tempfile.gettempdir() + "/checkpoints"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
@@ -24,12 +33,37 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage with a copy that survives the loss of executors, and
-    makes several consumers share one computation.
+    makes several consumers share one computation.  ``discard`` deletes the copy
+    when no consumer is left, ``release`` what remains of all.
     """
     spark = df.sparkSession
     path = shared_dir(spark, label)
+    _WRITTEN[path] = None
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` returned, when all that was read from
+    them is written."""
+    for table in tables:
+        if path := _FOLDERS.pop(table, None):
+            _delete(table.sparkSession, path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all tables that ``materialise`` wrote in this process: for use when
+    the results that were built on them are written."""
+    for path in list(_WRITTEN):
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    _WRITTEN.pop(path, None)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
