@@ -59,7 +59,7 @@ def stance_backfill(rated: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     known = rated.withColumn("author", analyst).where(F.col("author").isNotNull() & (F.coalesce("entity_name", F.lit("")) != "") & F.col("entity_id").isNotNull())
     known = known.withColumn("author_id", ids.keyed_id("author", F.col("author"), F.lit("sell_side")))
     known = known.withColumn("stance_id", ids.keyed_id("stance", F.col("author"), F.col("entity_name"), F.lit("")))
-    edge = lambda src, dst, kind: known.select(F.col(src).alias("src"), F.col(dst).alias("dst"), F.lit(kind).alias("type")).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    edge = lambda src, dst, kind: known.select(F.col(src).cast("string").alias("src"), F.col(dst).cast("string").alias("dst"), F.lit(kind).alias("type")).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     edges = edge("author_id", "stance_id", "HOLDS_STANCE").unionByName(edge("stance_id", "entity_id", "ON_ENTITY"))
     edges = edges.unionByName(edge("stance_id", "claim_id", "BASED_ON")).unionByName(edge("source_id", "author_id", "AUTHORED_BY"))
     stances = known.select(

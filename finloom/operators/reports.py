@@ -76,3 +76,14 @@ def sample_pairs(nodes: DataFrame, n: int, seed: int = 1) -> DataFrame:
 def source_table(runs: DataFrame) -> DataFrame:
     """Reports, errors and seconds of every source of a run (source, ok, seconds)."""
     return runs.groupBy("source").agg(F.count_if("ok").alias("reports"), F.count_if(~F.col("ok")).alias("errors"), F.round(F.sum("seconds"), 2).alias("seconds"))
+
+
+def discoverability(distances: DataFrame, hops: int) -> DataFrame:
+    """One row of pairs and their distances (null: not reached): mean_path,
+    diversity (different distances of those possible) and reached (share)."""
+    return distances.agg(
+        F.count("*").alias("pairs"),
+        F.round(F.avg("distance"), 2).alias("mean_path"),
+        F.round(F.countDistinct("distance") / hops, 4).alias("diversity"),
+        F.round(F.count("distance") / F.count("*"), 4).alias("reached"),
+    )

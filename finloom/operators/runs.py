@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from finloom.functions.text import truncated
@@ -77,9 +77,9 @@ def validation_summary(companies: DataFrame) -> DataFrame:
     return names.join(counts, "status", "left").select("status", F.coalesce("found", F.lit(0)).cast("long").alias("n"))
 
 
-def collection_succeeded(sources: DataFrame) -> DataFrame:
-    """One row, success: there are no sources, or articles, or not all sources
-    (articles, error: null without one) failed."""
+def collection_succeeded(sources: DataFrame | GroupedData) -> DataFrame:
+    """One row (or one a group), success: there are no sources, or articles, or
+    not all sources (articles, error: null without one) failed."""
     failed = F.count_if(F.col("error").isNotNull())
     return sources.agg(((F.count("*") == 0) | (F.coalesce(F.sum("articles"), F.lit(0)) > 0) | (failed != F.count("*"))).alias("success"))
 
