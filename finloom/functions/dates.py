@@ -45,3 +45,8 @@ def recent(at: Column, now: Column, days: int, keep_null: bool) -> Column:
 def duration_ms(start: Column, end: Column) -> Column:
     """Milliseconds between ISO times; null if one can't be read."""
     return F.unix_millis(F.try_to_timestamp(end)) - F.unix_millis(F.try_to_timestamp(start))
+
+
+def date_range(start: Column, end: Column) -> Column:
+    """A period as a struct of text; what is missing is empty."""
+    return F.struct(F.coalesce(start, F.lit("")).alias("start"), F.coalesce(end, F.lit("")).alias("end"))

@@ -115,9 +115,10 @@ def preset_problems(entries: DataFrame, content: str, intervals: Sequence[str])
     return entries.select(*[c for c in entries.columns if c != content], of("url").alias("url"), errors.alias("errors"), warnings.alias("warnings"))
 
 
-def fuzzy_search(items: DataFrame, query: str, weights: dict[str, float], threshold: float = 0.4, k: int = 20) -> DataFrame:
+def fuzzy_search(items: DataFrame, query: str, weights: dict[str, float], threshold: float = 0.4, k: int = 20, tie: str | None = None) -> DataFrame:
     """The k best items by the weighted likeness of their fields to the query: 1
-    where a field contains it, else the best Levenshtein similarity of a word."""
+    where a field contains it, else the best Levenshtein similarity of a word.
+    Ties go by the fields, then by the column ``tie``."""
     low = query.lower()
     total = sum(weights.values())
 
@@ -127,7 +128,7 @@ def fuzzy_search(items: DataFrame, query: str, weights: dict[str, float], thresh
         return F.when(F.contains(F.lower(F.coalesce(field, F.lit(""))), F.lit(low)), 1.0).otherwise(F.coalesce(best, F.lit(0.0)))
 
     score = sum((likeness(f) * w for f, w in weights.items()), F.lit(0.0)) / total
-    return items.withColumn("score", F.round(score, 4)).where(F.col("score") >= threshold).orderBy(F.col("score").desc(), *weights).limit(k)
+    return items.withColumn("score", F.round(score, 4)).where(F.col("score") >= threshold).orderBy(F.col("score").desc(), *weights, *([tie] if tie else [])).limit(k)
 
 
 def run_statistics(runs: DataFrame) -> DataFrame:

@@ -168,11 +168,11 @@ def entity_resolution_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH s AS (SELECT a.vec_id AS query, b.vec_id AS match, list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0)
-SELECT query, arg_max(match, (s, -match)) AS match, round(max(s), 4) AS score FROM s GROUP BY 1 HAVING max(s) >= 0.5""")
+SELECT query, arg_max(match, (s, -match)) AS match, round(max(s), 4) AS score FROM s GROUP BY 1 HAVING max(s) >= 0.3""")
 def embedding_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest other vector of each queried one (ids divisible by 100, the stated queries)."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return similarity.best_matches(vectors, vectors.where("id % 100 = 0"), 0.5)
+    return similarity.best_matches(vectors, vectors.where("id % 100 = 0"), 0.3)
 
 
 _FILLED = ("doc_id", "text", "lang", "source", "n_chars")
