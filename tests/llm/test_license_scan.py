@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tests.conftest import SMALL
+from tests.conftest import MEDIUM
 
-from finloom.llm.license_scan import TEMPLATES, Templates, patience_align, scan_licenses, words_of
+from finloom.llm.license_scan import _WORD, TEMPLATES, Templates, load_templates, patience_align, scan_licenses, words_of
 from finloom.llm.queries import op7_license_scan
 from tests.llm.helpers import awkward, documents
 
@@ -73,17 +76,82 @@ def test_adjacent_repeats():
     assert [x[3] for x in known.find(mixed, 0.8)] == [5, 4] * 3
 
 
+def _short() -> list[tuple[str, list[str]]]:
+    return [(n, w) for n, t in TEMPLATES if len(w := words_of(t)) <= 20]
+
+
+def _windows(own: list[str], template: list[str], coverage: float) -> list[tuple[int, int]]:
+    """By brute force: the stretches of the template's length (and its slack) whose
+    longest common subsequence with it covers enough of it."""
+    out, size = [], len(template)
+    wanted = Counter(template)
+    for i in range(max(1, len(own) - size + 1)):
+        part = own[i : i + size]
+        if sum((Counter(part) & wanted).values()) >= coverage * size - 1e-9 and longest(part, template) >= coverage * size - 1e-9:
+            out.append((i, i + len(part)))
+    return out
+
+
 def test_query(spark):
-    """Held against a plain search for the short statements, word by word."""
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
-    rows = op7_license_scan(spark, SMALL).collect()
+    """All finds of the query against brute force, both ways: every stretch that
+    covers a short template overlaps a find, and every find of a short template
+    overlaps such a stretch, with the right name, span and number of words."""
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text").collect()}
+    rows = op7_license_scan(spark, MEDIUM).collect()
     assert len(rows) == len(texts)
+    n_found = 0
     for r in rows:
-        own = f" {' '.join(words_of(texts[r.doc_id]))} "
-        expected = {n for n, t in TEMPLATES if f" {' '.join(words_of(t))} " in own}
-        assert expected <= set(filter(None, r.licenses.split(",")))
-        if r.n_licenses:
-            assert "licensed" in own or "license" in own
+        text = texts[r.doc_id] or ""
+        own = words_of(text)
+        places = [m.span() for m in _WORD.finditer(text)]
+        finds = [x.split(":") for x in r.spans.split(",") if x]
+        assert r.n_licenses == len(finds) and r.licenses == ",".join(sorted({x[0] for x in finds}))
+        at = {a: i for i, (a, _) in enumerate(places)}
+        ends = {b: i for i, (_, b) in enumerate(places)}
+        spans = [(x[0], at[int(x[1])], ends[int(x[2])] + 1, int(x[3]), int(x[4])) for x in finds]
+        assert all(x[2] <= y[1] for x, y in zip(spans, spans[1:]))
+        covered = {(n, tuple(w)): _windows(own, w, 0.8) for n, w in _short()}
+        for (name, words), stretches in covered.items():
+            for a, b in stretches:
+                assert any(c < b and a < d for _, c, d, _, _ in spans), (r.doc_id, name)
+        for name, a, b, matched, size in spans:
+            n_found += 1
+            assert longest(own[a:b], next(w for n, t in TEMPLATES if n == name and len(w := words_of(t)) == size)) >= matched >= 0.8 * size - 1e-9
+            if size <= 20:
+                same = [s for (n, w), found in covered.items() if n == name and len(w) == size for s in found]
+                assert any(c < b and a < d for c, d in same), (r.doc_id, name)
+    assert n_found > 10
+
+
+def test_planted_notices():
+    """Random numbers of notices among random words: exactly those are found."""
+    rng = random.Random(4)
+    known = Templates(TEMPLATES)
+    longest_of = {}
+    for name, text in TEMPLATES:
+        longest_of[name] = max(longest_of.get(name, ""), text, key=len)
+    for _ in range(60):
+        planted = [rng.choice(list(longest_of.items())) for _ in range(rng.randrange(5))]
+        parts = [" ".join(rng.choices("alpha beta gamma delta eps".split(), k=rng.randrange(12)))]
+        for _, text in planted:
+            parts += [text, " ".join(rng.choices("alpha beta gamma delta eps".split(), k=rng.randrange(12)))]
+        found = known.find(rng.choice(["\n", " ", "\n\n"]).join(parts), 0.8)
+        assert [(x[0], x[3], x[4]) for x in found] == [(n, len(words_of(t)), len(words_of(t))) for n, t in planted]
+
+
+def test_up_to_twenty_repeats():
+    known = Templates(TEMPLATES)
+    for times in (1, 4, 10, 20):
+        for text in ("Licensed under CC BY 4.0. ", "Released under the MIT License.\n"):
+            assert len(known.find(text * times, 0.8)) == times
+
+
+def test_load_templates(tmp_path):
+    (tmp_path / "Own-1.0").write_text("You may do with this text whatever you like, whenever you like.")
+    (tmp_path / "Own").symlink_to(tmp_path / "Own-1.0")
+    more = load_templates(str(tmp_path))
+    assert [n for n, _ in more] == ["Own-1.0"]
+    assert [x[0] for x in Templates(TEMPLATES + more).find("So: you may do with this text whatever you like, whenever you like!", 0.8)] == ["Own-1.0"]
 
 
 def test_awkward_and_empty(spark):
