@@ -9,8 +9,7 @@ lately are remembered in a cache of bounded size.
 from __future__ import annotations
 
 import base64
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -23,14 +22,8 @@ from pyspark.sql import functions as F
 
 from finloom.llm.common import rows, text_column
 
-#: Entries after which a cache of a worker starts anew, and the longest text kept.
-CACHE_ENTRIES, CACHED_CHARS = 400_000, 64
-# The code points with the Unicode property White_Space.
-_SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: Pre-token patterns never join what stands on both sides of the start of a
-#: white-space run (but for one leading space), so texts can be cut there first.
-_CHUNK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-
+#: Pre-tokens in one of the cache's two generations (about 100 MB), and the longest one kept.
+CACHE_ENTRIES, CACHED_CHARS = 600_000, 64
 
 _MASK = (1 << 64) - 1
 _STEP, _MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
@@ -98,11 +91,7 @@ class PerfectHash:
 
 
 class ByteBPE:
-    """Encoder and decoder for tokens given with their ranks, which are the ids.
-
-    The pattern must be one of those described at ``_CHUNK``: none of its matches
-    may go on from other characters into white space, but for one that ends there.
-    """
+    """Encoder and decoder for tokens given with their ranks, which are the ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
@@ -111,7 +100,10 @@ class ByteBPE:
         self.ranks = ranks
         self.hash = PerfectHash(self.tokens)
         self.pattern = regex.compile(pattern)
+        if self.pattern.groups:
+            raise ValueError("the pattern's groups must not capture")
         self.byte_ids = [ranks[bytes([i])] for i in range(256)]
+        self.packed_ids = [i.to_bytes(4, "little") for i in range(len(self.tokens))]
         # Every way to make a token of two others.
         self.merges = {
             ranks[t[:k]] << 32 | ranks[t[k:]]: i
@@ -119,8 +111,10 @@ class ByteBPE:
             for k in range(1, len(t))
             if t[:k] in ranks and t[k:] in ranks
         }
-        self._pieces: dict[str, list[int]] = {}
-        self._packed = _Packed(self)
+        # What two bytes make, by both in one number; -1 for nothing.
+        first = [self.merges.get(a << 32 | b, -1) for a in self.byte_ids for b in self.byte_ids]
+        self._byte_pairs = first
+        self._pieces = _Cache(self._encode_piece)
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -132,63 +126,67 @@ class ByteBPE:
         n = len(ids)
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
+        pairs = self._byte_pairs
+        # The id that each place makes with the next one, -1 for none.
+        makes = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        makes.append(-1)
         # A candidate is the id it makes and its place in one number: the
         # lowest id goes first, then the leftmost place.
-        heap = [r << 32 | i for i in range(n - 1) if (r := merge(ids[i] << 32 | ids[i + 1])) is not None]
+        heap = [r << 32 | i for i, r in enumerate(makes) if r >= 0]
         heapify(heap)
         while heap:
             top = heappop(heap)
             i = top & 0xFFFFFFFF
-            j = after[i]
-            left = ids[i]
-            if left < 0 or j >= n or merge(left << 32 | ids[j]) != top >> 32:
+            merged = top >> 32
+            if makes[i] != merged:
                 continue  # one of the two is part of another token by now
-            merged = ids[i] = top >> 32
-            ids[j] = -1
+            j = after[i]
+            ids[i] = merged
+            ids[j] = makes[j] = -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (r := merge(merged << 32 | ids[k])) is not None:
+                makes[i] = r = merge(merged << 32 | ids[k], -1)
+                if r >= 0:
                     heappush(heap, r << 32 | i)
+            else:
+                makes[i] = -1
             h = before[i]
-            if h >= 0 and (r := merge(ids[h] << 32 | merged)) is not None:
-                heappush(heap, r << 32 | h)
+            if h >= 0:
+                makes[h] = r = merge(ids[h] << 32 | merged, -1)
+                if r >= 0:
+                    heappush(heap, r << 32 | h)
         return [x for x in ids if x >= 0]
 
-    def encode_chunk(self, chunk: str) -> list[int]:
-        ids: list[int] = []
-        for piece in self.pattern.findall(chunk):
-            found = self._pieces.get(piece)
-            if found is None:
-                found = self.encode_piece(piece.encode())
-                if len(piece) <= CACHED_CHARS:
-                    if len(self._pieces) >= CACHE_ENTRIES:
-                        self._pieces.clear()
-                    self._pieces[piece] = found
-            ids += found
-        return ids
+    def _encode_piece(self, piece: str) -> bytes:
+        return b"".join([self.packed_ids[i] for i in self.encode_piece(piece.encode())])
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, unsigned 32-bit little-endian."""
-        return np.frombuffer(b"".join(map(self._packed.__getitem__, _CHUNK.findall(text))), "<u4")
+        return np.frombuffer(b"".join(map(self._pieces.__getitem__, self.pattern.findall(text))), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-class _Packed(dict):
-    """Chunk of a text to the bytes of its ids."""
+class _Cache(dict):
+    """What was packed lately, in two generations: when the younger is full it
+    becomes the older, so what is in use stays."""
 
-    def __init__(self, bpe: ByteBPE):
+    def __init__(self, pack: Callable[[str], bytes]):
         super().__init__()
-        self.bpe = bpe
-
-    def __missing__(self, chunk: str) -> bytes:
-        packed = np.array(self.bpe.encode_chunk(chunk), "<u4").tobytes()
-        if len(chunk) <= CACHED_CHARS:
+        self.pack = pack
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, text: str) -> bytes:
+        packed = self.older.get(text)
+        if packed is None:
+            packed = self.pack(text)
+        if len(text) <= CACHED_CHARS:
             if len(self) >= CACHE_ENTRIES:
+                self.older = dict(self)
                 self.clear()
-            self[chunk] = packed
+            self[text] = packed
         return packed
 
 
