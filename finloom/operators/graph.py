@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finloom.storage import discard, materialise, spread
+from finloom.storage import discard, hand_over, materialise, spread
 
 
 def endpoints(edges: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def components(links: DataFrame) -> DataFrame:
         before, n, old = now, n + 1, edges
         edges = materialise(_small_star(_large_star(old)), f"components-{n}")
         discard(old)
-    return edges.select(F.col("a").alias("vertex"), F.col("b").alias("root"))
+    return hand_over(edges, edges.select(F.col("a").alias("vertex"), F.col("b").alias("root")))
 
 
 def component_sizes(nodes: DataFrame, edges: DataFrame) -> DataFrame:

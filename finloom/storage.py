@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +55,26 @@ def discard(*tables: DataFrame) -> None:
             _delete(table.sparkSession, path)
 
 
+def hand_over(table: DataFrame, derived: DataFrame) -> DataFrame:
+    """``derived``, which ``discard`` then takes for ``table``."""
+    if path := _FOLDERS.get(table):
+        _FOLDERS[derived] = path
+    return derived
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Delete at the end all tables that were written meanwhile but those that
+    were put into the list."""
+    before = set(_WRITTEN)
+    kept: list[DataFrame] = []
+    yield kept
+    folders = {_FOLDERS.get(table) for table in kept}
+    for path in list(_WRITTEN):
+        if path not in before and path not in folders:
+            _delete(spark, path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete all tables that ``materialise`` wrote in this process: for use when
     the results that were built on them are written."""

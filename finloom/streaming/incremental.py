@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import pandas as pd
@@ -47,7 +46,8 @@ def quota(stream: DataFrame, group: str, order: str, units: str, budget: float)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         used, accepted, rejected = state.get if state.exists else (0.0, 0, 0)
-        rows = pd.concat(list(batches)).sort_values(order)
+        # Only the two columns that decide, of one trigger's rows of the group.
+        rows = pd.concat([b[[order, units]] for b in batches]).sort_values(order)
         for u in rows[units]:
             if used + u <= budget:
                 used, accepted = used + float(u), accepted + 1
@@ -70,10 +70,6 @@ def run_once(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    return shared_dir(spark, label) if spark.conf.get("spark.checkpoint.dir", None) else tempfile.mkdtemp(prefix=f"{label}-")
-
-
 @query("""
 SELECT d.doc_id FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM documents e WHERE e.doc_id % 3 = 0 AND e.text = d.text)""")
@@ -82,7 +78,7 @@ def stream_diff_new_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     stream = stream_of(spark, f"{sf_dir}/documents.parquet", docs.schema).select("doc_id", F.sha2("text", 256).alias("digest"))
     known = docs.where("doc_id % 3 = 0").select(F.sha2("text", 256).alias("digest"))
-    return run_once(new_items(stream, known, "digest").select("doc_id"), scratch(spark, "stream-diff"))
+    return run_once(new_items(stream, known, "digest").select("doc_id"), shared_dir(spark, "stream-diff"))
 
 
 @query("SELECT DISTINCT user_id FROM events WHERE event_type = 'error'")
@@ -91,4 +87,4 @@ def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     stream = stream_of(spark, f"{sf_dir}/events.parquet", events.schema).where("event_type = 'error'")
     stream = stream.select("user_id", F.col("ts").cast("timestamp").alias("at"))
-    return run_once(first_seen(stream, "user_id", "at", "60 days").select("user_id"), scratch(spark, "stream-first"))
+    return run_once(first_seen(stream, "user_id", "at", "60 days").select("user_id"), shared_dir(spark, "stream-first"))
