@@ -10,7 +10,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from finloom.storage import discard, materialise, shared_dir, spread  # noqa: F401  used by the operators
+from finloom.storage import discard, hand_over, materialise, shared_dir, spread  # noqa: F401  used by the operators
 
 #: A word: a run of characters other than space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"

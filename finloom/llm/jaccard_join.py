@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finloom.llm.common import materialise, rows, spread, text_column, text_hash
+from finloom.llm.common import discard, hand_over, materialise, rows, spread, text_column, text_hash
 from finloom.llm.substring_dedup import run_hashes, word_hashes
 from finloom.operators.graph import components
 
@@ -251,16 +251,20 @@ def _counted(members: DataFrame) -> DataFrame:
     )
 
 
-def _bucketed(classes: DataFrame, sets: int) -> DataFrame:
+def _bucketed(classes: DataFrame, sets: int) -> tuple[DataFrame, list[DataFrame]]:
     """bucket, key, size and sketch of what tasks compare: the buckets of all
-    runs, those of more than ``sets`` split or cut into blocks."""
+    runs, those of more than ``sets`` split or cut into blocks; and the tables
+    that this reads."""
     columns = ["bucket", "key", "size", "sketch"]
-    members = classes.select(F.explode("roots").alias("bucket"), "key", "size", "sketch", F.lit(None).cast("long").alias("before"))
+    members = classes.select(F.explode("roots").alias("bucket"), "key", F.lit(None).cast("long").alias("before"))
     # Written, so that adaptive execution can split the join where a bucket is hot.
     counts = materialise(_counted(members), "jaccard-buckets")
+    written = [counts]
     of_bucket = F.col("bucket") == F.col("c_bucket")
-    found = members.drop("before").join(counts.where(F.col("n") <= sets), of_bucket).select(*columns)
-    large = members.drop("before").join(counts.where(F.col("n") > sets), of_bucket).select(*columns, "n")
+    # Most sets share no bucket of theirs: sketches travel after that is known.
+    shared = members.drop("before").join(counts, of_bucket).select("bucket", "key", "n").join(classes.select("key", "size", "sketch"), "key")
+    found = shared.where(F.col("n") <= sets).select(*columns)
+    large = shared.where(F.col("n") > sets).select(*columns, "n")
     while not counts.where(F.col("n") > sets).isEmpty():
         large = materialise(large, "jaccard-large")
         path = F.xxhash64("bucket", "j")
@@ -272,6 +276,7 @@ def _bucketed(classes: DataFrame, sets: int) -> DataFrame:
             .select(*columns, "before")
         )
         counts = materialise(_counted(parts), "jaccard-buckets")
+        written += [large, counts]
         alike = F.col("n") > F.greatest(F.lit(sets), F.col("before") * ALIKE)
         sized = parts.drop("before").join(counts, of_bucket)
         found = found.unionByName(sized.where(F.col("n") <= sets).select(*columns))
@@ -279,7 +284,7 @@ def _bucketed(classes: DataFrame, sets: int) -> DataFrame:
         found = found.unionByName(_in_blocks(sized.where(alike).withColumn("blocks", blocks), "bucket").select(*columns))
         counts = counts.where((F.col("n") > sets) & ~alike)
         large = parts.drop("before").join(counts, of_bucket).select(*columns, "n")
-    return found
+    return found, written
 
 
 def _in_blocks(members: DataFrame, group: str) -> DataFrame:
@@ -379,7 +384,7 @@ def _joined(a: np.ndarray, b: np.ndarray, alike: np.ndarray, n: int) -> np.ndarr
 
 
 def _partners(docs: DataFrame, members: DataFrame, ngram: int, threshold: float) -> DataFrame:
-    """key, linked (the summed n_copies of the sets of its group that are similar
+    """Written: key, linked (the summed n_copies of the sets of its group that are similar
     to it) and first (a set that links connect it with, or itself), a row for
     each comparison that finds a link.  members: key, root (the group), size,
     n_copies and holder, a row that has the set.
@@ -437,19 +442,23 @@ def _partners(docs: DataFrame, members: DataFrame, ngram: int, threshold: float)
         .select("h.key", "h.root", "h.blocks", "h.n_copies", "d.text")
         .mapInArrow(packed, "key binary, root binary, blocks long, n_copies long, ngrams binary")
     )
-    return (
+    compared = (
         _in_blocks(sets, "root")
         .select("bucket", "key", "n_copies", "left", "right", "ngrams")
         .repartition("bucket")
         .sortWithinPartitions("bucket", "key")
         .mapInArrow(count, "key binary, linked long, first binary")
     )
+    links = materialise(compared, "jaccard-links")
+    discard(blocks)
+    return links
 
 
 def _with_roots(edges: DataFrame) -> DataFrame:
-    """key and root of every end of an edge."""
+    """g_key and root of every end of an edge."""
     found = components(edges)
-    return found.unionByName(found.select(F.col("root").alias("vertex"), "root").distinct()).withColumnRenamed("vertex", "g_key")
+    both = found.unionByName(found.select(F.col("root").alias("vertex"), "root").distinct()).withColumnRenamed("vertex", "g_key")
+    return hand_over(found, both)
 
 
 def join_documents(
@@ -487,11 +496,17 @@ def join_documents(
     of_set = [F.any_value(c).alias(c) for c in ("size", "sketch", "roots")]
     classes = known.groupBy("key").agg(F.count("*").alias("n_copies"), F.min(order).alias("holder"), *of_set)
     classes = materialise(classes, "jaccard-classes")
-    groups = _with_roots(materialise(_candidates(_bucketed(classes, bucket_sets), threshold), "jaccard-candidates"))
+    buckets, read = _bucketed(classes, bucket_sets)
+    candidates = materialise(_candidates(buckets, threshold), "jaccard-candidates")
+    discard(*read)
+    groups = _with_roots(candidates)
     members = groups.join(classes, F.col("g_key") == F.col("key")).select("key", "root", "size", "n_copies", "holder")
-    links = materialise(_partners(plain, materialise(members, "jaccard-members"), ngram, threshold), "jaccard-links")
+    members = materialise(members, "jaccard-members")
+    discard(candidates, groups)
+    links = _partners(plain, members, ngram, threshold)
+    discard(members)
     linked = links.groupBy(F.col("key").alias("l_key")).agg(F.sum("linked").alias("linked"))
-    joined = materialise(_with_roots(links.where("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b"))), "jaccard-groups")
+    joined = _with_roots(links.where("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b")))
     copies = classes.select(F.col("key").alias("c_key"), "n_copies", "holder")
     firsts = (
         joined.join(copies, F.col("g_key") == F.col("c_key"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finloom.llm.common import materialise, rows, spread, text_column, text_hash
+from finloom.llm.common import discard, materialise, rows, spread, text_column, text_hash
 
 #: Shortest document, in words, and the largest share of words in repeated
 #: three-word windows, in per cent.
@@ -131,7 +131,9 @@ def boilerplate_lines(docs: DataFrame, line_share: float = LINE_SHARE, line_docs
         .join(spread(host_counts).alias("h"), F.col("c.host").eqNullSafe(F.col("h.host")))
         .where(F.col("c.line_docs") > line_share * F.col("h.host_docs"))
     )
-    return materialise(common.groupBy("c.host").agg(F.collect_list("c.hash").alias("gone")), "quality-common")
+    of_host = materialise(common.groupBy("c.host").agg(F.collect_list("c.hash").alias("gone")), "quality-common")
+    discard(lines)
+    return of_host
 
 
 def base_failed() -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from finloom.llm.common import WORD, materialise, spread, text_column, text_hash
+from finloom.llm.common import WORD, discard, hand_over, materialise, spread, text_column, text_hash
 
 WEIGHTS, SHARE, MAX_COPIES = (5, 2, 1), 1.5, 2
 #: Documents of a block on average, and the seed of the random choices.
@@ -50,9 +50,10 @@ def _ranked(totals: DataFrame) -> DataFrame:
         F.col("part").alias("b_part"),
         (F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"),
     )
-    return parts.join(before, F.col("part") == F.col("b_part")).select(
+    ranked = parts.join(before, F.col("part") == F.col("b_part")).select(
         "source", "source_size", "n_docs", (F.col("at") + F.col("before")).alias("rank")
     )
+    return hand_over(parts, ranked)
 
 
 def source_targets(
@@ -66,14 +67,16 @@ def source_targets(
     sources that it takes to their limit.  A round moves three numbers.
     """
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
+    places = _ranked(totals)
     ranked = materialise(
-        _ranked(totals).select(
+        places.select(
             "source", "source_size", "n_docs",
             weight.cast("double").alias("weight"),
             (max_copies * F.col("source_size")).cast("double").alias("most"),
         ),
         "mix-sources",
     )
+    discard(places)
     total = ranked.agg(F.sum("source_size")).first()[0] or 0
     level, n_full = 0.0, -1
     while True:
@@ -86,9 +89,10 @@ def source_targets(
         if n == n_full or not weight_left:
             break
         n_full, level = n, (share * total - fixed) / weight_left
-    return ranked.select(
+    targets = ranked.select(
         "source", "source_size", "n_docs", F.least("most", F.lit(level) * F.col("weight")).alias("target")
     )
+    return hand_over(ranked, targets)
 
 
 def _uniform(*columns: Column) -> Column:
@@ -206,7 +210,9 @@ def mix_sources(
         "mix-sizes",
     )
     totals = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.sum("rows").alias("n_docs"))
-    targets = materialise(source_targets(totals, weights, share, max_copies), "mix-targets")
+    found = source_targets(totals, weights, share, max_copies)
+    targets = materialise(found, "mix-targets")
+    discard(found)
     n_sources, most_docs = targets.agg(F.count("*"), F.coalesce(F.max("n_docs"), F.lit(0))).first()
     small = F.broadcast(targets) if n_sources <= BROADCAST_SOURCES else targets
     small = small.select(

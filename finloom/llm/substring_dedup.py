@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finloom.llm.common import materialise, rows, text_column, text_hash
+from finloom.llm.common import discard, materialise, rows, text_column, text_hash
 
 #: Words of a window and of the runs that a minimiser is chosen from.
 WINDOW, RUN = 35, 8
@@ -287,6 +287,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> D
         .mapInArrow(cut, "doc_id long, row_hash long, minimiser long, start int, n long, packed binary"),
         "substring-strings",
     )
+    discard(found, counts)
     covered = (
         _bucket_counts(strings.where(F.col("n") <= BUCKET_STRINGS), window)
         .unionByName(_spread_counts(strings.where(F.col("n") > BUCKET_STRINGS), window))
