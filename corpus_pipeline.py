@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finloom.llm import bpe, jaccard_join, line_dedup, quality_rules, source_mix
-from finloom.llm.common import materialise, text_column, text_hash
+from finloom.llm.common import text_column, text_hash
+from finloom.storage import discard, materialise, temporary
 
 
 def _with_verdicts(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
@@ -81,5 +82,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each written as Parquet and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        # What a stage writes for itself goes when its result is written.
+        with temporary(spark) as kept:
+            kept.append(materialise(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-")))
+        discard(docs)
+        docs = kept[0]
     return STAGES[-1][1](spark, docs, sf_dir)
