@@ -27,6 +27,8 @@ MIN_REVISIT_BYTES = 100
 #: that it is built from.
 ARCHIVE_BYTES, DICTIONARY_BYTES, SAMPLE_BYTES = 32 << 20, 64 << 10, 2 << 20
 LEVEL = 3
+#: Tasks that read archives, at most.
+READ_TASKS = 50_000
 # The skippable frame of a dictionary, the first bytes of a trained
 # dictionary, and the profile of a revisit.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -214,5 +216,6 @@ def read_warc(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                 if found:
                     yield batch(found)
 
-    n = max(1, manifest.count())
-    return manifest.select("archive").repartition(n, "archive").mapInArrow(read, schema)
+    # Ranges of names, which are random, give each task as many archives.
+    tasks = max(1, min(manifest.count(), READ_TASKS))
+    return manifest.select("archive").repartitionByRange(tasks, "archive").mapInArrow(read, schema)
