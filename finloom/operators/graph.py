@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from finloom.storage import discard, hand_over, materialise, spread
 
@@ -185,8 +186,16 @@ def shared_members(memberships: DataFrame, least: int, most_members: int | None
     A group over ``most_members`` items makes no pairs.  That limit is part of
     the result: it is how the operator treats groups that say nothing about
     their members.
+
+    Without it, items meet in their rarest groups alone: of an item's groups all
+    but the ``least`` - 1 largest, one of which two items with enough groups in
+    common always share.  So a group that holds a third of all items makes no
+    pairs of its own, unless one group in common is enough, when the pairs of a
+    group are the result.
     """
     unique = memberships.distinct()
+    if most_members is None and least > 1:
+        return _sharing(unique, least)
     if most_members is not None:
         small = unique.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") <= most_members).select("group")
         unique = unique.join(small, "group", "left_semi")
@@ -200,6 +209,20 @@ def shared_members(memberships: DataFrame, least: int, most_members: int | None
     )
 
 
+def _sharing(unique: DataFrame, least: int) -> DataFrame:
+    unique = materialise(unique, "memberships")
+    sizes = unique.groupBy("group").agg(F.count("*").alias("n"))
+    ordered = Window.partitionBy("item").orderBy("n", "group")
+    ranked = unique.join(spread(sizes), "group").select("item", "group", F.row_number().over(ordered).alias("place"))
+    held = unique.groupBy("item").agg(F.count("*").alias("held")).where(F.col("held") >= least)
+    rare = ranked.join(held, "item").where(F.col("place") <= F.col("held") - (least - 1))
+    a, b = (rare.select("group", F.col("item").alias(x)) for x in "ab")
+    pairs = materialise(a.join(b, "group").where(F.col("a") < F.col("b")).select("a", "b").distinct(), "membership-pairs")
+    of = lambda end: unique.select(F.col("item").alias(end), "group")
+    counted = pairs.join(of("a"), "a").join(of("b"), ["b", "group"]).groupBy("a", "b")
+    return counted.agg(F.count("*").alias("n_shared"), F.min("group").alias("first_group")).where(F.col("n_shared") >= least)
+
+
 def without_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes that no edge touches."""
     return nodes.join(endpoints(edges).distinct(), "id", "left_anti")

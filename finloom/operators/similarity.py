@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finloom.functions.text import jaccard, levenshtein_similarity
-from finloom.storage import materialise
+from finloom.storage import materialise, spread
 
 #: Query vectors that a task holds (32 MB at 64 dimensions), and vectors that
 #: stream over them.
@@ -18,15 +18,16 @@ QUERY_BLOCK, PART_VECTORS = 65_536, 4_000_000
 
 
 def _prefixed(sets: DataFrame, key: str, tokens: str, keep: Column) -> DataFrame:
-    """key, tokens and one row for each of its ``keep`` rarest tokens."""
-    flat = sets.select(key, F.explode(tokens).alias("token"))
+    """key, size and one row for each of its ``keep`` rarest tokens; the number of
+    tokens to keep is an expression of the column ``size``."""
+    flat = sets.select(key, F.size(tokens).alias("size"), F.explode(tokens).alias("token"))
     counts = flat.groupBy("token").agg(F.count("*").alias("n"))
     ordered = (
-        flat.join(counts, "token")
-        .groupBy(key)
+        flat.join(spread(counts), "token")
+        .groupBy(key, "size")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]).alias("rare"))
     )
-    return sets.join(ordered, key).select(key, tokens, F.explode(F.slice("rare", F.lit(1), keep)).alias("token"))
+    return ordered.select(key, "size", F.explode(F.slice("rare", F.lit(1), keep)).alias("token"))
 
 
 def similar_sets(sets: DataFrame, key: str, tokens: str, threshold: float) -> DataFrame:
@@ -37,17 +38,20 @@ def similar_sets(sets: DataFrame, key: str, tokens: str, threshold: float) -> Da
     Two similar sets share one of their rarest tokens, so only these meet: a
     token that everything holds joins nothing.
     """
-    n = F.size(tokens)
+    n = F.col("size")
     keep = (n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + 1).cast("int")
-    rare = materialise(_prefixed(sets.where(n > 0), key, tokens, keep), "similar-sets")
-    a, b = (rare.select(F.col(key).alias(x), F.col(tokens).alias(f"{x}_set"), "token") for x in "ab")
-    low, high = F.least(F.size("a_set"), F.size("b_set")), F.greatest(F.size("a_set"), F.size("b_set"))
-    met = a.join(b, "token").where((F.col("a") < F.col("b")) & (low >= threshold * high - 1e-9))
+    rare = materialise(_prefixed(sets.where(F.size(tokens) > 0), key, tokens, keep), "similar-sets")
+    a, b = (rare.select(F.col(key).alias(x), F.col("size").alias(f"{x}_size"), "token") for x in "ab")
+    low, high = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
+    # Keys meet without their sets, which are fetched for pairs that are left.
+    met = a.join(b, "token").where((F.col("a") < F.col("b")) & (low >= threshold * high - 1e-9)).select("a", "b").distinct()
+    a_set, b_set = (sets.select(F.col(key).alias(x), F.col(tokens).alias(f"{x}_set")) for x in "ab")
     return (
-        met.withColumn("similarity", jaccard(F.col("a_set"), F.col("b_set")))
+        met.join(a_set, "a")
+        .join(b_set, "b")
+        .withColumn("similarity", jaccard(F.col("a_set"), F.col("b_set")))
         .where(F.col("similarity") >= threshold - 1e-9)
         .select("a", "b", F.round("similarity", 4).alias("similarity"))
-        .distinct()
     )
 
 

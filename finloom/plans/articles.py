@@ -297,3 +297,15 @@ def markdown_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.write.option("lineSep", "\u0001").partitionBy("key").text(path)
     found = files.markdown_sources(spark, path, "part-*")
     return found.select("url", "title", F.size(F.filter("sections", lambda s: s.startswith("#"))).alias("n_sections"))
+
+
+@query("""
+SELECT page_id, 'Title ' || page_id || chr(10) || 'Body & more of ' || url AS text FROM pages WHERE page_id % 3 > 0
+UNION ALL SELECT page_id, 'menu' || chr(10) || 'plain ' || page_id FROM pages WHERE page_id % 3 = 0""")
+def article_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of the articles of pages, or of all that a page shows without one."""
+    key = F.col("page_id")
+    address = F.replace(F.replace(F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    article = _text("<article><h1> Title  ", key, "</h1><script>var a = '<p>no</p>';</script><p>Body &amp; more of ", address, "</p></article>")
+    html = _text("<html><head><style>p{}</style></head><body><div>menu</div>", F.when(key % 3 > 0, article).otherwise(_text("<p>plain ", key, "</p>")), "<noscript>none</noscript></body></html>")
+    return table(spark, sf_dir, "pages").select("page_id", docs.article_text(html).alias("text"))

@@ -112,6 +112,24 @@ def test_simple_cycles(spark):
     assert graph.simple_cycles(spark.createDataFrame([(1, 2), (2, 3)], "src int, dst int"), 4).count() == 0
 
 
+def test_shared_members_of_a_common_group(spark):
+    """Everything is in one group; few items share a second one."""
+    rng = random.Random(6)
+    rows = {(i, -1) for i in range(3000)} | {(rng.randrange(300), rng.randrange(40)) for _ in range(900)}
+    groups = defaultdict(set)
+    for i, g in rows:
+        groups[i].add(g)
+    for least in (2, 4):
+        expected = set()
+        for a in range(300):
+            for b in range(a + 1, 300):
+                both = groups[a] & groups[b]
+                if len(both) >= least:
+                    expected.add((a, b, len(both), min(both)))
+        found = graph.shared_members(spark.createDataFrame(sorted(rows), "item int, group int"), least)
+        assert {tuple(r) for r in found.select("a", "b", "n_shared", "first_group").collect()} == expected
+
+
 def test_known_duplicates_of_a_common_title(spark):
     """A title of very many known items: the first of them is the answer."""
     known = spark.range(2000).select((1999 - F.col("id")).alias("pos"), F.col("id"), F.concat(F.lit("https://a.com/"), F.col("id")).alias("url"), F.lit("Markets rise on rates").alias("title"))
