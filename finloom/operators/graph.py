@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from finloom.storage import discard, hand_over, materialise, spread
 
@@ -187,11 +186,11 @@ def shared_members(memberships: DataFrame, least: int, most_members: int | None
     the result: it is how the operator treats groups that say nothing about
     their members.
 
-    Without it, items meet in their rarest groups alone: of an item's groups all
-    but the ``least`` - 1 largest, one of which two items with enough groups in
-    common always share.  So a group that holds a third of all items makes no
-    pairs of its own, unless one group in common is enough, when the pairs of a
-    group are the result.
+    Without it, the ``least`` - 1 largest groups of all make no pairs: two items
+    with enough groups in common share one of the others, where they meet, and
+    what they share of the largest is added for pairs that it could help.  So
+    a group that holds a third of all items makes no pairs of its own, unless one
+    group in common is enough, when the pairs of a group are the result.
     """
     unique = memberships.distinct()
     if most_members is None and least > 1:
@@ -212,15 +211,18 @@ def shared_members(memberships: DataFrame, least: int, most_members: int | None
 def _sharing(unique: DataFrame, least: int) -> DataFrame:
     unique = materialise(unique, "memberships")
     sizes = unique.groupBy("group").agg(F.count("*").alias("n"))
-    ordered = Window.partitionBy("item").orderBy("n", "group")
-    ranked = unique.join(spread(sizes), "group").select("item", "group", F.row_number().over(ordered).alias("place"))
-    held = unique.groupBy("item").agg(F.count("*").alias("held")).where(F.col("held") >= least)
-    rare = ranked.join(held, "item").where(F.col("place") <= F.col("held") - (least - 1))
-    a, b = (rare.select("group", F.col("item").alias(x)) for x in "ab")
-    pairs = materialise(a.join(b, "group").where(F.col("a") < F.col("b")).select("a", "b").distinct(), "membership-pairs")
-    of = lambda end: unique.select(F.col("item").alias(end), "group")
-    counted = pairs.join(of("a"), "a").join(of("b"), ["b", "group"]).groupBy("a", "b")
-    return counted.agg(F.count("*").alias("n_shared"), F.min("group").alias("first_group")).where(F.col("n_shared") >= least)
+    largest = materialise(sizes.orderBy(F.desc("n"), "group").limit(least - 1).select("group"), "largest-groups")
+    in_largest = unique.join(largest, "group", "left_semi")
+    a, b = (unique.join(largest, "group", "left_anti").select("group", F.col("item").alias(x)) for x in "ab")
+    met = a.join(b, "group").where(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count("*").alias("n_rest"), F.min("group").alias("first_rest"))
+    more_a, more_b = (in_largest.groupBy(F.col("item").alias(x)).agg(F.count("*").alias(f"more_{x}")) for x in "ab")
+    could = met.join(more_a, "a", "left").join(more_b, "b", "left")
+    could = could.where(F.col("n_rest") + F.least(F.coalesce("more_a", F.lit(0)), F.coalesce("more_b", F.lit(0))) >= least)
+    could = materialise(could.select("a", "b", "n_rest", "first_rest"), "membership-pairs")
+    of = lambda end: in_largest.select(F.col("item").alias(end), "group")
+    more = could.select("a", "b").join(of("a"), "a").join(of("b"), ["b", "group"]).groupBy("a", "b").agg(F.count("*").alias("n_more"), F.min("group").alias("first_more"))
+    both = could.join(more, ["a", "b"], "left").withColumn("n_shared", F.col("n_rest") + F.coalesce("n_more", F.lit(0)))
+    return both.where(F.col("n_shared") >= least).select("a", "b", "n_shared", F.least("first_rest", "first_more").alias("first_group"))
 
 
 def without_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
