@@ -41,10 +41,11 @@ def duplicates_of_known_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT lower(regexp_extract(u, {_P}, 2)) AS host, count(*) AS n FROM (SELECT unnest(list_distinct(regexp_extract_all(html, '(https?://[^\\s)\\]>"'']+)', 1))) AS u FROM pages) GROUP BY 1""")
+SELECT lower(regexp_extract(u, {_P}, 2)) AS host, count(*) AS n FROM (SELECT unnest(list_distinct(regexp_extract_all(coalesce(html, '') || ' see ' || url || ' and (' || url || ')', '(https?://[^\\s)\\]>"'']+)', 1))) AS u FROM pages) GROUP BY 1""")
 def linked_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hosts of the URLs in pages."""
-    found = F.array_distinct(F.regexp_extract_all("html", F.lit(r"""(https?://[^\s)\]>"']+)"""), F.lit(1)))
+    """Hosts of the URLs in pages, which name their own address twice."""
+    body = F.concat(F.coalesce("html", F.lit("")), F.lit(" see "), "url", F.lit(" and ("), "url", F.lit(")"))
+    found = F.array_distinct(F.regexp_extract_all(body, F.lit(r"""(https?://[^\s)\]>"']+)"""), F.lit(1)))
     flat = table(spark, sf_dir, "pages").select(F.explode(found).alias("u"))
     return flat.groupBy(url.host(F.col("u")).alias("host")).agg(F.count("*").alias("n"))
 
