@@ -161,13 +161,30 @@ def simple_cycles(edges: DataFrame, longest: int) -> DataFrame:
 
 def short_cycles(edges: DataFrame) -> DataFrame:
     """Directed cycles of two or three different vertices, once each: a < b, a < c
-    (c null for two)."""
-    e = edges.where(F.col("src") != F.col("dst")).select("src", "dst").distinct()
-    e1, e2, e3 = (e.select(F.col("src").alias(f"s{i}"), F.col("dst").alias(f"d{i}")) for i in (1, 2, 3))
-    paths = e1.join(e2, (F.col("d1") == F.col("s2")) & (F.col("s1") < F.col("s2")))
-    pairs = paths.where(F.col("d2") == F.col("s1")).select(F.col("s1").alias("a"), F.col("d1").alias("b"), F.lit(None).cast("long").alias("c"))
-    longer = paths.where(F.col("d2") > F.col("s1")).join(e3, (F.col("d2") == F.col("s3")) & (F.col("d3") == F.col("s1")))
-    return pairs.unionByName(longer.select(F.col("s1").alias("a"), F.col("d1").alias("b"), F.col("d2").alias("c")))
+    (c null for two).
+
+    Triangles are found at the vertex with the fewest neighbours, so a hub with
+    very many edges in and out doesn't pair them all.
+    """
+    e = materialise(edges.where(F.col("src") != F.col("dst")).select("src", "dst").distinct(), "short-cycles")
+    back = e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    pairs = e.where("src < dst").join(back, ["src", "dst"], "left_semi").select(F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(None).cast(e.schema["src"].dataType).alias("c"))
+    sides = e.select(F.least("src", "dst").alias("x"), F.greatest("src", "dst").alias("y")).distinct()
+    degree = sides.select(F.col("x").alias("v")).unionAll(sides.select(F.col("y").alias("v"))).groupBy("v").agg(F.count("*").alias("d"))
+    of = lambda end: spread(degree).select(F.col("v").alias(end), F.struct("d", "v").alias(f"{end}_rank"))
+    ranked = sides.join(of("x"), "x").join(of("y"), "y")
+    low, high = F.least("x_rank", "y_rank"), F.greatest("x_rank", "y_rank")
+    oriented = materialise(ranked.select(low["v"].alias("low"), high["v"].alias("high"), high.alias("rank")), "short-cycles-oriented")
+    one, two = (oriented.select("low", F.col("high").alias(x), F.col("rank").alias(f"{x}_rank")) for x in ("v", "w"))
+    closing = oriented.select(F.col("low").alias("v"), F.col("high").alias("w"))
+    triangles = one.join(two, "low").where(F.col("v_rank") < F.col("w_rank")).select("low", "v", "w").join(closing, ["v", "w"], "left_semi")
+    ways = triangles.select(F.inline(F.array(F.struct(F.col("low").alias("p"), F.col("v").alias("q"), F.col("w").alias("r")), F.struct(F.col("low").alias("p"), F.col("w").alias("q"), F.col("v").alias("r")))))
+    for src, dst in (("p", "q"), ("q", "r"), ("r", "p")):
+        ways = ways.join(e.select(F.col("src").alias(src), F.col("dst").alias(dst)), [src, dst], "left_semi")
+    first = F.least("p", "q", "r")
+    turned = F.when(F.col("p") == first, F.struct(F.col("p").alias("a"), F.col("q").alias("b"), F.col("r").alias("c")))
+    turned = turned.when(F.col("q") == first, F.struct(F.col("q").alias("a"), F.col("r").alias("b"), F.col("p").alias("c"))).otherwise(F.struct(F.col("r").alias("a"), F.col("p").alias("b"), F.col("q").alias("c")))
+    return pairs.unionByName(ways.select(turned.alias("t")).select("t.*"))
 
 
 def layer_violations(edges: DataFrame, layers: DataFrame) -> DataFrame:

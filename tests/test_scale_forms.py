@@ -112,6 +112,19 @@ def test_simple_cycles(spark):
     assert graph.simple_cycles(spark.createDataFrame([(1, 2), (2, 3)], "src int, dst int"), 4).count() == 0
 
 
+def test_short_cycles_through_a_hub(spark):
+    """A hub with hundreds of edges in and out; every cycle of two and three is found once."""
+    edges = set(_random_graph(80, 400, 7)) | {(0, i) for i in range(1, 300)} | {(i, 0) for i in range(300, 600)} | {(1, 300), (2, 301), (3, 3)}
+    e = {(a, b) for a, b in edges if a != b}
+    expected = {(a, b, None) for a, b in e if a < b and (b, a) in e}
+    after = defaultdict(set)
+    for a, b in e:
+        after[a].add(b)
+    expected |= {(a, b, c) for a, b in e if a < b for c in after[b] if a < c and a in after[c]}
+    found = [tuple(r) for r in graph.short_cycles(spark.createDataFrame(sorted(edges), "src long, dst long")).select("a", "b", "c").collect()]
+    assert len(found) == len(set(found)) and set(found) == expected and len(expected) > 20
+
+
 def test_shared_members_of_a_common_group(spark):
     """Everything is in one group; few items share a second one."""
     rng = random.Random(6)
