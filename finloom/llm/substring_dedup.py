@@ -35,6 +35,11 @@ BUCKET_STRINGS = 1000
 #: Words whose hashes a worker remembers before it starts anew.
 CACHED_WORDS = 500_000
 _MUL, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+#: Bytes of texts that are hashed at once, and of a word that are hashed with others.
+HASHED_BYTES, LONG_WORD = 2 << 20, 256
+_INSIDE = np.ones(256, bool)
+_INSIDE[[0x20, *range(0x09, 0x0E)]] = False
+_POWERS = np.cumprod(np.full(LONG_WORD + 1, _MUL, np.uint64))
 
 
 class _WordHashes(dict):
@@ -75,20 +80,76 @@ def _sliding_min(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray
     return low, place
 
 
-def super_kmers(texts: list[list[bytes]], window: int = WINDOW, run: int = RUN) -> tuple[np.ndarray, ...]:
-    """Super-k-mers of texts given as words: the number of the text, the
-    minimiser, the first word, the number of windows, and whether the minimiser
-    has several places, so that windows of this one may be equal."""
-    lengths = np.array([len(x) for x in texts], np.int64)
-    hashes = word_hashes([w for x in texts for w in x])
+def hash_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, one after another, and the number of words
+    of each.  All bytes of some texts are hashed at once, as polynomials of the
+    words' bytes; words of over LONG_WORD bytes one by one."""
+    hashes, counts, held, size = [], [], [], 0
+    for i, text in enumerate(texts):
+        held.append(text)
+        size += len(text) + 1
+        if size >= HASHED_BYTES or i + 1 == len(texts):
+            found, n = _hash_joined(held)
+            hashes.append(found)
+            counts.append(n)
+            held, size = [], 0
+    if not counts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
+def _hash_joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    if len(texts) == 1 and len(texts[0]) > HASHED_BYTES:
+        # Word by word: the arrays below take some twenty times a text's bytes.
+        words = texts[0].split()
+        return np.fromiter((_hash_word(w) for w in words), np.uint64, len(words)), np.array([len(words)])
+    joined = b" ".join([*texts, b""])
+    raw = np.frombuffer(joined, np.uint8)
+    inside = _INSIDE[raw]
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(inside) and inside[0]:
+        edge = np.concatenate([[0], edge])
+    starts, ends = edge[::2], edge[1::2]
+    ends_of_texts = np.cumsum([len(x) + 1 for x in texts])
+    counts = np.diff(np.searchsorted(starts, ends_of_texts), prepend=0)
+    if not len(starts):
+        return np.zeros(0, np.uint64), counts
+    lengths = ends - starts
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+    terms = (raw[inside].astype(np.uint64) + np.uint64(1)) * _POWERS[np.minimum(place, LONG_WORD)]
+    hashes = _mixed(np.add.reduceat(terms, first), lengths)
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        hashes[i] = _hash_word(joined[starts[i] : ends[i]])
+    return hashes, counts
+
+
+def _mixed(sums: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    sums = (sums ^ (sums >> np.uint64(32)) ^ (lengths.astype(np.uint64) << np.uint64(48))) * _MIX
+    return sums ^ (sums >> np.uint64(29))
+
+
+def _hash_word(word: bytes) -> int:
+    """The hash of one word, as ``_hash_joined`` has it."""
+    if len(word) > LONG_WORD:
+        return xxhash.xxh3_64_intdigest(word)
+    raw = np.frombuffer(word, np.uint8).astype(np.uint64) + np.uint64(1)
+    return int(_mixed(np.array([(raw * _POWERS[: len(raw)]).sum()], np.uint64), np.array([len(raw)]))[0])
+
+
+def super_kmers(hashes: np.ndarray, lengths: np.ndarray, window: int = WINDOW, run: int = RUN) -> tuple[np.ndarray, ...]:
+    """Super-k-mers of texts given by the hashes of their words and their numbers
+    of words: the number of the text, the minimiser, the first word, the number
+    of windows, and whether the minimiser has several places, so that windows of
+    this one may be equal."""
     if len(hashes) < window:
         return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.int64, np.int64, bool))
     low, place = _sliding_min(run_hashes(hashes, run), window - run + 1)
-    text_of = np.repeat(np.arange(len(texts)), lengths)
+    text_of = np.repeat(np.arange(len(lengths)), lengths)
     starts = np.cumsum(lengths) - lengths
     whole = np.flatnonzero(text_of[: len(low)] == text_of[window - 1 :])
     if not len(whole):
-        return super_kmers([], window, run)
+        return super_kmers(hashes[:0], lengths[:0], window, run)
     low, place = low[whole], place[whole]
     new = np.ones(len(whole), bool)
     new[1:] = (low[1:] != low[:-1]) | (whole[1:] != whole[:-1] + 1)
@@ -238,7 +299,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> D
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "row_hash", "minimiser", "start", "n_windows", "several"]
         for batch in rows(batches):
-            text, minimiser, start, n, several = super_kmers([x.split() for x in batch.column(2).to_pylist()], window, run)
+            text, minimiser, start, n, several = super_kmers(*hash_texts(batch.column(2).to_pylist()), window, run)
             at = pa.array(text)
             columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(minimiser.view(np.int64))]
             columns += [pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(several)]

@@ -8,7 +8,7 @@ import pytest
 from tests.conftest import MEDIUM
 
 from finloom.llm import substring_dedup
-from finloom.llm.substring_dedup import dedup_substrings, super_kmers
+from finloom.llm.substring_dedup import dedup_substrings, hash_texts, super_kmers
 from tests.llm.helpers import awkward, documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -68,6 +68,21 @@ def test_shared_passages_and_hot_buckets(spark, monkeypatch, limit):
 def test_super_kmers_hold_every_window_once():
     rng = random.Random(5)
     texts = [[f"w{rng.randrange(4)}".encode() for _ in range(n)] for n in (0, 5, 35, 36, 400)]
-    text, _, start, count, _ = super_kmers(texts)
+    text, _, start, count, _ = super_kmers(*hash_texts([b" ".join(x) for x in texts]))
     found = sorted((t, s + i) for t, s, n in zip(text.tolist(), start.tolist(), count.tolist()) for i in range(n))
     assert found == [(t, i) for t, w in enumerate(texts) for i in range(len(w) - 34)]
+
+
+@pytest.mark.parametrize("block", [1, 40, 1 << 20])
+def test_hashes_of_texts_are_those_of_their_words(monkeypatch, block):
+    """However texts are put together, and for words of every length."""
+    monkeypatch.setattr(substring_dedup, "HASHED_BYTES", block)
+    rng = random.Random(block)
+    for _ in range(100):
+        texts = [bytes(rng.choice(b" \t\n\x0b\x0c\r ab\xc3\xa9c") for _ in range(rng.randrange(60))) for _ in range(rng.randrange(8))]
+        texts += [b"x" * rng.choice([0, 255, 256, 257, 900]) + b" y"]
+        hashes, counts = hash_texts(texts)
+        words = [x.split() for x in texts]
+        assert counts.tolist() == [len(x) for x in words]
+        assert hashes.tolist() == [substring_dedup._hash_word(w) for x in words for w in x]
+    assert [len(x) for x in hash_texts([])] == [0, 0]
