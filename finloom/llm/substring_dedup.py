@@ -15,6 +15,7 @@ that combines before its shuffle; the result is the same.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,8 @@ BUCKET_STRINGS = 1000
 CACHED_WORDS = 500_000
 _MUL, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Bytes of texts that are hashed at once, and of a word that are hashed with others.
-HASHED_BYTES, LONG_WORD = 2 << 20, 256
+HASHED_BYTES, LONG_WORD = 1 << 18, 256
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _INSIDE = np.ones(256, bool)
 _INSIDE[[0x20, *range(0x09, 0x0E)]] = False
 _POWERS = np.cumprod(np.full(LONG_WORD + 1, _MUL, np.uint64))
@@ -82,27 +84,46 @@ def _sliding_min(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray
 
 def hash_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, one after another, and the number of words
-    of each.  All bytes of some texts are hashed at once, as polynomials of the
-    words' bytes; words of over LONG_WORD bytes one by one."""
+    of each.  About HASHED_BYTES of texts are hashed at once, as polynomials of the
+    words' bytes (which takes arrays of some fifty times as much); words of over
+    LONG_WORD bytes one by one."""
     hashes, counts, held, size = [], [], [], 0
-    for i, text in enumerate(texts):
-        held.append(text)
-        size += len(text) + 1
-        if size >= HASHED_BYTES or i + 1 == len(texts):
+
+    def close() -> None:
+        nonlocal held, size
+        if held:
             found, n = _hash_joined(held)
             hashes.append(found)
             counts.append(n)
             held, size = [], 0
+
+    for text in texts:
+        if size + len(text) > HASHED_BYTES:
+            close()
+        if len(text) > HASHED_BYTES:
+            parts = [_hash_joined([x])[0] for x in _slices(text)]
+            hashes += parts
+            counts.append(np.array([sum(map(len, parts))]))
+        else:
+            held.append(text)
+            size += len(text) + 1
+    close()
     if not counts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(hashes), np.concatenate(counts)
 
 
+def _slices(text: bytes) -> Iterator[bytes]:
+    """A long text cut between words."""
+    at = 0
+    while at < len(text):
+        cut = _SPACE.search(text, at + HASHED_BYTES)
+        end = cut.start() if cut else len(text)
+        yield text[at:end]
+        at = end
+
+
 def _hash_joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    if len(texts) == 1 and len(texts[0]) > HASHED_BYTES:
-        # Word by word: the arrays below take some twenty times a text's bytes.
-        words = texts[0].split()
-        return np.fromiter((_hash_word(w) for w in words), np.uint64, len(words)), np.array([len(words)])
     joined = b" ".join([*texts, b""])
     raw = np.frombuffer(joined, np.uint8)
     inside = _INSIDE[raw]
@@ -115,12 +136,17 @@ def _hash_joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if not len(starts):
         return np.zeros(0, np.uint64), counts
     lengths = ends - starts
-    first = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-    terms = (raw[inside].astype(np.uint64) + np.uint64(1)) * _POWERS[np.minimum(place, LONG_WORD)]
-    hashes = _mixed(np.add.reduceat(terms, first), lengths)
-    for i in np.flatnonzero(lengths > LONG_WORD):
+    hashes = np.empty(len(starts), np.uint64)
+    short = lengths <= LONG_WORD
+    for i in np.flatnonzero(~short):
         hashes[i] = _hash_word(joined[starts[i] : ends[i]])
+        inside[starts[i] : ends[i]] = False
+    lengths = lengths[short]
+    if len(lengths):
+        first = np.cumsum(lengths) - lengths
+        place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+        terms = (raw[inside].astype(np.uint64) + np.uint64(1)) * _POWERS[place]
+        hashes[short] = _mixed(np.add.reduceat(terms, first), lengths)
     return hashes, counts
 
 
