@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finloom.llm.common import discard, materialise, rows, text_column, text_hash
+from finloom.llm.common import discard, materialise, rows, spread, text_column, text_hash
 
 #: Words of a window and of the runs that a minimiser is chosen from.
 WINDOW, RUN = 35, 8
@@ -295,9 +295,19 @@ def _spread_counts(strings: DataFrame, window: int) -> DataFrame:
         windows.groupBy("digest").agg(F.sum("n").alias("total")).where("total > 1").select(F.col("digest").alias("r_digest")),
         "substring-repeated",
     )
-    offsets = windows.join(repeated, F.col("digest") == F.col("r_digest")).select(F.col("string").alias("o_string"), "offset")
-    return strings.join(offsets, F.col("string") == F.col("o_string")).select(
-        "doc_id", "row_hash", (F.col("start") + F.col("offset")).cast("int").alias("first"), F.lit(1).alias("windows")
+    # A string has few windows: they become stretches before its occurrences,
+    # which may be very many, are looked up.
+    offsets = (
+        windows.join(repeated, F.col("digest") == F.col("r_digest"))
+        .groupBy(F.col("string").alias("o_string"))
+        .agg(F.array_sort(F.collect_set("offset")).alias("offsets"))
+        .withColumn("firsts", F.filter("offsets", lambda x: ~F.array_contains("offsets", x - 1)))
+        .withColumn("lasts", F.filter("offsets", lambda x: ~F.array_contains("offsets", x + 1)))
+        .select("o_string", F.zip_with("firsts", "lasts", lambda a, b: F.struct(a.alias("offset"), (b - a + 1).alias("windows"))).alias("found"))
+    )
+    joined = strings.join(spread(offsets), F.col("string") == F.col("o_string"))
+    return joined.select("doc_id", "row_hash", "start", F.inline("found")).select(
+        "doc_id", "row_hash", (F.col("start") + F.col("offset")).cast("int").alias("first"), F.col("windows").cast("int").alias("windows")
     )
 
 
