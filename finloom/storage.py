@@ -47,6 +47,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return table
 
 
+def folder(table: DataFrame) -> str:
+    """Where ``materialise`` wrote a table, for tasks that read its files themselves."""
+    return _FOLDERS[table]
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``materialise`` returned, when all that was read from
     them is written."""
