@@ -6,7 +6,7 @@ against brute-force versions in the tests.
 
 from __future__ import annotations
 
-from finloom.llm import jaccard_join, line_dedup, quality_rules, substring_dedup, warc
+from finloom.llm import decontamination, importance, jaccard_join, line_dedup, merkle, quality_rules, substring_dedup, warc
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -84,6 +84,93 @@ z AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {q
 SELECT *, NOT base_failed AND n_words - n_boilerplate_words >= {quality_rules.MIN_LEFT_SHARE} * n_words AS kept FROM z"""
 
 
+def _leaf(text: str) -> str:
+    values = (text if f == "text" else f for f in merkle.FIELDS)
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')" for v in values) + "))"
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CRC_TABLE = """(SELECT i, list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(i))"""
+
+
+def _crc(values: str) -> str:
+    """s and crc for the strings s of a select, byte by byte in a recursive table c."""
+    return f"""b AS (SELECT s, hex(encode(s)) AS h FROM ({values})),
+c AS (SELECT s, h, 0 AS k, CAST(4294967295 AS BIGINT) AS reg FROM b
+  UNION ALL SELECT s, h, k + 1, xor(reg >> 8, v) FROM c JOIN {_CRC_TABLE} t
+  ON t.i = xor(reg & 255, CAST('0x' || substr(h, 2 * k + 1, 2) AS INT)) WHERE 2 * k < length(h)),
+crc AS (SELECT s, xor(reg, 4294967295) AS crc FROM c WHERE 2 * k = length(h))"""
+
+
+_MERKLE = f"""
+WITH RECURSIVE {_crc("SELECT CAST(doc_id AS VARCHAR) AS s FROM documents")},
+l AS (SELECT doc_id, lang, {_leaf("text")} AS leaf, {_leaf(_LOWER)} AS changed,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM documents),
+t AS (SELECT 0 AS level, lang, pos, n, leaf AS h FROM l
+  UNION ALL SELECT any_value(level) + 1, lang, pos // {merkle.FAN}, (n + {merkle.FAN - 1}) // {merkle.FAN}, sha256(string_agg(h, '' ORDER BY pos))
+  FROM t WHERE n > 1 GROUP BY lang, n, pos // {merkle.FAN}),
+s AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS level, pos, n, subroot AS h FROM s
+  UNION ALL SELECT any_value(level) + 1, pos // {merkle.FAN}, (n + {merkle.FAN - 1}) // {merkle.FAN}, sha256(string_agg(h, '' ORDER BY pos))
+  FROM u WHERE n > 1 GROUP BY n, pos // {merkle.FAN}),
+tr AS (SELECT level, lang, pos // {merkle.FAN} AS run, list(h ORDER BY pos) AS hs FROM t WHERE n > 1 GROUP BY ALL),
+ur AS (SELECT level, pos // {merkle.FAN} AS run, list(h ORDER BY pos) AS hs FROM u WHERE n > 1 GROUP BY ALL),
+p AS (SELECT doc_id, lang, leaf, 0 AS level, pos, CASE WHEN crc % 3 = 0 THEN changed ELSE leaf END AS fold, '' AS proof
+    FROM l LEFT JOIN crc ON s = CAST(doc_id AS VARCHAR)
+  UNION ALL SELECT doc_id, p.lang, leaf, p.level + 1, pos // {merkle.FAN},
+    sha256(array_to_string(hs[:pos % {merkle.FAN}], '') || fold || array_to_string(hs[pos % {merkle.FAN} + 2:], '')),
+    proof || array_to_string(hs[:pos % {merkle.FAN}], '') || array_to_string(hs[pos % {merkle.FAN} + 2:], '')
+    FROM p JOIN tr ON tr.level = p.level AND tr.lang IS NOT DISTINCT FROM p.lang AND tr.run = pos // {merkle.FAN}),
+q AS (SELECT p.doc_id, leaf, subroot, 0 AS level, s.pos, fold, proof FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang
+    WHERE p.level = (SELECT max(level) FROM t WHERE t.lang IS NOT DISTINCT FROM p.lang)
+  UNION ALL SELECT doc_id, leaf, subroot, q.level + 1, pos // {merkle.FAN},
+    sha256(array_to_string(hs[:pos % {merkle.FAN}], '') || fold || array_to_string(hs[pos % {merkle.FAN} + 2:], '')),
+    proof || array_to_string(hs[:pos % {merkle.FAN}], '') || array_to_string(hs[pos % {merkle.FAN} + 2:], '')
+    FROM q JOIN ur ON ur.level = q.level AND ur.run = pos // {merkle.FAN})
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = h AS verified
+FROM q, (SELECT h FROM u WHERE n = 1) WHERE level = (SELECT max(level) FROM u)"""
+
+_FOLDED_WORDS = rf"list_filter(regexp_split_to_array({_LOWER.replace('text', "coalesce(text, '')")}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+_CONTAMINATION = f"""
+WITH w AS (SELECT doc_id, {_FOLDED_WORDS} AS words FROM documents),
+i AS (SELECT item_id, {_FOLDED_WORDS} AS words FROM benchmark),
+g AS (SELECT DISTINCT item_id, least(len(words), {decontamination.WINDOW}) AS n, array_to_string(words[j:j + {decontamination.WINDOW - 1}], ' ') AS k
+  FROM (SELECT item_id, words, unnest(range(1, greatest(2, len(words) - {decontamination.WINDOW - 2}))) AS j FROM i WHERE len(words) > 0)),
+v AS (SELECT DISTINCT n, k FROM g),
+o AS (SELECT doc_id, j, n, array_to_string(words[j:j + n - 1], ' ') AS k
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS j FROM w, (SELECT DISTINCT n FROM v))),
+f AS (SELECT o.* FROM o JOIN v ON v.n = o.n AND v.k = o.k),
+h AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(j, j + n)) AS place FROM f) GROUP BY 1),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM
+  (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM f JOIN g ON g.n = f.n AND g.k = f.k) GROUP BY 1)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN h ON h.doc_id = w.doc_id LEFT JOIN m ON m.doc_id = w.doc_id"""
+
+_B = importance.BUCKETS
+_IMPORTANCE = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_FOLDED_WORDS} AS words FROM documents),
+i AS (SELECT {_FOLDED_WORDS} AS words FROM benchmark),
+df AS (SELECT doc_id, unnest(list_concat(words, list_transform(range(1, len(words)), lambda j: words[j] || ' ' || words[j + 1]))) AS s FROM d),
+bf AS (SELECT unnest(list_concat(words, list_transform(range(1, len(words)), lambda j: words[j] || ' ' || words[j + 1]))) AS s FROM i),
+{_crc("SELECT s FROM df UNION SELECT s FROM bf")},
+k AS (SELECT s, crc % {_B} AS bucket FROM crc),
+e AS (SELECT doc_id, bucket FROM df JOIN k USING (s)),
+sc AS (SELECT bucket, count(*) AS s FROM e GROUP BY 1),
+tc AS (SELECT bucket, count(*) AS t FROM bf JOIN k USING (s) GROUP BY 1),
+n AS (SELECT (SELECT count(*) FROM df) AS sa, (SELECT count(*) FROM bf) AS ta),
+x AS (SELECT r.bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (sa + {_B})::DOUBLE / ((coalesce(s, 0) + 1)::DOUBLE * (ta + {_B})::DOUBLE))) AS BIGINT) AS gain
+  FROM n, range({_B}) r(bucket) LEFT JOIN sc ON sc.bucket = r.bucket LEFT JOIN tc ON tc.bucket = r.bucket),
+w AS (SELECT doc_id, count(*) AS n_features, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM e JOIN x USING (bucket) GROUP BY 1),
+z AS (SELECT d.doc_id, len(words) >= {importance.MIN_WORDS} AS may, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+  (CAST('0x' || sha256('{importance.SEED}:' || coalesce(d.doc_id::VARCHAR, ''))[:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN w ON w.doc_id = d.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY may ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY may) AS all_rows FROM z)
+SELECT doc_id, n_features, weight, score, CASE WHEN may AND place <= {importance.DRAWN_PCT} * all_rows // 100 THEN place END AS rank FROM r"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_jaccard_join": _JACCARD,
@@ -91,4 +178,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc": _WARC,
         "op5_line_dedup": _LINES,
         "op8_quality_rules": _QUALITY,
+        "op11_merkle_manifest": _MERKLE,
+        "op12_decontamination": _CONTAMINATION,
+        "op13_importance_resampling": _IMPORTANCE,
     }

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from finloom.llm import (
     bpe,
+    decontamination,
+    importance,
     jaccard_join,
     license_scan,
     line_dedup,
     media,
+    merkle,
     quality_rules,
     secret_scan,
     source_mix,
@@ -102,6 +105,37 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    changed = merkle.leaf_digest(*(lower if f == "text" else F.col(f) for f in merkle.FIELDS))
+    found = merkle.manifest(_table(spark, sf_dir, "documents"), carried={"changed": F.when(tampered, changed)})
+    folded = merkle.fold(F.coalesce("changed", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id",
+        *(merkle.shown(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")),
+        F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+        merkle.shown(folded).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)")
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     found = (
         op1_jaccard_join,
@@ -114,6 +148,9 @@ def queries() -> dict:
         op8_quality_rules,
         op9_source_mix,
         op10_secret_scan,
+        op11_merkle_manifest,
+        op12_decontamination,
+        op13_importance_resampling,
     )
     import corpus_pipeline
 

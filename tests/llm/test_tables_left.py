@@ -12,7 +12,7 @@ from finloom import storage
 from finloom.llm.queries import queries
 
 
-@pytest.mark.parametrize("name, most", [("op1_jaccard_join", 4), ("op3_substring_dedup", 3), ("op5_line_dedup", 0), ("op8_quality_rules", 1), ("op9_source_mix", 4), ("pipeline", 1)])
+@pytest.mark.parametrize("name, most", [("op1_jaccard_join", 4), ("op3_substring_dedup", 3), ("op5_line_dedup", 0), ("op8_quality_rules", 1), ("op9_source_mix", 4), ("op11_merkle_manifest", 12), ("op12_decontamination", 2), ("op13_importance_resampling", 2), ("pipeline", 1)])
 def test_tables_left(spark, tmp_path, monkeypatch, name, most):
     """Only what the lazy result reads is left, and nothing after a release."""
     storage.release(spark)
