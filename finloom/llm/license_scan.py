@@ -301,14 +301,13 @@ class Templates:
         if not found:
             return []
         places = [m.span() for m in _WORD.finditer(text)]
+        # By start; finds that were taken don't overlap, so only two neighbours can.
         taken: list[tuple[int, int, int, int]] = []
         for matched, _, n, a, b in sorted(found, key=lambda x: (-x[0], -x[1], x[2], x[4] - x[3], x[3])):
-            if all(b < c or a > d for _, c, d, _ in taken):
-                taken.append((n, a, b, matched))
-        return [
-            (self.names[n], places[a][0], places[b][1], matched, len(self.words[n]))
-            for n, a, b, matched in sorted(taken, key=lambda x: x[1])
-        ]
+            at = bisect_left(taken, (a,))
+            if (at == 0 or taken[at - 1][1] < a) and (at == len(taken) or taken[at][0] > b):
+                taken.insert(at, (a, b, n, matched))
+        return [(self.names[n], places[a][0], places[b][1], matched, len(self.words[n])) for a, b, n, matched in taken]
 
 
 @lru_cache(maxsize=2)

@@ -157,3 +157,12 @@ def test_load_templates(tmp_path):
 def test_awkward_and_empty(spark):
     assert scan_licenses(awkward(spark)).count() == 11
     assert scan_licenses(documents(spark, [])).count() == 0
+
+
+def test_many_notices_in_a_text():
+    """Finds are as many as notices, in order, and never overlap."""
+    known = Templates(TEMPLATES)
+    text = "\n\n and then ".join(TEMPLATES[i % 2][1] for i in range(3_000))
+    found = known.find(text, 0.8)
+    assert [x[0] for x in found] == [TEMPLATES[i % 2][0] for i in range(3_000)]
+    assert all(a[2] <= b[1] for a, b in zip(found, found[1:]))
