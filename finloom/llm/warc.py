@@ -60,7 +60,7 @@ def with_verdicts(pages: DataFrame) -> DataFrame:
     # A payload that very many pages share is a hot key with one row on the
     # right, dealt evenly first so that adaptive execution can split the left.
     # Short payloads don't meet at all.
-    joined = records.where(long).join(spread(firsts).hint("shuffle_hash"), F.col("digest") == F.col("f_digest"), "left").select(
+    joined = records.where(long).join(spread(firsts), F.col("digest") == F.col("f_digest"), "left").select(
         "page_id", "url", "payload", "digest",
         F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"),
     )
