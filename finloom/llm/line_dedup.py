@@ -82,7 +82,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         'from', if(i = 0, 0, get(starts, i - 1) + {WINDOW}),
         'to', if(i = size(starts), size(lines), get(starts, i)))), g -> g.to > g.from)"""
     return (
-        identified.join(spread(starts).hint("shuffle_hash"), same_row, "left")
+        identified.join(spread(starts), same_row, "left")
         .select("row", "text", lines.alias("lines"), "starts")
         .select("row", "text", "lines", "starts", F.expr(stretches).alias("stretches"))
         .select(
