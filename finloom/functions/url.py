@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,10 +19,16 @@ def _part(url: Column, group: int) -> Column:
 
 
 def host(url: Column) -> Column:
-    """Host in lower case; empty if the URL has none."""
+    """Host in lower case, with user and port as written; empty if the URL has none."""
     return F.lower(_part(url, 2))
 
 
+def hostname(url: Column) -> Column:
+    """Host without user and port; empty if the URL has none."""
+    server = F.regexp_replace(host(url), "^.*@", "")
+    return F.when(server.contains("["), F.regexp_extract(server, r"\[([^\]]*)", 1)).otherwise(F.substring_index(server, ":", 1))
+
+
 def domain(url: Column) -> Column:
     """Host without a leading ``www.``."""
     return F.regexp_replace(host(url), r"^www\.", "")
@@ -57,9 +63,10 @@ def normalize_url(url: Column) -> Column:
     )
 
 
-def host_in(url: Column, domains: Iterable[str]) -> Column:
-    """Whether the host is one of ``domains`` or below one; never null."""
-    of = host(url)
+def host_in(url: Column, domains: Iterable[str], of: Callable[[Column], Column] = host) -> Column:
+    """Whether the host is one of ``domains`` or below one; never null.  ``of`` says
+    what counts as the host: ``host``, with user and port, or ``hostname``."""
+    of = of(url)
     found = F.lit(False)
     for d in domains:
         found = found | (of == d.lower()) | of.endswith("." + d.lower())

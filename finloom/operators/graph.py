@@ -106,57 +106,159 @@ def hop_distances(edges: DataFrame, start: DataFrame, hops: int) -> DataFrame:
 def pair_distances(edges: DataFrame, pairs: DataFrame, hops: int) -> DataFrame:
     """a, b and distance (null beyond ``hops`` undirected steps) of every pair.
 
-    All pairs search at once, from both ends: a step moves the frontier of one
-    side, each node with the ends it is reached from, and pairs leave as soon as
-    the two sides meet.  Half the depth keeps frontiers small.
+    Searches run 64 at a time: a node has one row for 64 sources, whose bits say
+    which of them have reached it.  A step ORs the new bits along edges and keeps
+    those that the node has not seen, so what it costs depends on nodes, edges
+    and groups of 64 sources, not on pairs.  The pairs themselves are bits too:
+    what a node is asked for travels in its row, and only the bits that arrive
+    are returned.  Of both ends the one with fewer different values is searched
+    from.  Ends that no edge touches reach themselves alone; a null end nothing.
     """
-    pairs = pairs.select("a", "b").distinct()
+    pairs = materialise(pairs.select("a", "b").distinct(), "distances-pairs")
+    sizes = pairs.agg(F.countDistinct("a").alias("a"), F.countDistinct("b").alias("b")).first()
+    start, end = ("a", "b") if sizes["a"] <= sizes["b"] else ("b", "a")
+    known = pairs.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    number = F.monotonically_increasing_id()
+    sources = materialise(known.select(start).distinct().select(start, number.alias("n")), "distances-sources")
+    placed = sources.select(F.col(start), F.shiftright("n", 6).alias("word"), F.expr("shiftleft(1L, CAST(n & 63 AS INT))").alias("bit"))
     both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     both = materialise(both.where(F.col("src") != F.col("dst")), "distances-edges")
-    seen = {s: materialise(pairs.select("a", "b", F.col(s).alias("id"), F.lit(0).alias("d")), f"distances-{s}0") for s in "ab"}
-    edge_of = dict(seen)
-    met = materialise(pairs.where(F.col("a").eqNullSafe(F.col("b"))).withColumn("distance", F.lit(0)), "distances-met0")
-    for step in range(1, hops + 1):
-        side, other = ("a", "b") if step % 2 else ("b", "a")
-        open_ = edge_of[side].join(met.select("a", "b"), ["a", "b"], "left_anti")
-        if open_.isEmpty():
-            continue
-        reached = open_.join(both, F.col("id") == F.col("src")).select("a", "b", F.col("dst").alias("id")).distinct()
-        fresh = reached.join(seen[side].select("a", "b", "id"), ["a", "b", "id"], "left_anti").withColumn("d", F.lit(step))
-        edge_of[side] = materialise(fresh, f"distances-{side}{step}")
-        seen[side] = seen[side].unionByName(edge_of[side])
-        now = edge_of[side].join(seen[other].select("a", "b", "id"), ["a", "b", "id"]).select("a", "b").distinct()
-        met = met.unionByName(materialise(now.withColumn("distance", F.lit(step)), f"distances-met{step}"))
-    return pairs.join(met, ["a", "b"], "left").select("a", "b", "distance")
-
-
-def simple_cycles(edges: DataFrame, longest: int) -> DataFrame:
-    """Directed cycles of 2 to ``longest`` different vertices, once each: vertices,
-    an array that begins with the smallest.
-
-    Only edges inside strongly connected parts take part: vertices without an
-    edge in or out are peeled off first.  Paths grow from their smallest vertex
-    by larger ones, so a cycle is found once.
+    none = F.lit(0).cast("long")
+    asked = known.join(spread(placed), start).select(F.col(end).alias("id"), "word", none.alias("seen"), none.alias("reached"), F.col("bit").alias("asked"))
+    rows = asked.unionByName(placed.select(F.col(start).alias("id"), "word", none.alias("seen"), F.col("bit").alias("reached"), none.alias("asked")))
+    arrived, old = None, None
+    for step in range(hops + 1):
+        state = rows.groupBy("id", "word").agg(*(F.bit_or(c).alias(c) for c in ("seen", "reached", "asked")))
+        new = F.expr("reached & ~seen")
+        state = materialise(state.select("id", "word", F.expr("seen | reached").alias("seen"), new.alias("new"), "asked"), f"distances-{step}")
+        found = materialise(state.where("new & asked <> 0").select("id", "word", F.expr("new & asked").alias("bits"), F.lit(step).alias("distance")), f"distances-met{step}")
+        arrived = found if arrived is None else arrived.unionByName(found)
+        discard(*([old] if old is not None else []))
+        old = state
+        # Words that have all answers need no further steps.
+        open_ = state.where("asked & ~seen <> 0").select("word").distinct()
+        state = state.join(spread(open_), "word", "left_semi")
+        frontier = state.where("new <> 0").select("id", "word", "new")
+        if step == hops or frontier.isEmpty():
+            break
+        reached = both.join(spread(frontier), F.col("src") == F.col("id")).select(F.col("dst").alias("id"), "word", none.alias("seen"), F.col("new").alias("reached"), none.alias("asked"))
+        rows = state.select("id", "word", "seen", none.alias("reached"), "asked").unionByName(reached)
+    discard(old, both)
+    each = arrived.select("id", "word", "distance", F.explode(F.expr("filter(sequence(0, 63), i -> shiftright(bits, i) & 1 = 1)")).alias("i"))
+    met = each.join(sources.select(start, F.shiftright("n", 6).alias("word"), F.expr("CAST(n & 63 AS INT)").alias("i")), ["word", "i"])
+    return pairs.join(met.select(start, F.col("id").alias(end), "distance"), ["a", "b"], "left").select("a", "b", "distance")
+
+
+def cyclic_components(edges: DataFrame) -> DataFrame:
+    """Written: vertex and component of every vertex on a directed cycle of any length,
+    loops included; component is the smallest vertex of its strongly connected part.
+
+    Vertices without an edge in or out are peeled off.  Then every vertex takes the
+    smallest vertex that reaches it as its colour: a strongly connected part has
+    one colour.  What reaches the vertex that a colour is named after, inside the
+    colour, is that vertex's part; it is taken out, edges between colours go, and
+    the rest starts again.  A round is a join and an aggregation; their number
+    grows with the longest shortest path, not with the number of cycles.
     """
-    e = materialise(edges.where(F.col("src") != F.col("dst")).select("src", "dst").distinct(), "cycles-edges")
+    loops = edges.where(F.col("src") == F.col("dst")).select(F.col("src").alias("vertex")).distinct()
+    left = materialise(edges.where(F.col("src") != F.col("dst")).select("src", "dst").distinct(), "parts-edges")
+    parts = []
+    while not left.isEmpty():
+        left = _peeled(left)
+        colours = _colours(left)
+        of = lambda end: spread(colours).select(F.col("vertex").alias(end), F.col("colour").alias(f"{end}_colour"))
+        inside = left.join(of("src"), "src").join(of("dst"), "dst").where(F.col("src_colour") == F.col("dst_colour"))
+        inside = materialise(inside.select("src", "dst", F.col("src_colour").alias("colour")), "parts-inside")
+        discard(left, colours)
+        part = _reaching_their_colour(inside)
+        parts.append(part)
+        gone = spread(part.select("vertex"))
+        kept = inside.join(gone.withColumnRenamed("vertex", "src"), "src", "left_anti").join(gone.withColumnRenamed("vertex", "dst"), "dst", "left_anti")
+        left = materialise(kept.select("src", "dst"), "parts-edges")
+        discard(inside)
+    discard(left)
+    found = None
+    for part in parts:
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return materialise(loops.select("vertex", F.col("vertex").alias("component")), "parts")
+    alone = loops.join(found, "vertex", "left_anti").select("vertex", F.col("vertex").alias("component"))
+    whole = materialise(found.unionByName(alone), "parts")
+    discard(*parts)
+    return whole
+
+
+def _peeled(edges: DataFrame) -> DataFrame:
+    """Written: edges between vertices that have edges in and out."""
     n = -1
-    while (now := e.count()) != n:
-        n, old = now, e
-        kept = old.join(old.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(old.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
-        e = materialise(kept.select("src", "dst"), "cycles-edges")
+    while (now := edges.count()) != n:
+        n, old = now, edges
+        kept = old.join(spread(old.select(F.col("dst").alias("src")).distinct()), "src", "left_semi")
+        edges = materialise(kept.join(spread(old.select(F.col("src").alias("dst")).distinct()), "dst", "left_semi").select("src", "dst"), "parts-edges")
+        discard(old)
+    return edges
+
+
+def _colours(edges: DataFrame) -> DataFrame:
+    """Written: vertex and the smallest vertex that reaches it (or itself)."""
+    vertices = edges.select(F.col("src").alias("vertex")).unionByName(edges.select(F.col("dst").alias("vertex"))).distinct()
+    colours = materialise(vertices.select("vertex", F.col("vertex").alias("colour"), F.lit(True).alias("new")), "parts-colours")
+    while not (news := colours.where("new")).isEmpty():
+        sent = edges.join(spread(news.select(F.col("vertex").alias("src"), "colour")), "src").select(F.col("dst").alias("vertex"), F.lit(None).cast(colours.schema["colour"].dataType).alias("own"), F.col("colour").alias("got"))
+        both = colours.select("vertex", F.col("colour").alias("own"), F.lit(None).cast(colours.schema["colour"].dataType).alias("got")).unionByName(sent)
+        least = both.groupBy("vertex").agg(F.max("own").alias("own"), F.min("got").alias("got"))
+        better = F.coalesce(F.col("got") < F.col("own"), F.lit(False))
+        old, colours = colours, materialise(least.select("vertex", F.when(better, F.col("got")).otherwise(F.col("own")).alias("colour"), better.alias("new")), "parts-colours")
+        discard(old)
+    return colours
+
+
+def _reaching_their_colour(inside: DataFrame) -> DataFrame:
+    """Written: vertex and component of what reaches the vertex that its colour is
+    named after, over edges inside colours, if that lies on a cycle."""
+    named = inside.where(F.col("dst") == F.col("colour")).select(F.col("dst").alias("vertex"), F.col("colour").alias("component")).distinct()
+    found = materialise(named.withColumn("new", F.lit(True)), "parts-found")
+    while not (news := found.where("new")).isEmpty():
+        back = inside.join(spread(news.select(F.col("vertex").alias("dst"))), "dst").select(F.col("src").alias("vertex"), F.col("colour").alias("component"), F.lit(True).alias("new"))
+        both = found.select("vertex", "component", F.lit(False).alias("new")).unionByName(back)
+        old, found = found, materialise(both.groupBy("vertex", "component").agg(F.min("new").alias("new")), "parts-found")
         discard(old)
-    step = e.select(F.col("src").alias("at"), F.col("dst").alias("next"))
-    paths = e.where(F.col("src") < F.col("dst")).select(F.array("src", "dst").alias("vertices"), F.col("src").alias("first"), F.col("dst").alias("at"))
-    cycles = None
-    for size in range(2, longest + 1):
-        paths = materialise(paths, f"cycles-{size}")
-        closed = paths.join(step.withColumnRenamed("next", "first"), ["at", "first"], "left_semi").select("vertices")
-        cycles = closed if cycles is None else cycles.unionByName(closed)
-        if size == longest or paths.isEmpty():
+    return hand_over(found, found.select("vertex", "component"))
+
+
+def witness_cycles(edges: DataFrame, parts: DataFrame) -> DataFrame:
+    """component, position (from 0) and vertex: for every component of ``cyclic_components``
+    one cycle, a shortest of those through its smallest vertex, which it begins with.
+
+    All components search at once, a step a level; of equally short ways the one by
+    smaller vertices before.  A row a vertex, so a cycle may be of any length.
+    """
+    of = lambda end: spread(parts).select(F.col("vertex").alias(end), F.col("component").alias(f"{end}_part"))
+    inside = edges.select("src", "dst").distinct().join(of("src"), "src").join(of("dst"), "dst").where(F.col("src_part") == F.col("dst_part"))
+    inside = materialise(inside.select("src", "dst", F.col("src_part").alias("component")), "witness-edges")
+    none = F.lit(None).cast(inside.schema["src"].dataType)
+    levels = [materialise(parts.select("component", F.col("component").alias("vertex"), none.alias("before")).distinct(), "witness-0")]
+    seen, open_, closed = levels[0].where(F.lit(False)).select("component", "vertex"), levels[0].select("component"), []
+    while not open_.isEmpty():
+        last = levels[-1].join(spread(open_), "component", "left_semi")
+        step = inside.join(last.select("component", F.col("vertex").alias("src")), ["component", "src"])
+        fresh = step.join(seen.withColumnRenamed("vertex", "dst"), ["component", "dst"], "left_anti").groupBy("component", F.col("dst").alias("vertex")).agg(F.min("src").alias("before"))
+        levels.append(materialise(fresh, f"witness-{len(levels)}"))
+        # The root is not among what was seen, so a way back to it shows.
+        seen = seen.unionByName(levels[-1].select("component", "vertex"))
+        closed.append(levels[-1].where(F.col("vertex") == F.col("component")).select("component", "before"))
+        open_ = materialise(open_.join(spread(closed[-1].select("component")), "component", "left_anti"), "witness-open")
+    out = levels[0].select("component", F.lit(0).alias("position"), "vertex")
+    back: DataFrame | None = None
+    for depth in range(len(levels) - 1, 0, -1):
+        here = closed[depth - 1].select("component", F.col("before").alias("vertex"))
+        back = here if back is None else back.unionByName(here)
+        if depth == 1:
             break
-        longer = paths.join(step, "at").where((F.col("next") > F.col("first")) & ~F.array_contains("vertices", F.col("next")))
-        paths = longer.select(F.concat("vertices", F.array("next")).alias("vertices"), "first", F.col("next").alias("at"))
-    return cycles
+        back = materialise(back, f"witness-back{depth}")
+        out = out.unionByName(back.select("component", F.lit(depth - 1).alias("position"), "vertex"))
+        back = back.join(levels[depth - 1], ["component", "vertex"]).select("component", F.col("before").alias("vertex"))
+    return out
 
 
 def short_cycles(edges: DataFrame) -> DataFrame:

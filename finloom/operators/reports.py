@@ -78,12 +78,13 @@ def source_table(runs: DataFrame) -> DataFrame:
     return runs.groupBy("source").agg(F.count_if("ok").alias("reports"), F.count_if(~F.col("ok")).alias("errors"), F.round(F.sum("seconds"), 2).alias("seconds"))
 
 
-def discoverability(distances: DataFrame, hops: int) -> DataFrame:
+def discoverability(distances: DataFrame) -> DataFrame:
     """One row of pairs and their distances (null: not reached): mean_path,
-    diversity (different distances of those possible) and reached (share)."""
+    diversity (different distances a reached pair) and reached (share); 0 without pairs."""
+    share = lambda part, whole: F.coalesce(F.round(F.try_divide(part, whole), 4), F.lit(0.0))
     return distances.agg(
         F.count("*").alias("pairs"),
-        F.round(F.avg("distance"), 2).alias("mean_path"),
-        F.round(F.countDistinct("distance") / hops, 4).alias("diversity"),
-        F.round(F.count("distance") / F.count("*"), 4).alias("reached"),
+        F.coalesce(F.round(F.avg("distance"), 2), F.lit(0.0)).alias("mean_path"),
+        share(F.countDistinct("distance"), F.count("distance")).alias("diversity"),
+        share(F.count("distance"), F.count("*")).alias("reached"),
     )

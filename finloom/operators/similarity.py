@@ -55,6 +55,36 @@ def similar_sets(sets: DataFrame, key: str, tokens: str, threshold: float) -> Da
     )
 
 
+def fuzzy_pairs(names: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """name, match and likeness of all pairs of a name and a known string (match) whose
+    Levenshtein similarity is over ``threshold``; both distinct, not empty.
+
+    Strings that are similar share one of their rarest two-letter runs, so only
+    those are compared: each of at most k edits spoils two runs, and k is less
+    than (1 - t) / t of the length.  Under a threshold of 0.75 that could spoil
+    all runs of a string; letters, numbered by their occurrence, take their place
+    then.  A threshold of 0.5 or less would have to compare everything.
+    """
+    if threshold <= 0.5:
+        raise ValueError("the threshold must be over 0.5")
+    runs, spoiled = "substring({0}, i, 2)", 2
+    if threshold < 0.75:
+        runs, spoiled = "concat(substring({0}, i, 1), i - length(replace(substring({0}, 1, i), substring({0}, i, 1), '')))", 1
+
+    def grams(df: DataFrame, col: str) -> DataFrame:
+        found = f"array_distinct(transform(sequence(1, greatest(1, length({col}) - {spoiled - 1})), i -> {runs.format(col)}))"
+        return df.select(col, F.expr(found).alias("grams"))
+
+    loss = (1 - threshold) / threshold
+    both = grams(names.select(F.col("name").alias("s")).unionByName(known.select(F.col("match").alias("s"))).distinct(), "s")
+    keep = (spoiled * F.floor(F.length("s") * F.lit(loss)) + 1).cast("int")
+    rare = materialise(_prefixed(both, "s", "grams", keep).select("s", "token"), "fuzzy-runs")
+    left = rare.join(names, F.col("s") == F.col("name"), "left_semi").select(F.col("s").alias("name"), "token")
+    right = rare.join(known, F.col("s") == F.col("match"), "left_semi").select(F.col("s").alias("match"), "token")
+    met = left.join(right, "token").select("name", "match").distinct()
+    return met.withColumn("likeness", levenshtein_similarity(F.col("name"), F.col("match"))).where(F.col("likeness") > threshold + 1e-12)
+
+
 def resolve_names(names: DataFrame, master: DataFrame, threshold: float = 0.8) -> DataFrame:
     """name, match and layer (exact, fuzzy or new) of every distinct name.
 
@@ -68,26 +98,8 @@ def resolve_names(names: DataFrame, master: DataFrame, threshold: float = 0.8) -
     exact = wanted.join(known, F.col("name") == F.col("match"), "left_semi").select("name", F.col("name").alias("match"), F.lit("exact").alias("layer"))
     rest = wanted.join(known, F.col("name") == F.col("match"), "left_anti")
 
-    def grams(df: DataFrame, col: str) -> DataFrame:
-        runs = F.expr(f"array_distinct(transform(sequence(1, greatest(1, length({col}) - 1)), i -> substring({col}, i, 2)))")
-        return df.select(col, runs.alias("grams"))
-
-    # Each of at most k edits spoils two runs; k is less than (1 - t) / t of the length.
-    loss = (1 - threshold) / threshold
-    both = grams(rest.select(F.col("name").alias("s"), F.lit("n").alias("side")).unionByName(known.select(F.col("match").alias("s"), F.lit("m").alias("side"))).select("s").distinct(), "s")
-    keep = (2 * F.floor(F.length("s") * F.lit(loss)) + 1).cast("int")
-    rare = _prefixed(both, "s", "grams", keep).select("s", "token")
-    left = rare.join(rest, F.col("s") == F.col("name"), "left_semi").select(F.col("s").alias("name"), "token")
-    right = rare.join(known, F.col("s") == F.col("match"), "left_semi").select(F.col("s").alias("match"), "token")
-    fuzzy = (
-        left.join(right, "token")
-        .select("name", "match")
-        .distinct()
-        .withColumn("likeness", levenshtein_similarity(F.col("name"), F.col("match")))
-        .where(F.col("likeness") > threshold + 1e-12)
-        .groupBy("name")
-        .agg(F.min_by("match", F.struct(-F.col("likeness"), "match")).alias("match"))
-    )
+    pairs = fuzzy_pairs(rest, known, threshold)
+    fuzzy = pairs.groupBy("name").agg(F.min_by("match", F.struct(-F.col("likeness"), "match")).alias("match"))
     found = rest.join(fuzzy, "name", "left").select("name", "match", F.when(F.col("match").isNull(), "new").otherwise("fuzzy").alias("layer"))
     return exact.unionByName(found)
 
@@ -117,38 +129,7 @@ def best_matches(
 
     grid = cells(asked, "block", blocks, "part", parts, False).unionByName(cells(known, "part", parts, "block", blocks, True))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, best = None, [], None
-
-        def close() -> Iterator[pa.RecordBatch]:
-            if best is not None:
-                ids, _, top, who = best
-                at = np.flatnonzero(top > -np.inf)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(who[at]), pa.array(top[at])], ["query", "match", "score"])
-
-        for batch in batches:
-            cell, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-            change = np.flatnonzero((cell[1:] != cell[:-1]) | (kind[1:] != kind[:-1])) + 1
-            for a, b in zip([0, *change], [*change, len(cell)]):
-                if a == b:
-                    continue
-                if cell[a] != now:
-                    yield from close()
-                    now, held, best = cell[a], [], None
-                piece = batch.slice(a, b - a)
-                ids = piece.column(2).to_numpy()
-                rows = piece.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-                if not kind[a]:
-                    held.append((ids, rows))
-                elif held or best is not None:
-                    if best is None:
-                        own = np.concatenate([x for x, _ in held])
-                        best = (own, np.concatenate([x for _, x in held]), np.full(len(own), -np.inf), np.zeros(len(own), np.int64))
-                        held = []
-                    _better(best, ids, rows)
-        yield from close()
-
-    found = grid.repartition("cell").sortWithinPartitions("cell", "is_vector").mapInArrow(scan, "query long, match long, score double")
+    found = grid.repartition("cell").sortWithinPartitions("cell", "is_vector").mapInArrow(scan_cells, "query long, match long, score double")
     order = F.struct("score", -F.col("match"))
     return (
         found.groupBy("query")
@@ -158,6 +139,40 @@ def best_matches(
     )
 
 
+def scan_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of cells (cell, is_vector, id, v), queries before vectors: the best vector
+    of each query of a cell.  A cell's queries are held, its vectors stream."""
+    now, held, best = None, [], None
+
+    def close() -> Iterator[pa.RecordBatch]:
+        if best is not None:
+            ids, _, top, who = best
+            at = np.flatnonzero(top > -np.inf)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(who[at]), pa.array(top[at])], ["query", "match", "score"])
+
+    for batch in batches:
+        cell, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+        change = np.flatnonzero((cell[1:] != cell[:-1]) | (kind[1:] != kind[:-1])) + 1
+        for a, b in zip([0, *change], [*change, len(cell)]):
+            if a == b:
+                continue
+            if cell[a] != now:
+                yield from close()
+                now, held, best = cell[a], [], None
+            piece = batch.slice(a, b - a)
+            ids = piece.column(2).to_numpy()
+            rows = piece.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+            if not kind[a]:
+                held.append((ids, rows))
+            elif held or best is not None:
+                if best is None:
+                    own = np.concatenate([x for x, _ in held])
+                    best = (own, np.concatenate([x for _, x in held]), np.full(len(own), -np.inf), np.zeros(len(own), np.int64))
+                    held = []
+                _better(best, ids, rows)
+    yield from close()
+
+
 def _better(best: tuple[np.ndarray, ...], ids: np.ndarray, rows: np.ndarray, at_once: int = 1024) -> None:
     """Compare a block's queries with more vectors, some queries at a time."""
     own, matrix, top, who = best

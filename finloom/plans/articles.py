@@ -275,16 +275,18 @@ def raw_article_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.raw_articles(spark, path).select("url", "title")
 
 
-@query("SELECT doc_id, CAST(length(coalesce(text, '')) AS INTEGER) AS size, sha256('text of ' || doc_id) AS sha256 FROM documents WHERE doc_id < 0 UNION ALL SELECT r_regionkey, 9, sha256('text of ' || r_regionkey) FROM region")
+@query("""
+SELECT source, block, CAST(sum(strlen(line) + 1) AS BIGINT) AS size, sha256(string_agg(line || chr(10), '' ORDER BY doc_id)) AS sha256
+FROM (SELECT doc_id, doc_id // 1000 AS block, 'source=' || replace(coalesce(source, 'none'), ':', '%3A') AS source, doc_id || ' ' || md5(coalesce(text, '')) AS line FROM documents) GROUP BY 1, 2""")
 def hashed_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of a folder by the hash of their content."""
+    """Files of the digests of a thousand documents of a source at most, by the hash of their content."""
     path = shared_dir(spark, "hashed-files")
-    table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("key"), _text("text of ", F.col("r_regionkey")).alias("value")).repartition("key").write.option("lineSep", "|").partitionBy("key").text(path)
+    line = _text(F.col("doc_id"), " ", F.md5(F.coalesce("text", F.lit(""))))
+    rows = table(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("none")).alias("source"), F.expr("doc_id div 1000").alias("block"), "doc_id", line.alias("value"))
+    rows.repartition("source", "block").sortWithinPartitions("source", "block", "doc_id").drop("doc_id").write.partitionBy("source", "block").text(path)
     found = files.hashed_files(spark, path, "part-*")
-    key = F.regexp_extract("file", r"key=(\d+)", 1).cast("long")
-    return found.join(spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path).select(F.col("path").alias("file"), F.rtrim(F.col("content").cast("string"), F.lit("|")).alias("t")), "file").select(
-        key.alias("doc_id"), F.length("t").cast("int").alias("size"), F.when(F.sha2(F.concat("t", F.lit("|")), 256) == F.col("sha256"), F.sha2("t", 256)).alias("sha256")
-    )
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path).select(F.col("path").alias("file"), F.col("length").alias("size"))
+    return found.select("file", "sha256").join(sizes, "file").select(F.regexp_extract("file", "/(source=[^/]+)/", 1).alias("source"), F.regexp_extract("file", r"/block=(\d+)/", 1).cast("long").alias("block"), "size", "sha256")
 
 
 @query(f"SELECT '{SITE}/' || r_regionkey AS url, 'Title ' || r_name AS title, 2 AS n_sections FROM region WHERE r_regionkey % 2 = 0")

@@ -258,42 +258,65 @@ def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return foreign_key_graph(spark, sf_dir)[1].unionByName(_trades(spark, sf_dir))
 
 
+#: Steps within which pairs are looked for.
+HOPS = 15
 _PAIRS = f"""SELECT DISTINCT n.id AS a, concat('S', CAST(abs(hash_key) % 7 AS BIGINT)) AS b FROM (SELECT id, CAST(substr(id, 2) AS BIGINT) AS hash_key FROM ({_TRADERS}) WHERE id LIKE 'C%' UNION ALL SELECT 'X', 3) n"""
 
 
 @query(f"""
 WITH RECURSIVE e AS MATERIALIZED (SELECT src, dst FROM ({_EDGES}) UNION SELECT src, dst FROM ({_TRADES})), g AS MATERIALIZED (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
-p AS (SELECT concat('S', i) AS b, concat('S', i) AS id, 0 AS d FROM range(7) t(i) UNION SELECT p.b, g.dst, p.d + 1 FROM p JOIN g ON p.id = g.src WHERE p.d < 4),
+p AS (SELECT concat('S', i) AS b, concat('S', i) AS id, 0 AS d FROM range(7) t(i) UNION SELECT p.b, g.dst, p.d + 1 FROM p JOIN g ON p.id = g.src WHERE p.d < 15),
 m AS (SELECT b, id, min(d) AS distance FROM p GROUP BY 1, 2)
 SELECT a, x.b, CAST(distance AS INTEGER) AS distance FROM ({_PAIRS}) x LEFT JOIN m ON m.b = x.b AND m.id = x.a""")
 def pair_distance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Steps between every customer and one of seven suppliers, four at most; one pair has an unknown end."""
+    """Steps between every customer and one of seven suppliers, 15 at most; one pair has an unknown end."""
     key = F.substring("id", 2, 20).cast("long")
     pairs = table(spark, sf_dir, "customer").select(_text("C", F.col("c_custkey")).alias("id")).select(F.col("id").alias("a"), _text("S", key % 7).alias("b"))
     pairs = pairs.unionByName(spark.createDataFrame([("X", "S3")], "a string, b string"))
-    return graph.pair_distances(_whole(spark, sf_dir), pairs, 4)
+    return graph.pair_distances(_whole(spark, sf_dir), pairs, HOPS)
 
 
 @query(f"""
 WITH RECURSIVE e AS MATERIALIZED (SELECT src, dst FROM ({_EDGES}) UNION SELECT src, dst FROM ({_TRADES})), g AS MATERIALIZED (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
-p AS (SELECT concat('S', i) AS b, concat('S', i) AS id, 0 AS d FROM range(7) t(i) UNION SELECT p.b, g.dst, p.d + 1 FROM p JOIN g ON p.id = g.src WHERE p.d < 4),
+p AS (SELECT concat('S', i) AS b, concat('S', i) AS id, 0 AS d FROM range(7) t(i) UNION SELECT p.b, g.dst, p.d + 1 FROM p JOIN g ON p.id = g.src WHERE p.d < 15),
 m AS (SELECT b, id, min(d) AS distance FROM p GROUP BY 1, 2), r AS (SELECT a, x.b, distance FROM ({_PAIRS}) x LEFT JOIN m ON m.b = x.b AND m.id = x.a)
-SELECT count(*) AS pairs, round(avg(distance), 2) AS mean_path, round(count(DISTINCT distance) / 15, 4) AS diversity, round(count(distance) / count(*), 4) AS reached FROM r""")
+SELECT count(*) AS pairs, round(avg(distance), 2) AS mean_path, round(count(DISTINCT distance) / count(distance), 4) AS diversity, round(count(distance) / count(*), 4) AS reached FROM r""")
 def discoverability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How well pairs reach each other: mean path, kinds of distances, share reached."""
-    return reports.discoverability(pair_distance_rows(spark, sf_dir), 15)
+    return reports.discoverability(pair_distance_rows(spark, sf_dir))
 
 
-_PART_OF = "SELECT DISTINCT s_nationkey AS src, CAST(s_suppkey % 25 AS INTEGER) AS dst FROM supplier WHERE s_nationkey <> s_suppkey % 25 AND s_suppkey < 60"
+# What a supplier depends on: one by its balance, and every third one also one by its nation.
+_NEEDS = """SELECT s_suppkey AS src, CAST(floor(abs(s_acctbal)) AS BIGINT) % (SELECT count(*) FROM supplier) AS dst FROM supplier
+  UNION SELECT s_suppkey, CAST(s_nationkey AS BIGINT) FROM supplier WHERE s_suppkey % 3 = 0"""
+
+
+def _needs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    suppliers = table(spark, sf_dir, "supplier")
+    one = suppliers.select(F.col("s_suppkey").alias("src"), (F.floor(F.abs("s_acctbal")).cast("long") % suppliers.count()).alias("dst"))
+    return one.unionByName(suppliers.where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("src"), F.col("s_nationkey").cast("long").alias("dst"))).distinct()
 
 
 @query(f"""
-WITH RECURSIVE e AS MATERIALIZED ({_PART_OF}),
-p AS (SELECT [src, dst] AS path, src AS first, dst AS at_ FROM e WHERE src < dst
-  UNION ALL SELECT list_append(path, e.dst), first, e.dst FROM p JOIN e ON p.at_ = e.src WHERE e.dst > first AND NOT list_contains(path, e.dst) AND len(path) < 6)
-SELECT list_aggregate(path, 'string_agg', ',') AS cycle, CAST(len(path) AS INTEGER) AS size FROM p JOIN e ON p.at_ = e.src AND p.first = e.dst""")
+WITH RECURSIVE e AS MATERIALIZED ({_NEEDS}), r AS (SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM r JOIN e ON r.dst = e.src)
+SELECT a.src AS vertex, min(a.dst) AS component FROM r a JOIN r b ON a.src = b.dst AND a.dst = b.src GROUP BY 1""")
 def dependency_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cycles of two to six nations that depend on each other by their suppliers."""
-    edges = table(spark, sf_dir, "supplier").where("s_suppkey < 60").select(F.col("s_nationkey").cast("int").alias("src"), (F.col("s_suppkey") % 25).cast("int").alias("dst")).distinct()
-    found = graph.simple_cycles(edges, 6)
-    return found.select(F.array_join("vertices", ",").alias("cycle"), F.size("vertices").alias("size"))
+    """Suppliers that depend on themselves in any number of steps, with their part."""
+    return graph.cyclic_components(_needs(spark, sf_dir))
+
+
+@query(f"""
+WITH RECURSIVE e AS MATERIALIZED ({_NEEDS}), r AS (SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM r JOIN e ON r.dst = e.src),
+c AS (SELECT DISTINCT min(a.dst) AS component FROM r a JOIN r b ON a.src = b.dst AND a.dst = b.src GROUP BY a.src),
+w AS (SELECT component, component AS at_, 0 AS d FROM c UNION SELECT component, e.dst, d + 1 FROM w JOIN e ON e.src = at_ WHERE d < 200 AND NOT (d > 0 AND at_ = component)),
+f AS (SELECT component, min(d) AS size FROM w WHERE d > 0 AND at_ = component GROUP BY 1)
+SELECT component, CAST(size AS BIGINT) AS size, true AS closed FROM f""")
+def dependency_cycle_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A shortest cycle of every part: its length, and whether its steps are dependencies."""
+    needs = _needs(spark, sf_dir)
+    cycle = graph.witness_cycles(needs, graph.cyclic_components(needs))
+    sizes = cycle.groupBy("component").agg(F.count("*").alias("size"))
+    steps = cycle.join(sizes, "component").select("component", "size", F.col("vertex").alias("src"), ((F.col("position") + 1) % F.col("size")).alias("position"))
+    after = steps.join(cycle.select("component", F.col("position").cast("long").alias("position"), F.col("vertex").alias("dst")), ["component", "position"])
+    known = needs.withColumn("known", F.lit(True))
+    return after.join(known, ["src", "dst"], "left").groupBy("component", "size").agg(F.every(F.col("known").isNotNull()).alias("closed"))

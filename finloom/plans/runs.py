@@ -270,14 +270,24 @@ def cell_and_text_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""
-SELECT page_id, page_id % 4 <> 0 AS has_host FROM pages WHERE page_id % 4 < 3""")
+_BROWSED = ("example.org", "thth.example.com", "EXAMPLE.net")
+_HOST = "lower(regexp_extract(url, '^https?://([^/?#]*)', 1))"
+
+
+@query(f"""
+SELECT page_id, {" OR ".join(f"({_HOST} = '{d.lower()}' OR {_HOST} LIKE '%.{d.lower()}')" for d in _BROWSED)} AS plain, plain AS served,
+  CASE WHEN page_id % 2 = 0 THEN false ELSE plain END AS blocked FROM pages""")
 def browser_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles whose host, or a domain above it, needs a browser."""
-    k = F.col("page_id") % 4
-    address = F.when(k == 0, "https://notexample.com/a").when(k == 1, "https://www.example.com/a").when(k == 2, "https://example.com:443/?u=x").otherwise("x")
-    found = table(spark, sf_dir, "pages").where("page_id % 4 < 3").select("page_id", url.host_in(F.regexp_replace(address, ":443", ""), ["example.com"]).alias("has_host"))
-    return found
+    """Pages whose host, or a domain above it, needs a browser: as they are and with user
+    and port, which the host that serves a page is found without."""
+    parts = F.regexp_extract("url", r"^(https?)://([^/?#]*)(.*)$", 2)
+    server = F.concat(F.lit("://Me:pw@"), F.upper(parts), F.lit(":8443"))
+    address = F.concat(F.regexp_extract("url", "^https?", 0), server, F.regexp_extract("url", r"^https?://[^/?#]*(.*)$", 1))
+    # With a port, what is to be skipped has to name it.
+    ported = F.when(F.col("page_id") % 2 == 0, address).otherwise(F.col("url"))
+    return table(spark, sf_dir, "pages").select(
+        "page_id", url.host_in(F.col("url"), _BROWSED, url.hostname).alias("plain"), url.host_in(address, _BROWSED, url.hostname).alias("served"), url.host_in(ported, _BROWSED).alias("blocked")
+    )
 
 
 @query("""

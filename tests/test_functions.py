@@ -57,6 +57,10 @@ def test_normalize_url_against_the_standard_library(spark):
 
 def test_hosts(spark):
     rows = ["https://a.example.com/x", "https://example.com", "https://badexample.com", "nonsense", None]
+    ports = [("https://me:pw@A.example.com:8443/x",), ("http://[::1]:80/",), ("https://example.com:443",), ("x",)]
+    assert values(spark, ports, "u string", url.hostname(F.col("u"))) == ["a.example.com", "::1", "example.com", ""]
+    assert values(spark, ports, "u string", url.host_in(F.col("u"), ["Example.com"], url.hostname)) == [True, False, True, False]
+    assert values(spark, ports, "u string", url.host_in(F.col("u"), ["example.com"])) == [False, False, False, False]
     assert values(spark, rows, "u string", url.host_in(F.col("u"), ["example.com"])) == [True, True, False, False, False]
     assert values(spark, rows, "u string", url.is_web_url(F.col("u"))) == [True, True, True, False, False]
     assert values(spark, ["http://a/x.PDF?y=1", "http://a/x.pdfx", None], "u string", url.is_pdf(F.col("u"))) == [True, False, False]

@@ -88,28 +88,67 @@ def test_pair_distances(spark):
         assert found == {(a, b): distance(a, b, hops) for a, b in pairs}
 
 
-def test_simple_cycles(spark):
-    edges = _random_graph(12, 34, 5)
+def _parts(edges: list[tuple[int, int]]) -> dict[int, int]:
+    """The smallest vertex of the strongly connected part of every vertex on a cycle."""
     after = defaultdict(set)
     for a, b in edges:
-        if a != b:
-            after[a].add(b)
-    cycles = set()
-
-    def walk(path: list[int]) -> None:
-        for x in after[path[-1]]:
-            if x == path[0]:
-                cycles.add(tuple(path))
-            elif x > path[0] and x not in path and len(path) < 6:
-                walk([*path, x])
-
-    for v in list(after):
-        walk([v])
-    cycles = {c for c in cycles if len(c) > 1}
-    assert len(cycles) > 5
-    found = [tuple(r.vertices) for r in graph.simple_cycles(spark.createDataFrame(edges, "src int, dst int"), 6).collect()]
-    assert len(found) == len(set(found)) and set(found) == cycles
-    assert graph.simple_cycles(spark.createDataFrame([(1, 2), (2, 3)], "src int, dst int"), 4).count() == 0
+        after[a].add(b)
+
+    def reach(v: int) -> set[int]:
+        seen, todo = set(), [v]
+        while todo:
+            for x in after[todo.pop()] - seen:
+                seen.add(x)
+                todo.append(x)
+        return seen
+
+    far = {v: reach(v) for v in {x for e in edges for x in e}}
+    return {v: min(u for u in far[v] if v in far[u]) for v in far if v in far[v]}
+
+
+@pytest.mark.parametrize("n, m, seed", [(40, 60, 1), (60, 75, 2), (25, 90, 3)])
+def test_cyclic_components(spark, n, m, seed):
+    """Many small parts, tails, loops and a ring longer than any bound; every witness is a shortest cycle."""
+    edges = [*_random_graph(n, m, seed), *((500 + i, 500 + (i + 1) % 17) for i in range(17)), (510, 600), (600, 601), (700, 700), (700, 701), (0, 500)]
+    e = spark.createDataFrame(edges, "src int, dst int")
+    parts = graph.cyclic_components(e)
+    expected = _parts(edges)
+    rows = parts.collect()
+    assert {r.vertex: r.component for r in rows} == expected and len(rows) == len(expected)
+    ways = defaultdict(dict)
+    for r in graph.witness_cycles(e, parts).collect():
+        assert r.position not in ways[r.component]
+        ways[r.component][r.position] = r.vertex
+    assert set(ways) == set(expected.values())
+    known = set(edges)
+    for root, way in ways.items():
+        path = [way[i] for i in range(len(way))]
+        assert path[0] == root and len(set(path)) == len(path) and all(x in known for x in zip(path, [*path[1:], root]))
+        near, d = {root}, 0
+        while True:
+            near, d = {b for a, b in known if a in near}, d + 1
+            if root in near:
+                break
+        assert d == len(path)
+    assert len(ways[500]) == 17 and len(ways[700]) == 1
+
+
+def test_no_cycles(spark):
+    none = spark.createDataFrame([(1, 2), (2, 3), (1, 3), (None, 1)], "src int, dst int")
+    parts = graph.cyclic_components(none)
+    assert parts.count() == 0 and graph.witness_cycles(none, parts).count() == 0
+    assert graph.cyclic_components(none.limit(0)).count() == 0
+
+
+def test_distances_of_many_sources(spark):
+    """More than one word of sources, pairs in both directions, ends without edges."""
+    n = 200
+    edges = [(i, i + 1) for i in range(n - 1)]
+    pairs = [(a, b) for a in range(0, n, 2) for b in range(a % 7, n, 11)] + [(5, 5), (1000, 1000), (1000, 3), (None, 3), (None, None)]
+    e, p = spark.createDataFrame(edges, "src int, dst int"), spark.createDataFrame(pairs, "a int, b int")
+    found = {(r.a, r.b): r.distance for r in graph.pair_distances(e, p, 15).collect()}
+    near = lambda a, b: None if a is None or b is None or (1000 in (a, b) and a != b) or abs(a - b) > 15 else abs(a - b)
+    assert found == {(a, b): near(a, b) for a, b in pairs}
 
 
 def test_short_cycles_through_a_hub(spark):
