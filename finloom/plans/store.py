@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finloom import snapshots
 from finloom.operators import chains, dedup, grouping
 from finloom.plans.catalog import query
 from finloom.session import table
+from finloom.storage import shared_dir
 
 NOW, RETRIES, BUDGET = "2024-01-20 00:00:00", 8, 150.0
 
@@ -125,3 +127,17 @@ def session_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixed_size_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows in batches of 900, in order."""
     return dedup.batches(table(spark, sf_dir, "events").select("event_id"), ["event_id"], 900).select("event_id", "batch")
+
+
+@query("""
+SELECT s_suppkey AS key, CASE WHEN s_suppkey % 3 = 0 THEN upper(s_name) ELSE s_name END AS name, CASE WHEN s_suppkey % 3 = 0 THEN 2 ELSE 1 END AS version FROM supplier
+UNION ALL SELECT -c_custkey - 1, c_name, 2 FROM customer""")
+def committed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index of suppliers after a second commit that changes a third and adds customers."""
+    path = shared_dir(spark, "committed-index")
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"))
+    snapshots.upsert_snapshot(rows.withColumn("version", F.lit(1)), path, "key")
+    added = table(spark, sf_dir, "customer").select((-F.col("c_custkey") - 1).alias("key"), F.col("c_name").alias("name"))
+    changes = rows.where("key % 3 = 0").withColumn("name", F.upper("name")).unionByName(added)
+    snapshots.upsert_snapshot(changes.withColumn("version", F.lit(2)), path, "key")
+    return snapshots.read_snapshot(spark, path)

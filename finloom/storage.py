@@ -6,8 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import urlparse
 from weakref import WeakKeyDictionary
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Folder of every table that ``materialise`` returned and that is still in use.
@@ -16,6 +18,15 @@ _FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 _WRITTEN: dict[str, None] = {}
 
 
+def store_of(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The store that holds ``uri`` and the path in it (a plain path is local)."""
+    if not urlparse(uri).scheme:
+        return pafs.LocalFileSystem(), uri
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), urlparse(uri).path
+    return pafs.FileSystem.from_uri(uri)
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which all executors share.
 

@@ -1,3 +1,3 @@
 """Structured Streaming versions of the incremental operators."""
 
-from finloom.streaming import incremental  # noqa: F401  it registers its queries
+from finloom.streaming import incremental, timers  # noqa: F401  they register their queries
