@@ -72,14 +72,6 @@ def all_matches(text: Column, rules: Sequence[tuple[str, Sequence[str]]], defaul
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(default)))
 
 
-def first_regex(text: Column, rules: Sequence[tuple[str, str]], default: str) -> Column:
-    """Name of the first rule whose pattern is found, case ignored."""
-    out = F.lit(default)
-    for pattern, name in reversed(rules):
-        out = F.when(text.rlike("(?i)" + pattern), F.lit(name)).otherwise(out)
-    return out
-
-
 def category_confidence(found: Column) -> Column:
     """A quarter for every keyword, 1 at most."""
     return F.least(F.size(found) * F.lit(0.25), F.lit(1.0))

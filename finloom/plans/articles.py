@@ -311,3 +311,17 @@ def article_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     article = _text("<article><h1> Title  ", key, "</h1><script>var a = '<p>no</p>';</script><p>Body &amp; more of ", address, "</p></article>")
     html = _text("<html><head><style>p{}</style></head><body><div>menu</div>", F.when(key % 3 > 0, article).otherwise(_text("<p>plain ", key, "</p>")), "<noscript>none</noscript></body></html>")
     return table(spark, sf_dir, "pages").select("page_id", docs.article_text(html).alias("text"))
+
+
+@query("""
+SELECT c_nationkey AS nation, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS INTEGER) AS pos, c_custkey AS id, c_name AS title, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance
+FROM customer WHERE c_nationkey <> 3""")
+def json_store_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of JSON documents in folders, a document a nation; broken ones give no rows."""
+    path = shared_dir(spark, "json-store")
+    item = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("title"), F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("balance"))
+    documents = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.to_json(F.struct(F.lit("1.0").alias("version"), F.array_sort(F.collect_list(item)).alias("items"))).alias("json"))
+    broken = documents.withColumn("json", F.when(F.col("nation") == 3, F.concat(F.lit("["), "json")).otherwise(F.regexp_replace("json", ",", ",\n ")))
+    broken.repartition("nation").write.partitionBy("nation").text(path)
+    found = docs.read_json_rows(spark, path, "version string, items array<struct<id:long,title:string,balance:double>>", "items")
+    return found.select(F.regexp_extract("file", r"nation=(\d+)", 1).cast("int").alias("nation"), "pos", "id", "title", "balance")

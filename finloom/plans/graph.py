@@ -274,3 +274,20 @@ def edge_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = table(spark, sf_dir, "customer").select(_key("C", "c_custkey").alias("id")).unionByName(table(spark, sf_dir, "supplier").select(_key("S", "s_suppkey").alias("id")))
     edges = _trades(spark, sf_dir).withColumn("type", F.lit("trades")).unionByName(foreign_key_graph(spark, sf_dir)[1].withColumn("type", F.lit("part_of")))
     return graph.valid_edges(nodes, edges).groupBy("type").agg(F.count("*").alias("n_edges"), F.count_if("broken").alias("n_broken"))
+
+
+_LAYERS = {"C": 2, "S": 2, "N": 1, "R": 0}
+_LAYERED = f"SELECT src, dst FROM ({_EDGES}) UNION ALL SELECT src, dst FROM ({_TRADES}) UNION ALL SELECT dst, src FROM ({_EDGES}) WHERE src LIKE 'S%'"
+_LAYER_OF = "CASE substr({0}, 1, 1) " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _LAYERS.items()) + " END"
+
+
+@query(f"""
+SELECT src, dst, {_LAYER_OF.format('src')} AS src_layer, {_LAYER_OF.format('dst')} AS dst_layer FROM ({_LAYERED})
+WHERE {_LAYER_OF.format('src')} < {_LAYER_OF.format('dst')} OR ({_LAYER_OF.format('src')} = {_LAYER_OF.format('dst')} AND {_LAYER_OF.format('src')} <> 0)""")
+def layer_violation_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges that go up or stay inside a layer: regions, nations, and those who trade."""
+    nodes, edges = foreign_key_graph(spark, sf_dir)
+    upward = edges.where("src LIKE 'S%'").select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    of = F.create_map(*(F.lit(x) for pair in _LAYERS.items() for x in pair))
+    layers = nodes.select("id", of[F.substring("id", 1, 1)].alias("layer"))
+    return graph.layer_violations(edges.unionByName(_trades(spark, sf_dir)).unionByName(upward), layers).select("src", "dst", "src_layer", "dst_layer")

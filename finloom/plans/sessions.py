@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from finloom.functions import dates, ids, url
 from finloom.operators import sessions
 from finloom.plans.catalog import query
-from finloom.plans.news import _P
+from finloom.plans.news import _NORMAL_SQL, _P
 from finloom.session import table
 
 _THEMES = (("english", "src0", ["the "]), ("license", "src1", ["license"]), ("mixed", "src0", ["que ", "der "]))
@@ -90,3 +90,14 @@ def backfill_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run over failed rows takes: an equal share of 300 for every user."""
     failed = table(spark, sf_dir, "events").where("event_type = 'error'").select(F.col("user_id").alias("domain"), F.col("event_id").alias("url"), F.col("ts").alias("at"))
     return sessions.quota_by_domain(failed, 300).select(F.col("domain").alias("user_id"), F.col("url").alias("event_id"))
+
+
+@query(f"""
+SELECT page_id, normal || CASE WHEN page_id % 2 = 0 THEN '' ELSE ' https://other.example/x/' END AS urls FROM ({_NORMAL_SQL})""")
+def issue_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normal URLs that issues about pages name, each once, without those of the tracker itself."""
+    address = F.col("url")
+    more = F.when(F.col("page_id") % 2 == 0, "").otherwise('<a href="https://www.other.example/x/?utm_source=i">')
+    body = F.concat(F.lit("- [page]("), address, F.lit(") of https://github.com/o/r/issues/"), F.col("page_id").cast("string"), F.lit("\n> "), address, F.lit("\n"), more)
+    found = table(spark, sf_dir, "pages").select("page_id", sessions.urls_in(body).alias("urls"))
+    return found.select("page_id", F.array_join("urls", " ").alias("urls"))
