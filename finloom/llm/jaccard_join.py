@@ -50,6 +50,8 @@ COUNT_SETS, COUNT_NGRAMS, COLUMNS, DENSE = 2048, 1000, 4096, 0.005
 #: Sets up to which all pairs of sketches are compared at once.
 TINY = 24
 SEED = 7
+#: Bits of the filter of rows whose texts are fetched: 8 MB in 2,048 pages at most.
+FILTER_BITS = 1 << 26
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -383,6 +385,21 @@ def _joined(a: np.ndarray, b: np.ndarray, alike: np.ndarray, n: int) -> np.ndarr
     return label
 
 
+def _could_hold(docs: DataFrame, holders: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose hash is that of a holder, and few others.
+
+    A bitmap over the hashes of the holders, of a fixed size however many there
+    are (FILTER_BITS bits, sent to all tasks), so that the texts of other rows
+    need not be shuffled; with very many holders it lets more of them pass.
+    """
+    place = lambda c: F.pmod(F.col(c), F.lit(FILTER_BITS)) + 1
+    bits = holders.select(place("row_hash").alias("p")).groupBy(F.bitmap_bucket_number("p").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bitmap"))
+    at = F.bitmap_bit_position(place("row_hash"))
+    byte = F.conv(F.hex(F.substring("bitmap", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    paged = docs.withColumn("page", F.bitmap_bucket_number(place("row_hash")))
+    return paged.join(F.broadcast(bits), "page").where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*docs.columns)
+
+
 def _partners(docs: DataFrame, members: DataFrame, ngram: int, threshold: float) -> DataFrame:
     """Written: key, linked (the summed n_copies of the sets of its group that are similar
     to it) and first (a set that links connect it with, or itself), a row for
@@ -437,7 +454,7 @@ def _partners(docs: DataFrame, members: DataFrame, ngram: int, threshold: float)
 
     same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.row_hash") == F.col("h.row_hash"))
     sets = (
-        docs.alias("d")
+        _could_hold(docs, holders).alias("d")
         .join(holders.alias("h"), same)
         .select("h.key", "h.root", "h.blocks", "h.n_copies", "d.text")
         .mapInArrow(packed, "key binary, root binary, blocks long, n_copies long, ngrams binary")

@@ -166,3 +166,14 @@ def test_runs_allow_for_splits():
     share = 0.8 * jaccard_join.kept_together(0.8)
     assert abs(share - 0.75) < 1e-9
     assert runs_for(0.9999, share) == 7
+
+
+def test_filter_of_holders(spark, monkeypatch):
+    """Every holder passes, whatever the size of the filter; with room few others do."""
+    rows = spark.range(4_000).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("row_hash"), F.lit("t").alias("text"))
+    holders = rows.where("doc_id % 40 = 0")
+    for bits, most in ((1 << 26, 105), (1 << 10, 4_000), (8, 4_000)):
+        monkeypatch.setattr(jaccard_join, "FILTER_BITS", bits)
+        found = {r.doc_id for r in jaccard_join._could_hold(rows, holders).collect()}
+        assert {i for i in range(0, 4_000, 40)} <= found and len(found) <= most
+    assert jaccard_join._could_hold(rows, holders.limit(0)).count() == 0
