@@ -164,10 +164,11 @@ def test_short_cycles_through_a_hub(spark):
     assert len(found) == len(set(found)) and set(found) == expected and len(expected) > 20
 
 
-def test_shared_members_of_a_common_group(spark):
-    """Everything is in one group; few items share a second one."""
+@pytest.mark.parametrize("common", [3000, 0])
+def test_shared_members_of_a_common_group(spark, common):
+    """Everything is in one group, or no group is large; few items share a second one."""
     rng = random.Random(6)
-    rows = {(i, -1) for i in range(3000)} | {(rng.randrange(300), rng.randrange(40)) for _ in range(900)}
+    rows = {(i, -1) for i in range(common)} | {(rng.randrange(300), rng.randrange(40)) for _ in range(900)}
     groups = defaultdict(set)
     for i, g in rows:
         groups[i].add(g)
