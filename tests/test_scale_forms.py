@@ -106,7 +106,7 @@ def _parts(edges: list[tuple[int, int]]) -> dict[int, int]:
     return {v: min(u for u in far[v] if v in far[u]) for v in far if v in far[v]}
 
 
-@pytest.mark.parametrize("n, m, seed", [(40, 60, 1), (60, 75, 2), (25, 90, 3)])
+@pytest.mark.parametrize("n, m, seed", [(40, 60, 1), (25, 90, 3)])
 def test_cyclic_components(spark, n, m, seed):
     """Many small parts, tails, loops and a ring longer than any bound; every witness is a shortest cycle."""
     edges = [*_random_graph(n, m, seed), *((500 + i, 500 + (i + 1) % 17) for i in range(17)), (510, 600), (600, 601), (700, 700), (700, 701), (0, 500)]
