@@ -40,7 +40,8 @@ def page_menu_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*?)(?:</article>|$)', 1) AS x FROM pages),
 p AS (SELECT page_id, unnest(string_split(x, '<p>')[2:]) AS t, generate_subscripts(string_split(x, '<p>')[2:], 1) - 1 AS row FROM a)
 SELECT page_id, CAST(row AS INTEGER) AS row, CAST(length(s) AS INTEGER) AS n_chars, sha256(s) AS sha256 FROM
-  (SELECT page_id, row, replace(regexp_replace(regexp_extract(t, '(?s)^(.*?)(?:</p>|$)', 1), '<[^>]*>', '', 'g'), '&amp;', '&') AS s FROM p)""")
+  (SELECT page_id, row, replace(replace(replace(replace(replace(regexp_replace(regexp_extract(t, '(?s)^(.*?)(?:</p>|$)', 1), '<[^>]*>', '', 'g'),
+    '&quot;', '"'), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS s FROM p)""")
 def page_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs of the articles of pages; markup often leaves their ends out."""
     found = markup.select_rows(table(spark, sf_dir, "pages"), "page_id", "html", "article p", {"text": markup.Field(":scope")})
