@@ -289,16 +289,26 @@ def hashed_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("file", "sha256").join(sizes, "file").select(F.regexp_extract("file", "/(source=[^/]+)/", 1).alias("source"), F.regexp_extract("file", r"/block=(\d+)/", 1).cast("long").alias("block"), "size", "sha256")
 
 
-@query(f"SELECT '{SITE}/' || r_regionkey AS url, 'Title ' || r_name AS title, 2 AS n_sections FROM region WHERE r_regionkey % 2 = 0")
+@query(f"""
+SELECT '{SITE}/' || source || '/' || block AS url, 'Report: ' || source || ', part ' || block AS title, CAST(count(*) AS INTEGER) AS n_sections, max(len(d)) AS longest
+FROM (SELECT source, doc_id // 1000 AS block, doc_id || repeat('!', CAST(doc_id % 7 AS INTEGER)) AS d FROM documents WHERE source >= 'src2') GROUP BY source, block""")
 def markdown_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Markdown files with a URL in their front matter."""
+    """Reports of a thousand ids of a source as markdown files, a section for each document;
+    some sources leave the URL in the front matter empty, no source means no front matter."""
     path = shared_dir(spark, "markdown")
-    key = F.col("r_regionkey")
-    text = _text("---\ntitle: \"Title ", F.col("r_name"), "\"\n", F.when(key % 2 == 0, _text("url: ", SITE, "/", key, "\n")).otherwise(""), "---\n# One\nbody\n## Two\nmore\n")
-    rows = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("key"), text.alias("value")).repartition("key")
-    rows.write.option("lineSep", "\u0001").partitionBy("key").text(path)
-    found = files.markdown_sources(spark, path, "part-*")
-    return found.select("url", "title", F.size(F.filter("sections", lambda s: s.startswith("#"))).alias("n_sections"))
+    level = F.repeat(F.lit("#"), (F.col("doc_id") % 6 + 1).cast("int"))
+    section = _text(level, " ", F.col("doc_id"), F.repeat(F.lit("!"), (F.col("doc_id") % 7).cast("int")), "\n#", F.md5(F.coalesce("text", F.lit(""))), "\n")
+    rows = table(spark, sf_dir, "documents").select("source", F.expr("doc_id div 1000").alias("block"), section.alias("section"))
+    # A file is a thousand sections at most.
+    body = F.array_join(F.collect_list("section"), "")
+    address = F.when(F.col("source") < "src2", "").otherwise(_text(SITE, "/", F.col("source"), "/", F.col("block")))
+    front = _text('---\ntitle: "Report: ', F.col("source"), ", part ", F.col("block"), '"\nurl: ', address, "\n---\n")
+    found = rows.groupBy("source", "block").agg(body.alias("body"))
+    found = found.select(F.xxhash64("source", "block").alias("key"), _text(F.coalesce(front, F.lit("")), F.col("body")).alias("value")).repartition("key")
+    found.write.option("lineSep", "\u0001").partitionBy("key").text(path)
+    heads = lambda s: F.transform(s, lambda x: F.length(docs.section_heading(x)))
+    read = files.markdown_sources(spark, path, "part-*")
+    return read.select("url", "title", F.size(F.filter("sections", lambda s: s.startswith("#"))).alias("n_sections"), F.array_max(heads(F.col("sections"))).cast("long").alias("longest"))
 
 
 @query("""

@@ -185,17 +185,19 @@ def article_day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT 'N' || n_nationkey AS id, 'nodes' AS part, n_name AS value FROM nation UNION ALL SELECT 'N' || n_nationkey, 'edges', 'R' || n_regionkey FROM nation""")
+SELECT 'C' || c_custkey AS id, 'nodes ' || c_mktsegment AS part, c_name AS value FROM customer
+UNION ALL SELECT 'O' || o_orderkey, 'edges ' || o_orderstatus, 'C' || o_custkey FROM orders""")
 def queue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nodes and edges as queue documents, written and read."""
+    """Nodes of several labels and edges of several types as queue documents, written and read."""
     path = shared_dir(spark, "queue")
-    n = table(spark, sf_dir, "nation")
-    nodes = n.select(_text("N", F.col("n_nationkey")).alias("id"), F.lit("Nation").alias("label"), F.col("n_name").alias("name"))
-    edges = n.select(_text("N", F.col("n_nationkey")).alias("src"), _text("R", F.col("n_regionkey")).alias("dst"), F.lit("PART_OF").alias("type"))
-    sinks.write_documents(nodes, edges, path, "geo")
-    read = spark.read.schema("id string, name string, label string").json(f"{path}/command=geo/nodes")
-    met = spark.read.schema("src string, dst string, type string").json(f"{path}/command=geo/edges")
-    return read.where("label = 'Nation'").select("id", F.lit("nodes").alias("part"), F.col("name").alias("value")).unionByName(met.where("type = 'PART_OF'").select(F.col("src").alias("id"), F.lit("edges").alias("part"), F.col("dst").alias("value")))
+    nodes = table(spark, sf_dir, "customer").select(_text("C", F.col("c_custkey")).alias("id"), F.col("c_mktsegment").alias("label"), F.col("c_name").alias("name"))
+    edges = table(spark, sf_dir, "orders").select(_text("O", F.col("o_orderkey")).alias("src"), _text("C", F.col("o_custkey")).alias("dst"), F.col("o_orderstatus").alias("type"))
+    sinks.write_documents(nodes, edges, path, "shop")
+    read = spark.read.schema("id string, name string, label string").json(f"{path}/command=shop/nodes")
+    met = spark.read.schema("src string, dst string, type string").json(f"{path}/command=shop/edges")
+    return read.select("id", _text("nodes ", F.col("label")).alias("part"), F.col("name").alias("value")).unionByName(
+        met.select(F.col("src").alias("id"), _text("edges ", F.col("type")).alias("part"), F.col("dst").alias("value"))
+    )
 
 
 @query("SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-20' - 7")

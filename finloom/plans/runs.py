@@ -36,11 +36,10 @@ def listed_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.listed(_feeds(spark, sf_dir), "BUILDING", enabled_only=True).select("feed_id")
 
 
-@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey IN (1, 3)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')")
 def category_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chosen part of a registry."""
-    registry = table(spark, sf_dir, "nation").withColumn("region", F.col("n_regionkey").cast("string"))
-    return runs.selected(registry, "region", ("1", "3")).select("n_nationkey", "n_name")
+    """The chosen parts of a registry."""
+    return runs.selected(table(spark, sf_dir, "customer"), "c_mktsegment", ("BUILDING", "MACHINERY")).select("c_custkey", "c_name")
 
 
 @query("""
@@ -316,25 +315,27 @@ def already_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH n AS (SELECT CASE WHEN n_nationkey % 5 = 0 THEN 'new' ELSE 'old' END AS v, n_regionkey, n_nationkey FROM nation)
-SELECT n_regionkey AS region, count(*) AS n, count(*) FILTER (n_regionkey < 2) AS changed FROM n GROUP BY 1""")
+SELECT o_orderpriority AS priority, count(*) FILTER (o_orderpriority > '3' OR o_totalprice > 100000) AS n, count(*) FILTER (o_orderpriority < '3' AND o_totalprice > 100000) AS changed
+FROM orders GROUP BY 1""")
 def replaced_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table whose folders of two regions are written anew."""
+    """A table whose folders of two priorities are written anew, with fewer rows; others stay."""
     path = shared_dir(spark, "partitions")
-    n = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_regionkey").alias("region"))
-    sinks.replace_partition(n.withColumn("v", F.lit("old")), path, "region")
-    sinks.replace_partition(n.where("region < 2").withColumn("v", F.lit("new")), path, "region")
-    return spark.read.parquet(path).groupBy("region").agg(F.count("*").alias("n"), F.count_if(F.col("v") == "new").alias("changed"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("priority"))
+    sinks.replace_partition(o.withColumn("v", F.lit("old")), path, "priority")
+    sinks.replace_partition(o.where("priority < '3' AND o_totalprice > 100000").withColumn("v", F.lit("new")), path, "priority")
+    return spark.read.parquet(path).groupBy("priority").agg(F.count("*").alias("n"), F.count_if(F.col("v") == "new").alias("changed"))
 
 
-@query("SELECT d AS dt, n_nationkey FROM nation, (VALUES ('2024-01-01'), ('2024-01-02')) t(d)")
+@query("""
+SELECT '2024-01-01' AS dt, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT '2024-01-02', o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 100000
+UNION ALL SELECT '2024-01-02', o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'""")
 def appended_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs under their days."""
+    """Three runs under their days, two of them of one day."""
     path = shared_dir(spark, "run-log")
-    n = table(spark, sf_dir, "nation").select("n_nationkey")
-    for day in ("2024-01-01", "2024-01-02"):
-        sinks.append_run(n, path, day)
-    return spark.read.parquet(path).select(F.col("dt").cast("string").alias("dt"), "n_nationkey")
+    o = table(spark, sf_dir, "orders")
+    for day, part in (("2024-01-01", "o_orderstatus <> 'F'"), ("2024-01-02", "o_totalprice > 100000"), ("2024-01-02", "o_orderstatus = 'P'")):
+        sinks.append_run(o.where(part).select("o_orderkey", "o_totalprice"), path, day)
+    return spark.read.parquet(path).select(F.col("dt").cast("string").alias("dt"), "o_orderkey", "o_totalprice")
 
 
 @query("SELECT s_suppkey, s_name, s_suppkey % 2 = 0 AS has_even FROM supplier")
@@ -359,13 +360,15 @@ def converted_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.join(counts, "category").select("event_id", "number", F.col("n").alias("n_of_category"))
 
 
-@query("SELECT rpad(CAST(n_nationkey AS VARCHAR), 4, ' ') || '  ' || rpad(n_name, 5, ' ') || '  ' || n_regionkey AS line FROM nation")
+@query("""
+SELECT rtrim(rpad(CAST(c_custkey AS VARCHAR), 8, ' ') || '  ' || rpad(coalesce(c_name, ''), 15, ' ') || '  ' || rpad(coalesce(CAST(round(c_acctbal) AS BIGINT)::VARCHAR, ''), 4, ' ') || '  ' || rpad(coalesce(c_mktsegment, ''), 12, ' ')) AS line FROM customer""")
 def padded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows as a table of text."""
-    return records.padded_table(table(spark, sf_dir, "nation"), {"n_nationkey": 4, "n_name": 5, "n_regionkey": 3})
+    """Rows as a table of text, values that are too long cut."""
+    rounded = table(spark, sf_dir, "customer").withColumn("balance", F.round("c_acctbal").cast("long"))
+    return records.padded_table(rounded, {"c_custkey": 8, "c_name": 15, "balance": 4, "c_mktsegment": 12})
 
 
-@query("SELECT n_nationkey, CAST(strlen(n_name) AS INTEGER) AS size FROM nation WHERE n_regionkey = 1")
+@query("SELECT doc_id, CAST(strlen(text) AS INTEGER) AS size FROM documents WHERE lang = 'en'")
 def processed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A processor applied to a table."""
-    return table(spark, sf_dir, "nation").transform(lambda df: df.where("n_regionkey = 1").select("n_nationkey", F.octet_length("n_name").alias("size")))
+    return table(spark, sf_dir, "documents").transform(lambda df: df.where("lang = 'en'").select("doc_id", F.octet_length("text").alias("size")))
