@@ -162,6 +162,24 @@ def title_jaccard_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.similar_sets(titles, "doc_id", "words", 0.85)
 
 
+@query(f"""
+WITH RECURSIVE r AS (SELECT doc_id, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(left(text, 200)), '\\s+'), lambda x: x <> ''))) AS w FROM documents),
+t AS MATERIALIZED (SELECT min(doc_id) AS id, count(*) AS n, w FROM r WHERE len(w) > 0 GROUP BY w),
+p AS MATERIALIZED (SELECT a, b FROM (SELECT a.id AS a, b.id AS b, len(list_intersect(a.w, b.w)) AS n, len(a.w) + len(b.w) AS total
+    FROM t a JOIN t b ON a.id < b.id AND least(len(a.w), len(b.w)) >= 0.85 * greatest(len(a.w), len(b.w)) - 1e-9) WHERE n / (total - n) >= 0.85 - 1e-9),
+e AS MATERIALIZED (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+c(id, root) USING KEY (id) AS (SELECT id, id AS root FROM t
+  UNION SELECT e.b, min(c.root) FROM c JOIN e ON c.id = e.a JOIN recurring.c AS o ON o.id = e.b WHERE c.root < o.root GROUP BY 1),
+l AS (SELECT a AS id, sum(t.n) AS n FROM e JOIN t ON t.id = e.b GROUP BY 1)
+SELECT r.doc_id, coalesce(c.root, r.doc_id) AS class_id, coalesce(t.n, 1) AS n_copies, CAST(coalesce(t.n - 1, 0) + coalesce(l.n, 0) AS BIGINT) AS n_links
+FROM r LEFT JOIN t ON t.w = r.w LEFT JOIN c ON c.id = t.id LEFT JOIN l ON l.id = t.id""")
+def title_similarity_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its title (first 200 characters), the documents that have
+    its words, and those with 0.85 of them."""
+    titles = table(spark, sf_dir, "documents").select("doc_id", text.word_set(F.left("text", F.lit(200))).alias("words"))
+    return similarity.similar_classes(titles, "doc_id", "words", 0.85)
+
+
 @query(f"""
 SELECT doc_id, n_hits, tier, least(CAST(trunc(tier * least(n_hits / 10.0, 1.0) * (CASE WHEN priority THEN 1.5 ELSE 1.0 END) * 100) AS INTEGER), 100) AS score
 FROM (SELECT doc_id, len({_hits(KEYWORDS)}) AS n_hits, CASE WHEN source < 'src2' THEN 3 WHEN source < 'src5' THEN 2 ELSE 1 END AS tier,

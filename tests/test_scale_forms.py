@@ -227,3 +227,24 @@ def test_a_cluster_needs_a_shared_folder():
     for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
         with pytest.raises(ValueError, match="checkpoint"):
             storage.shared_dir(_Session(spark_master=master), "x")
+
+
+def test_similar_classes_against_all_pairs(spark):
+    """Sets with copies (one of them a third of all rows), near copies, chains, and rows without tokens."""
+    rng = random.Random(11)
+    sets = [None, [], ["a", None, "a"], ["a"]] + [["hot", "w", "x", "y", "z"]] * 60
+    for _ in range(25):
+        base = [f"t{rng.randrange(40)}" for _ in range(rng.randrange(3, 12))]
+        for _ in range(4):
+            sets.append(base + [f"u{rng.randrange(300)}" for _ in range(rng.randrange(2))] + base[:1])
+    rng.shuffle(sets)
+    df = spark.createDataFrame([(i, s, "other") for i, s in enumerate(sets)], "id long, words array<string>, n_copies string").repartition(5)
+    plain = [frozenset(w for w in s or [] if w is not None) for s in sets]
+    alike = [[j for j, b in enumerate(plain) if i != j and a and len(a & b) >= 0.8 * len(a | b) - 1e-9] for i, a in enumerate(plain)]
+    first = list(range(len(sets)))
+    for _ in sets:
+        first = [min([first[i], *(first[j] for j in alike[i])]) for i in range(len(sets))]
+    found = {r.id: (r.class_id, r.n_copies, r.n_links) for r in similarity.similar_classes(df, "id", "words", 0.8).collect()}
+    assert found == {i: (first[i], 1 if not a else plain.count(a), len(alike[i])) for i, a in enumerate(plain)}
+    assert any(len(x) > 50 for x in alike) and len({v[0] for v in found.values()}) < len(set(plain))
+    assert similarity.similar_classes(df.where("id < 0"), "id", "words", 0.8).count() == 0
