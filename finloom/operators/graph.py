@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finloom.storage import discard, hand_over, materialise, spread
+from finloom.storage import discard, hand_over, materialise, spread, temporary
 
 
 def endpoints(edges: DataFrame) -> DataFrame:
@@ -90,21 +90,23 @@ def component_sizes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def hop_distances(edges: DataFrame, start: DataFrame, hops: int) -> DataFrame:
-    """id and distance of what ``start`` (id) reaches over undirected edges in at
+    """Written: id and distance of what ``start`` (id) reaches over undirected edges in at
     most ``hops`` steps.  Each step joins the frontier, not all nodes found."""
-    both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    found = frontier = materialise(start.select("id", F.lit(0).alias("distance")).distinct(), "hops-0")
-    for step in range(1, hops + 1):
-        if frontier.isEmpty():
-            break
-        reached = frontier.join(both, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct()
-        frontier = materialise(reached.join(found.select("id"), "id", "left_anti").withColumn("distance", F.lit(step)), f"hops-{step}")
-        found = found.unionByName(frontier)
-    return found
+    with temporary(edges.sparkSession) as kept:
+        both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+        found = frontier = materialise(start.select("id", F.lit(0).alias("distance")).distinct(), "hops-0")
+        for step in range(1, hops + 1):
+            if frontier.isEmpty():
+                break
+            reached = frontier.join(both, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct()
+            frontier = materialise(reached.join(found.select("id"), "id", "left_anti").withColumn("distance", F.lit(step)), f"hops-{step}")
+            found = found.unionByName(frontier)
+        kept.append(materialise(found, "hops"))
+    return kept[0]
 
 
 def pair_distances(edges: DataFrame, pairs: DataFrame, hops: int) -> DataFrame:
-    """a, b and distance (null beyond ``hops`` undirected steps) of every pair.
+    """Written: a, b and distance (null beyond ``hops`` undirected steps) of every pair.
 
     Searches run 64 at a time: a node has one row for 64 sources, whose bits say
     which of them have reached it.  A step ORs the new bits along edges and keeps
@@ -114,39 +116,41 @@ def pair_distances(edges: DataFrame, pairs: DataFrame, hops: int) -> DataFrame:
     are returned.  Of both ends the one with fewer different values is searched
     from.  Ends that no edge touches reach themselves alone; a null end nothing.
     """
-    pairs = materialise(pairs.select("a", "b").distinct(), "distances-pairs")
-    sizes = pairs.agg(F.countDistinct("a").alias("a"), F.countDistinct("b").alias("b")).first()
-    start, end = ("a", "b") if sizes["a"] <= sizes["b"] else ("b", "a")
-    known = pairs.where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    number = F.monotonically_increasing_id()
-    sources = materialise(known.select(start).distinct().select(start, number.alias("n")), "distances-sources")
-    placed = sources.select(F.col(start), F.shiftright("n", 6).alias("word"), F.expr("shiftleft(1L, CAST(n & 63 AS INT))").alias("bit"))
-    both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    both = materialise(both.where(F.col("src") != F.col("dst")), "distances-edges")
-    none = F.lit(0).cast("long")
-    asked = known.join(spread(placed), start).select(F.col(end).alias("id"), "word", none.alias("seen"), none.alias("reached"), F.col("bit").alias("asked"))
-    rows = asked.unionByName(placed.select(F.col(start).alias("id"), "word", none.alias("seen"), F.col("bit").alias("reached"), none.alias("asked")))
-    arrived, old = None, None
-    for step in range(hops + 1):
-        state = rows.groupBy("id", "word").agg(*(F.bit_or(c).alias(c) for c in ("seen", "reached", "asked")))
-        new = F.expr("reached & ~seen")
-        state = materialise(state.select("id", "word", F.expr("seen | reached").alias("seen"), new.alias("new"), "asked"), f"distances-{step}")
-        found = materialise(state.where("new & asked <> 0").select("id", "word", F.expr("new & asked").alias("bits"), F.lit(step).alias("distance")), f"distances-met{step}")
-        arrived = found if arrived is None else arrived.unionByName(found)
-        discard(*([old] if old is not None else []))
-        old = state
-        # Words that have all answers need no further steps.
-        open_ = state.where("asked & ~seen <> 0").select("word").distinct()
-        state = state.join(spread(open_), "word", "left_semi")
-        frontier = state.where("new <> 0").select("id", "word", "new")
-        if step == hops or frontier.isEmpty():
-            break
-        reached = both.join(spread(frontier), F.col("src") == F.col("id")).select(F.col("dst").alias("id"), "word", none.alias("seen"), F.col("new").alias("reached"), none.alias("asked"))
-        rows = state.select("id", "word", "seen", none.alias("reached"), "asked").unionByName(reached)
-    discard(old, both)
-    each = arrived.select("id", "word", "distance", F.explode(F.expr("filter(sequence(0, 63), i -> shiftright(bits, i) & 1 = 1)")).alias("i"))
-    met = each.join(sources.select(start, F.shiftright("n", 6).alias("word"), F.expr("CAST(n & 63 AS INT)").alias("i")), ["word", "i"])
-    return pairs.join(met.select(start, F.col("id").alias(end), "distance"), ["a", "b"], "left").select("a", "b", "distance")
+    with temporary(edges.sparkSession) as kept:
+        pairs = materialise(pairs.select("a", "b").distinct(), "distances-pairs")
+        sizes = pairs.agg(F.countDistinct("a").alias("a"), F.countDistinct("b").alias("b")).first()
+        start, end = ("a", "b") if sizes["a"] <= sizes["b"] else ("b", "a")
+        known = pairs.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+        number = F.monotonically_increasing_id()
+        sources = materialise(known.select(start).distinct().select(start, number.alias("n")), "distances-sources")
+        placed = sources.select(F.col(start), F.shiftright("n", 6).alias("word"), F.expr("shiftleft(1L, CAST(n & 63 AS INT))").alias("bit"))
+        both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+        both = materialise(both.where(F.col("src") != F.col("dst")), "distances-edges")
+        none = F.lit(0).cast("long")
+        asked = known.join(spread(placed), start).select(F.col(end).alias("id"), "word", none.alias("seen"), none.alias("reached"), F.col("bit").alias("asked"))
+        rows = asked.unionByName(placed.select(F.col(start).alias("id"), "word", none.alias("seen"), F.col("bit").alias("reached"), none.alias("asked")))
+        arrived, old = None, None
+        for step in range(hops + 1):
+            state = rows.groupBy("id", "word").agg(*(F.bit_or(c).alias(c) for c in ("seen", "reached", "asked")))
+            new = F.expr("reached & ~seen")
+            state = materialise(state.select("id", "word", F.expr("seen | reached").alias("seen"), new.alias("new"), "asked"), f"distances-{step}")
+            found = materialise(state.where("new & asked <> 0").select("id", "word", F.expr("new & asked").alias("bits"), F.lit(step).alias("distance")), f"distances-met{step}")
+            arrived = found if arrived is None else arrived.unionByName(found)
+            discard(*([old] if old is not None else []))
+            old = state
+            # Words that have all answers need no further steps.
+            open_ = state.where("asked & ~seen <> 0").select("word").distinct()
+            state = state.join(spread(open_), "word", "left_semi")
+            frontier = state.where("new <> 0").select("id", "word", "new")
+            if step == hops or frontier.isEmpty():
+                break
+            reached = both.join(spread(frontier), F.col("src") == F.col("id")).select(F.col("dst").alias("id"), "word", none.alias("seen"), F.col("new").alias("reached"), none.alias("asked"))
+            rows = state.select("id", "word", "seen", none.alias("reached"), "asked").unionByName(reached)
+        discard(old, both)
+        each = arrived.select("id", "word", "distance", F.explode(F.expr("filter(sequence(0, 63), i -> shiftright(bits, i) & 1 = 1)")).alias("i"))
+        met = each.join(sources.select(start, F.shiftright("n", 6).alias("word"), F.expr("CAST(n & 63 AS INT)").alias("i")), ["word", "i"])
+        kept.append(materialise(pairs.join(met.select(start, F.col("id").alias(end), "distance"), ["a", "b"], "left").select("a", "b", "distance"), "distances"))
+    return kept[0]
 
 
 def cyclic_components(edges: DataFrame) -> DataFrame:
@@ -227,38 +231,40 @@ def _reaching_their_colour(inside: DataFrame) -> DataFrame:
 
 
 def witness_cycles(edges: DataFrame, parts: DataFrame) -> DataFrame:
-    """component, position (from 0) and vertex: for every component of ``cyclic_components``
+    """Written: component, position (from 0) and vertex: for every component of ``cyclic_components``
     one cycle, a shortest of those through its smallest vertex, which it begins with.
 
     All components search at once, a step a level; of equally short ways the one by
     smaller vertices before.  A row a vertex, so a cycle may be of any length.
     """
-    of = lambda end: spread(parts).select(F.col("vertex").alias(end), F.col("component").alias(f"{end}_part"))
-    inside = edges.select("src", "dst").distinct().join(of("src"), "src").join(of("dst"), "dst").where(F.col("src_part") == F.col("dst_part"))
-    inside = materialise(inside.select("src", "dst", F.col("src_part").alias("component")), "witness-edges")
-    none = F.lit(None).cast(inside.schema["src"].dataType)
-    levels = [materialise(parts.select("component", F.col("component").alias("vertex"), none.alias("before")).distinct(), "witness-0")]
-    seen, open_, closed = levels[0].where(F.lit(False)).select("component", "vertex"), levels[0].select("component"), []
-    while not open_.isEmpty():
-        last = levels[-1].join(spread(open_), "component", "left_semi")
-        step = inside.join(last.select("component", F.col("vertex").alias("src")), ["component", "src"])
-        fresh = step.join(seen.withColumnRenamed("vertex", "dst"), ["component", "dst"], "left_anti").groupBy("component", F.col("dst").alias("vertex")).agg(F.min("src").alias("before"))
-        levels.append(materialise(fresh, f"witness-{len(levels)}"))
-        # The root is not among what was seen, so a way back to it shows.
-        seen = seen.unionByName(levels[-1].select("component", "vertex"))
-        closed.append(levels[-1].where(F.col("vertex") == F.col("component")).select("component", "before"))
-        open_ = materialise(open_.join(spread(closed[-1].select("component")), "component", "left_anti"), "witness-open")
-    out = levels[0].select("component", F.lit(0).alias("position"), "vertex")
-    back: DataFrame | None = None
-    for depth in range(len(levels) - 1, 0, -1):
-        here = closed[depth - 1].select("component", F.col("before").alias("vertex"))
-        back = here if back is None else back.unionByName(here)
-        if depth == 1:
-            break
-        back = materialise(back, f"witness-back{depth}")
-        out = out.unionByName(back.select("component", F.lit(depth - 1).alias("position"), "vertex"))
-        back = back.join(levels[depth - 1], ["component", "vertex"]).select("component", F.col("before").alias("vertex"))
-    return out
+    with temporary(edges.sparkSession) as kept:
+        of = lambda end: spread(parts).select(F.col("vertex").alias(end), F.col("component").alias(f"{end}_part"))
+        inside = edges.select("src", "dst").distinct().join(of("src"), "src").join(of("dst"), "dst").where(F.col("src_part") == F.col("dst_part"))
+        inside = materialise(inside.select("src", "dst", F.col("src_part").alias("component")), "witness-edges")
+        none = F.lit(None).cast(inside.schema["src"].dataType)
+        levels = [materialise(parts.select("component", F.col("component").alias("vertex"), none.alias("before")).distinct(), "witness-0")]
+        seen, open_, closed = levels[0].where(F.lit(False)).select("component", "vertex"), levels[0].select("component"), []
+        while not open_.isEmpty():
+            last = levels[-1].join(spread(open_), "component", "left_semi")
+            step = inside.join(last.select("component", F.col("vertex").alias("src")), ["component", "src"])
+            fresh = step.join(seen.withColumnRenamed("vertex", "dst"), ["component", "dst"], "left_anti").groupBy("component", F.col("dst").alias("vertex")).agg(F.min("src").alias("before"))
+            levels.append(materialise(fresh, f"witness-{len(levels)}"))
+            # The root is not among what was seen, so a way back to it shows.
+            seen = seen.unionByName(levels[-1].select("component", "vertex"))
+            closed.append(levels[-1].where(F.col("vertex") == F.col("component")).select("component", "before"))
+            open_ = materialise(open_.join(spread(closed[-1].select("component")), "component", "left_anti"), "witness-open")
+        out = levels[0].select("component", F.lit(0).alias("position"), "vertex")
+        back: DataFrame | None = None
+        for depth in range(len(levels) - 1, 0, -1):
+            here = closed[depth - 1].select("component", F.col("before").alias("vertex"))
+            back = here if back is None else back.unionByName(here)
+            if depth == 1:
+                break
+            back = materialise(back, f"witness-back{depth}")
+            out = out.unionByName(back.select("component", F.lit(depth - 1).alias("position"), "vertex"))
+            back = back.join(levels[depth - 1], ["component", "vertex"]).select("component", F.col("before").alias("vertex"))
+        kept.append(materialise(out, "witnesses"))
+    return kept[0]
 
 
 def short_cycles(edges: DataFrame) -> DataFrame:

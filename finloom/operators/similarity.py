@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from finloom.functions.text import jaccard, levenshtein_similarity
 from finloom.operators.graph import components
-from finloom.storage import discard, materialise, spread
+from finloom.storage import materialise, spread, temporary
 
 #: Query vectors that a task holds (32 MB at 64 dimensions), and vectors that
 #: stream over them.
@@ -69,20 +69,20 @@ def similar_classes(rows: DataFrame, key: str, tokens: str, threshold: float) ->
     words = F.array_sort(F.array_distinct(F.array_compact(F.coalesce(tokens, F.array().cast("array<string>")))))
     sets = rows.select(F.col(key).alias("_key"), words.alias("_words"))
     some = F.size("_words") > 0
-    classes = materialise(sets.where(some).groupBy("_words").agg(F.min("_key").alias("_holder"), F.count("*").alias("n_copies")), "similar-classes")
-    pairs = materialise(similar_sets(classes, "_holder", "_words", threshold).select("a", "b"), "similar-links")
-    joined = components(pairs)
-    copies = classes.select(F.col("_holder").alias("b"), "n_copies")
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    linked = both.join(spread(copies), "b").groupBy(F.col("a").alias("_linked_key")).agg(F.sum("n_copies").alias("_linked"))
-    verdicts = (
-        classes.join(linked, F.col("_holder") == F.col("_linked_key"), "left")
-        .join(joined, F.col("_holder") == F.col("vertex"), "left")
-        .select("_words", F.coalesce("root", "_holder").alias("class_id"), "n_copies", (F.col("n_copies") - 1 + F.coalesce("_linked", F.lit(0))).alias("n_links"))
-    )
-    verdicts = materialise(verdicts, "similar-verdicts")
-    discard(classes, pairs, joined)
-    found = sets.where(some).join(verdicts, "_words").select(F.col("_key").alias(key), "class_id", "n_copies", "n_links")
+    with temporary(rows.sparkSession) as kept:
+        classes = materialise(sets.where(some).groupBy("_words").agg(F.min("_key").alias("_holder"), F.count("*").alias("n_copies")), "similar-classes")
+        pairs = materialise(similar_sets(classes, "_holder", "_words", threshold).select("a", "b"), "similar-links")
+        joined = components(pairs)
+        copies = classes.select(F.col("_holder").alias("b"), "n_copies")
+        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        linked = both.join(spread(copies), "b").groupBy(F.col("a").alias("_linked_key")).agg(F.sum("n_copies").alias("_linked"))
+        verdicts = (
+            classes.join(linked, F.col("_holder") == F.col("_linked_key"), "left")
+            .join(joined, F.col("_holder") == F.col("vertex"), "left")
+            .select("_words", F.coalesce("root", "_holder").alias("class_id"), "n_copies", (F.col("n_copies") - 1 + F.coalesce("_linked", F.lit(0))).alias("n_links"))
+        )
+        kept.append(materialise(verdicts, "similar-verdicts"))
+    found = sets.where(some).join(kept[0], "_words").select(F.col("_key").alias(key), "class_id", "n_copies", "n_links")
     alone = sets.where(~some).select(F.col("_key").alias(key), F.col("_key").alias("class_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"))
     return found.unionByName(alone)
 

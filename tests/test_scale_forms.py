@@ -248,3 +248,23 @@ def test_similar_classes_against_all_pairs(spark):
     assert found == {i: (first[i], 1 if not a else plain.count(a), len(alike[i])) for i, a in enumerate(plain)}
     assert any(len(x) > 50 for x in alike) and len({v[0] for v in found.values()}) < len(set(plain))
     assert similarity.similar_classes(df.where("id < 0"), "id", "words", 0.8).count() == 0
+
+
+def test_searches_leave_their_result_alone(spark, tmp_path, monkeypatch):
+    """Steps of a search are deleted when it returns; its result and what it reads stay."""
+    storage.release(spark)
+    monkeypatch.setattr(storage, "shared_dir", lambda spark, label: f"file://{tmp_path}/{label}-{uuid.uuid4().hex}")
+    ring = [(i, (i + 1) % 6) for i in range(6)] + [(6, 0), (6, 6)]
+    edges = storage.materialise(spark.createDataFrame(ring, "src long, dst long"), "edges")
+    start = spark.createDataFrame([(0,)], "id long")
+    hops = graph.hop_distances(edges, start, 5)
+    assert {r.id: r.distance for r in hops.collect()} == {0: 0, 1: 1, 5: 1, 6: 1, 2: 2, 4: 2, 3: 3}
+    pairs = graph.pair_distances(edges, spark.createDataFrame([(1, 4), (3, 6), (None, 2)], "a long, b long"), 3)
+    assert {(r.a, r.b): r.distance for r in pairs.collect()} == {(1, 4): 3, (3, 6): None, (None, 2): None}
+    parts = graph.cyclic_components(edges)
+    ways = graph.witness_cycles(edges, parts)
+    assert sorted(map(tuple, ways.collect())) == [(0, i, i) for i in range(6)] + [(6, 0, 6)]
+    assert similarity.similar_classes(spark.createDataFrame([(1, ["a"]), (2, ["a"])], "id long, w array<string>"), "id", "w", 0.9).count() == 2
+    left = sorted(p.name.rpartition("-")[0] for p in tmp_path.iterdir())
+    assert left == ["distances", "edges", "hops", "parts", "similar-verdicts", "witnesses"]
+    storage.release(spark)
