@@ -164,3 +164,15 @@ def test_creator(spark):
     assert labels(g) == {"Content": 2, "Topic": 1, "Entity": 2}
     assert edges(g, "RELATES_TO") == {(u5("entity:A:person"), u5("entity:C:company"))}
     assert len(edges(g, "MENTIONS")) == 2
+
+
+def test_creator_contents_of_close_digests(spark):
+    """Two texts whose SHA-256 begin with the same eight digits."""
+    schema = (
+        "genre_id string, contents array<struct<kind:string,content:string,topic:string,about_entities:array<struct<name:string,entity_type:string>>>>, "
+        "entity_relations array<struct<from_entity:string,to_entity:string>>"
+    )
+    contents = [("tip", f"tip {n}", "x", []) for n in (67268, 108999)]
+    g = mappers.map_creator(spark.createDataFrame([("g", contents, [])], schema), ("person",))
+    assert g.nodes.where("label = 'Content'").select("id").distinct().count() == 2
+    assert len(edges(g, "ABOUT")) == 2
