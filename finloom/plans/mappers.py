@@ -412,7 +412,7 @@ def map_creator_concepts(documents: DataFrame, entity_types: tuple[str, ...], la
     for name, value in layers.items():
         layer = F.when(F.col("category") == name, value).otherwise(layer)
     x = d.select(key, "genre_id", F.inline("contents")).withColumn("content", F.trim("content")).where(given(F.col("content")))
-    x = x.withColumn("own", ids.content_id(F.concat_ws(":", F.lower("kind"), "content"), length=8))
+    x = x.withColumn("own", ids.content_id(F.concat_ws(":", F.lower("kind"), "content")))
     # A name that an entity list repeats stands for its last type in order.
     by_name = e.groupBy(key, F.col("name").alias("e_name")).agg(F.max_by("entity", "entity_type").alias("entity"))
     concepts = c.select(key, F.col("name").alias("c_name"), "concept").distinct()

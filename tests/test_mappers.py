@@ -176,3 +176,16 @@ def test_creator_contents_of_close_digests(spark):
     g = mappers.map_creator(spark.createDataFrame([("g", contents, [])], schema), ("person",))
     assert g.nodes.where("label = 'Content'").select("id").distinct().count() == 2
     assert len(edges(g, "ABOUT")) == 2
+
+
+def test_creator_concepts_contents_of_close_digests(spark):
+    """Two facts whose SHA-256 begin with the same eight digits."""
+    schema = (
+        "doc int, genre_id string, sources array<struct<url:string,title:string>>, entities array<struct<name:string,entity_type:string>>, concepts array<struct<name:string,category:string>>, "
+        "contents array<struct<kind:string,content:string,source_url:string,about_concepts:array<string>,about_entities:array<string>>>, serves_as array<struct<entity_name:string,concept_name:string>>, "
+        "concept_relations array<struct<from_concept:string,to_concept:string,rel_type:string>>"
+    )
+    contents = [("Fact", f"fact {n}", "", ["C"], []) for n in (21647, 31652)]
+    g = mappers.map_creator_concepts(spark.createDataFrame([(1, "g", [], [], [("C", "")], contents, [], [])], schema), (), {})
+    assert g.nodes.where("label = 'Content'").select("id").distinct().count() == 2
+    assert len(edges(g, "ABOUT")) == 2
