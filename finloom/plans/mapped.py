@@ -22,9 +22,9 @@ def _text(*parts: str | Column) -> Column:
 
 def named(found: mappers.Graph) -> DataFrame:
     """Nodes and edges by their names."""
-    names = found.nodes.groupBy("id").agg(F.min("name").alias("name"))
+    names = found.node_rows.groupBy("id").agg(F.min("name").alias("name"))
     src, dst = (names.select(F.col("id").alias(end), F.col("name").alias(f"{end}_name")) for end in ("src", "dst"))
-    nodes = found.nodes.select(F.lit("node").alias("kind"), "label", "name").distinct().select("kind", F.lit(None).cast("string").alias("a"), F.col("label").alias("type"), F.col("name").alias("b"))
+    nodes = found.node_rows.select(F.lit("node").alias("kind"), "label", "name").distinct().select("kind", F.lit(None).cast("string").alias("a"), F.col("label").alias("type"), F.col("name").alias("b"))
     edges = found.edges.join(src, "src").join(dst, "dst")
     return nodes.unionByName(edges.select(F.lit("edge").alias("kind"), F.col("src_name").alias("a"), "type", F.col("dst_name").alias("b")))
 

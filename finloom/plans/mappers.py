@@ -40,22 +40,33 @@ AUTHORITIES = ("official", "analyst", "media", "blog", "social", "academic")
 
 @dataclass
 class Graph:
-    nodes: DataFrame
-    edges: DataFrame
+    """Nodes and edges, and the rows that they are the distinct ones of: what
+    aggregates rows anyway needn't shuffle them for that before."""
+
+    node_rows: DataFrame
+    edge_rows: DataFrame
+
+    @property
+    def nodes(self) -> DataFrame:
+        return self.node_rows.distinct()
+
+    @property
+    def edges(self) -> DataFrame:
+        return self.edge_rows.distinct()
 
     def __add__(self, other: Graph) -> Graph:
-        return Graph(self.nodes.unionByName(other.nodes).distinct(), self.edges.unionByName(other.edges).distinct())
+        return Graph(self.node_rows.unionByName(other.node_rows), self.edge_rows.unionByName(other.edge_rows))
 
 
 def _nodes(df: DataFrame, label: str, id_: Column, name: Column, **props: Column) -> DataFrame:
     pairs = [x for k, v in props.items() for x in (F.lit(k), v.cast("string"))]
     given = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()) if pairs else F.create_map().cast("map<string,string>")
-    return df.select(id_.alias("id"), F.lit(label).alias("label"), name.alias("name"), F.to_json(given).alias("props")).where(F.col("id").isNotNull()).distinct()
+    return df.select(id_.alias("id"), F.lit(label).alias("label"), name.alias("name"), F.to_json(given).alias("props")).where(F.col("id").isNotNull())
 
 
 def _edges(df: DataFrame, src: Column, dst: Column, kind: str) -> DataFrame:
     found = df.select(src.alias("src"), dst.alias("dst"), F.lit(kind).alias("type"))
-    return found.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct()
+    return found.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
 
 
 def union(frames: list[DataFrame]) -> DataFrame:
@@ -198,7 +209,7 @@ def map_extraction(documents: DataFrame) -> Graph:
         facts.select("source_hash", F.lit("fact").alias("kind"), F.col("x.content").alias("content"), fact.alias("id")),
         claims.select("source_hash", F.lit("claim").alias("kind"), F.col("x.content").alias("content"), claim.alias("id")),
         points.select("source_hash", F.lit("datapoint").alias("kind"), F.col("x.metric_name").alias("content"), point.alias("id")),
-    ]).distinct()
+    ])
     keyed = contents.select(F.concat_ws("|", "source_hash", "kind", "content").alias("key"), "id").distinct()
     causal = found("causal_links").select(
         F.concat_ws("|", "source_hash", "x.from_type", "x.from_content").alias("from_key"), F.concat_ws("|", "source_hash", "x.to_type", "x.to_content").alias("to_key")
@@ -236,9 +247,9 @@ def map_extraction(documents: DataFrame) -> Graph:
         _edges(questions, source, question, "RAISES_QUESTION"),
         about(questions, question, "ASKS_ABOUT"),
         _edges(motivated, F.col("own"), F.col("id"), "MOTIVATED_BY"),
-        similarity.resolve_endpoints(causal, keyed).distinct().withColumn("type", F.lit("CAUSES")),
+        similarity.resolve_endpoints(causal, keyed).withColumn("type", F.lit("CAUSES")),
     ]
-    return Graph(union(nodes).distinct(), union(edges).distinct())
+    return Graph(union(nodes), union(edges))
 
 
 def stance_chain(stances: DataFrame) -> DataFrame:
@@ -380,7 +391,7 @@ def map_creator(documents: DataFrame, entity_types: tuple[str, ...]) -> Graph:
         union([
             _edges(c, own, topic, "ABOUT"),
             _edges(e, F.col("own"), entity, "MENTIONS"),
-            similarity.resolve_endpoints(links, known).distinct().withColumn("type", F.lit("RELATES_TO")),
+            similarity.resolve_endpoints(links, known).withColumn("type", F.lit("RELATES_TO")),
         ]),
     )
 
@@ -423,7 +434,7 @@ def map_creator_concepts(documents: DataFrame, entity_types: tuple[str, ...], la
     ends = lambda end: concepts.select(key, F.col("c_name").alias(f"{end}_concept"), F.col("concept").alias(f"{end}_id"))
     r = d.select(key, F.inline("concept_relations")).where(F.col("rel_type").isin(*CONCEPT_RELATIONS))
     r = r.join(ends("from"), [key, "from_concept"]).join(ends("to"), [key, "to_concept"])
-    typed = r.select(F.col("from_id").alias("src"), F.col("to_id").alias("dst"), F.col("rel_type").alias("type")).distinct()
+    typed = r.select(F.col("from_id").alias("src"), F.col("to_id").alias("dst"), F.col("rel_type").alias("type"))
     return Graph(
         union([
             _nodes(s, "Source", source, F.col("title"), url=F.col("url")),

@@ -189,3 +189,9 @@ def test_creator_concepts_contents_of_close_digests(spark):
     g = mappers.map_creator_concepts(spark.createDataFrame([(1, "g", [], [], [("C", "")], contents, [], [])], schema), (), {})
     assert g.nodes.where("label = 'Content'").select("id").distinct().count() == 2
     assert len(edges(g, "ABOUT")) == 2
+
+
+def test_edges_are_told_apart_once(spark):
+    """Not in each kind of edge and again over all: every time is a shuffle of all edges."""
+    plan = mappers.map_extraction(spark.createDataFrame([], EXTRACTION)).edges._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.lstrip(" :+-").startswith("Aggregate [src#") for line in plan.splitlines()) <= 1
