@@ -13,6 +13,8 @@ from finloom.storage import materialise, spread
 
 #: Bins that intervals are cut into at most.
 BINS = 1000
+#: Bits of time that a level of ``counts_in_intervals`` takes away.
+LEVEL_BITS = 3
 
 
 def _bin_of(bounds: np.ndarray):
@@ -59,6 +61,47 @@ def interval_join(left: DataFrame, right: DataFrame, start: str, end: str, by: S
     return x.join(y, meet & overlap).select(*(f"l_{c}" for c in left.columns), *(f"r_{c}" for c in right.columns))
 
 
+def counts_in_intervals(intervals: DataFrame, points: DataFrame, start: str, end: str, at: str, item: str) -> DataFrame:
+    """Every interval [start, end) that holds a point: its columns, the number of its
+    points (n_points), their smallest ``item`` (first_item) and their largest
+    time (last_at), without a pair of an interval and a point.
+
+    start, end and at are numbers (or cast to bigint as such).  Time is cut into
+    blocks of 1, 8, 64, ... units; points are summed up by block at each level,
+    and an interval is the sum of the largest blocks that lie in it, 14 a level at
+    most.  So rows grow with points and intervals, times the levels that the
+    longest interval needs, however many points an interval holds.  Equal
+    intervals are summed up once.  Rows with a null bound or time, or an empty
+    interval, are left out.
+    """
+    bounds = [F.col(start).cast("bigint").alias("_a"), F.col(end).cast("bigint").alias("_b")]
+    spans = intervals.select(*bounds).where("_a < _b").distinct()
+    longest = spans.agg(F.max(F.col("_b") - F.col("_a"))).first()[0] or 1
+    # No block is longer than the longest interval.
+    top = (int(longest).bit_length() - 1) // LEVEL_BITS
+
+    known = points.select(F.col(at).cast("bigint").alias("_at"), F.col(item).alias("_item")).where("_at IS NOT NULL")
+    moments = known.groupBy("_at").agg(F.count("*").alias("n"), F.min("_item").alias("low"))
+    of_time = F.array(*[F.struct(F.lit(i).alias("level"), F.shiftright("_at", LEVEL_BITS * i).alias("place")) for i in range(top + 1)])
+    blocks = moments.select("n", "low", "_at", F.inline(of_time)).groupBy("level", "place").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("_at").alias("last"))
+
+    # At each level what sticks out on both sides of whole blocks of the next one; [lo, hi) is in units of the level.
+    cover = []
+    a, b = F.col("_a"), F.col("_b")
+    places = lambda x, y: F.when(x < y, F.sequence(x, y - 1)).otherwise(F.array().cast("array<bigint>"))
+    for i in range(top + 1):
+        # Whole blocks of this level and of the next: rounded up at the start, down at the end.
+        lo, hi = (-F.shiftright(-a, LEVEL_BITS * i)), F.shiftright(b, LEVEL_BITS * i)
+        next_lo, next_hi = -F.shiftright(-a, LEVEL_BITS * (i + 1)), F.shiftright(b, LEVEL_BITS * (i + 1))
+        inner = (next_lo < next_hi) if i < top else F.lit(False)
+        sides = F.concat(places(lo, next_lo * 2**LEVEL_BITS), places(next_hi * 2**LEVEL_BITS, hi))
+        found = F.when(inner, sides).otherwise(places(lo, hi))
+        cover.append(F.struct(F.lit(i).alias("level"), found.alias("places")))
+    parts = spans.select("_a", "_b", F.inline(F.array(*cover))).select("_a", "_b", "level", F.explode("places").alias("place"))
+    met = parts.join(blocks, ["level", "place"]).groupBy("_a", "_b").agg(F.sum("n").alias("n_points"), F.min("low").alias("first_item"), F.max("last").alias("last_at"))
+    return intervals.join(spread(met), (bounds[0] == F.col("_a")) & (bounds[1] == F.col("_b"))).drop("_a", "_b")
+
+
 def as_of_join(left: DataFrame, right: DataFrame, at: str, by: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Every left row with the last right row of its key at or before its time: left
     columns as they are, right ones (but ``by``) as r_..., null without one.

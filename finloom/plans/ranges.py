@@ -24,9 +24,9 @@ def events_in_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.lit(_FIRST) + day % 30 * _DAY + F.col("o_orderkey") % 24 * 3_600_000
     periods = table(spark, sf_dir, "orders").select("o_orderkey", start.alias("a"), (start + 1_200_000 + F.col("o_orderkey") % 7 * 600_000).alias("b"))
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    points = table(spark, sf_dir, "events").select("event_id", ms.alias("a"), (ms + 1).alias("b"))
-    found = ranges.interval_join(periods, points, "a", "b")
-    return found.groupBy(F.col("l_o_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n_events"), F.min("r_event_id").alias("first_event"), F.max("r_a").alias("last_ms"))
+    points = table(spark, sf_dir, "events").select("event_id", ms.alias("at"))
+    found = ranges.counts_in_intervals(periods, points, "a", "b", "at", "event_id")
+    return found.groupBy("o_orderkey").agg(F.sum("n_points").alias("n_events"), F.min("first_item").alias("first_event"), F.max("last_at").alias("last_ms"))
 
 
 @query("""

@@ -34,6 +34,21 @@ def test_no_intervals(spark):
     assert ranges.interval_join(spark.createDataFrame([(1, 2)], "s long, e long"), none, "s", "e").count() == 0
 
 
+def test_counts_in_intervals(spark):
+    """Against every pair; a thousand points in one place make no pairs."""
+    rng = random.Random(4)
+    left = [*_intervals(5, 80, 300), *[(500 + i, "x", a, a + n) for i, (a, n) in enumerate([(-700, 1400), (0, 64), (-8, 16), (63, 2), (-1, 1), (5, 513)])]]
+    right = [(i, rng.randrange(-600, 600)) for i in range(150)] + [(200 + i, 7) for i in range(1000)] + [(5000, None)]
+    found = ranges.counts_in_intervals(spark.createDataFrame(left, "id int, k string, s long, e long"), spark.createDataFrame(right, "item int, t long"), "s", "e", "t", "item")
+    expected = set()
+    for i, k, a, b in left:
+        held = [(item, t) for item, t in right if None not in (a, b, t) and a <= t < b]
+        if held:
+            expected.add((i, k, a, b, len(held), min(x for x, _ in held), max(t for _, t in held)))
+    rows = [tuple(r) for r in found.collect()]
+    assert len(rows) == len(expected) and set(rows) == expected
+
+
 @pytest.mark.parametrize("by", [("k",), ("k", "j"), ()])
 def test_as_of(spark, by):
     """A key in half of all rows over many ranges, ties, nulls in keys and times, keys without right rows."""
