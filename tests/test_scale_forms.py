@@ -268,3 +268,19 @@ def test_searches_leave_their_result_alone(spark, tmp_path, monkeypatch):
     left = sorted(p.name.rpartition("-")[0] for p in tmp_path.iterdir())
     assert left == ["distances", "edges", "hops", "parts", "similar-verdicts", "witnesses"]
     storage.release(spark)
+
+
+def test_searches_make_their_edges_once(spark):
+    """Not for each step, nor for each direction."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(10)], "src long, dst long")
+    seen = graph.hop_distances(edges.mapInArrow(counted, edges.schema), spark.createDataFrame([(0,)], "id long"), 4)
+    assert {(r.id, r.distance) for r in seen.collect()} == {(i, i) for i in range(5)} and read.value == 10
+    found = graph.pair_distances(edges.mapInArrow(counted, edges.schema), spark.createDataFrame([(0, 3), (9, 7)], "a long, b long"), 4)
+    assert {(r.a, r.b, r.distance) for r in found.collect()} == {(0, 3, 3), (9, 7, 2)} and read.value == 20
