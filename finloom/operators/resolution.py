@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finloom.operators.similarity import best_matches, fuzzy_pairs
-from finloom.storage import materialise
+from finloom.storage import materialise, spread
 
 
 def _best(found: DataFrame, layer: str) -> DataFrame:
@@ -36,21 +36,26 @@ def resolve_by_text(names: DataFrame, master: DataFrame, aliases: DataFrame, thr
     """
     rest = materialise(names.select(F.col("name").cast("string").alias("name"), F.col("type").cast("string").alias("type")).distinct(), "resolution-names")
     known = master.where("name <> ''").select(F.col("id").cast("string").alias("id"), F.col("name").alias("match"), F.col("type").alias("m_type"))
-    called = aliases.where("alias <> ''").select("alias", F.col("id").cast("string").alias("id")).distinct().join(known, "id")
+    # Of a name's ids the smallest wins, of an alias's names the smallest and its id: a
+    # name that many masters have joins one row of them.
+    id_of = materialise(spread(known).groupBy("match", "m_type").agg(F.min("id").alias("id")), "resolution-known")
+    named = materialise(id_of.groupBy("match").agg(F.min("id").alias("id")), "resolution-titles")
+    called = aliases.where("alias <> ''").select("alias", F.col("id").cast("string").alias("id")).join(known, "id")
+    called = materialise(spread(called).groupBy("alias").agg(F.min(F.struct("match", "id")).alias("k")).select("alias", "k.*"), "resolution-aliases")
     one, none = F.lit(1.0).alias("similarity"), F.lit(None).cast("string").alias("matched_alias")
     own = ("name", "type", "id", "match")
 
     def layers():
         nonlocal rest
-        typed = rest.join(known, (F.col("name") == F.col("match")) & F.coalesce(F.col("type") == F.col("m_type"), F.col("type").isNull()))
+        typed = rest.join(id_of, (F.col("name") == F.col("match")) & F.coalesce(F.col("type") == F.col("m_type"), F.col("type").isNull()))
         yield _best(typed.select(*own, none, one), "exact")
-        yield _best(rest.join(known, F.col("name") == F.col("match")).select(*own, none, one), "exact_name")
+        yield _best(rest.join(named, F.col("name") == F.col("match")).select(*own, none, one), "exact_name")
         left = rest.where("name <> ''").select("name").distinct()
-        pairs = fuzzy_pairs(left, called.select(F.col("alias").alias("match")).distinct(), threshold).withColumnRenamed("match", "alias")
+        pairs = fuzzy_pairs(left, called.select(F.col("alias").alias("match")), threshold).withColumnRenamed("match", "alias")
         yield _best(rest.join(pairs, "name").join(called, "alias").select(*own, F.col("alias").alias("matched_alias"), F.col("likeness").alias("similarity")), "alias_fuzzy")
         left = rest.where("name <> ''").select("name").distinct()
-        pairs = fuzzy_pairs(left, known.select("match").distinct(), threshold)
-        yield _best(rest.join(pairs, "name").join(known, "match").select(*own, none, F.col("likeness").alias("similarity")), "name_fuzzy")
+        pairs = fuzzy_pairs(left, named.select("match"), threshold)
+        yield _best(rest.join(pairs, "name").join(named, "match").select(*own, none, F.col("likeness").alias("similarity")), "name_fuzzy")
 
     found = None
     for layer in layers():

@@ -61,6 +61,22 @@ def test_layers(spark, seed, t):
     assert len({r.layer for r in found}) >= 4
 
 
+def test_common_names_join_one_row(spark, monkeypatch):
+    """Masters and aliases of one name make no row each for whoever asks for it."""
+    rows, best = [], resolution._best
+    monkeypatch.setattr(resolution, "_best", lambda found, layer: (rows.append(found.count()), best(found, layer))[1])
+    master = spark.range(400).select("id", F.lit("common name").alias("name"), (F.col("id") % 4).cast("string").alias("type"))
+    aliases = spark.range(400).select(F.lit("an alias of all").alias("alias"), "id")
+    asked = [("common name", "3"), ("common name", None), ("common name", "none"), ("an alias of al", None), ("common names", "x")]
+    found = resolution.resolve_by_text(spark.createDataFrame(asked, "name string, type string"), master, aliases)
+    got = {(r.name, r.type): (r.id, r.match, r.matched_alias, r.layer) for r in found.collect()}
+    assert got == {
+        asked[0]: ("103", "common name", None, "exact"), asked[1]: ("0", "common name", None, "exact"), asked[2]: ("0", "common name", None, "exact_name"),
+        asked[3]: ("0", "common name", "an alias of all", "alias_fuzzy"), asked[4]: ("0", "common name", None, "name_fuzzy"),
+    }
+    assert sum(rows) <= 4 * len(asked)
+
+
 def test_chain(spark):
     names = spark.createDataFrame([("known", "p"), ("by vector", "p"), ("far", "p"), ("no vector", None), ("by vector", None)], "name string, type string")
     master = spark.createDataFrame([(1, "known", "p"), (2, "other thing", "q"), (3, "third thing", "q")], "id int, name string, type string")
