@@ -149,7 +149,7 @@ def order_table_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         "<tr>", F.when(F.col("place") == 1, _html("<th rowspan='", F.col("n"), "'>", F.col("l_orderkey"), "</th>")).otherwise(""), "<td>", F.col("l_linenumber"),
         F.when(returned, "<td colspan=2>").otherwise("<td>"), " ", F.col("l_quantity").cast("int"), "\n&amp; <b>", F.col("l_returnflag"), "</b>", F.when(returned, "").otherwise(_html("<td>", F.col("l_linestatus"))),
     )
-    rows = F.array_sort(F.collect_list(F.struct("l_orderkey", "place", row.alias("h"))))
+    rows = F.sort_array(F.collect_list(F.struct("l_orderkey", "place", row.alias("h"))))
     head = "<p>text<table><thead><tr><th rowspan=2>order<th colspan=2>line<th rowspan=0>status<tr><th>number<th>amount</thead><tbody>"
     pages = both.groupBy("o_custkey").agg(_html(head, F.array_join(F.transform(rows, lambda r: r["h"]), "\n"), "</table>").alias("html"))
     cells = markup.page_tables(pages, "o_custkey", "html")

@@ -234,3 +234,13 @@ def test_converted_cells(spark):
 @pytest.mark.parametrize("text", ["a < b & c", "<b>"])
 def test_entities(text):
     assert table_cells(f"<table><tr><td>{escape(text)}</table>")[0][3] == text
+
+
+def test_cells_left_open_and_tags_asked_for(spark):
+    """A cell that a group keeps open ends with the next cell; tags not asked for are not told but still end others."""
+    html = "<table><td>a<tfoot><tr><td>b<i>c</i><td>d &amp; e"
+    assert [(c[1], c[2], c[3]) for c in table_cells(html)] == [(0, 0, "a"), (1, 0, "bc"), (1, 1, "d & e")]
+    assert page_tables(spark.createDataFrame([(1, html)], "id int, html string"), "id", "html").count() == 3
+    told = frozenset(("td", "p"))
+    for page in (html, "<p>x<div>y<p title='a long attribute of over thirty-two characters'>z</div></p>", "<script><p></script><p>"):
+        assert list(events(page, told)) == [e for e in events(page) if e[0] == TEXT or e[1] in told]
