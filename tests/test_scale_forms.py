@@ -183,6 +183,30 @@ def test_shared_members_of_a_common_group(spark, common):
         assert {tuple(r) for r in found.select("a", "b", "n_shared", "first_group").collect()} == expected
 
 
+def test_pairs_of_groups_are_dealt_over_tasks(spark, monkeypatch):
+    """However many pairs there are, also of one group, a task makes a bounded number."""
+    monkeypatch.setattr(graph, "TASK_PAIRS", 500)
+    most, meeting = [], graph._meeting
+
+    def spy(*args):
+        met = meeting(*args)
+        most.append(max(r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()))
+        return met
+
+    monkeypatch.setattr(graph, "_meeting", spy)
+    rows = [(i, 0) for i in range(150)] + [(i, g) for g in range(1, 90) for i in range(g, g + 15)]
+    groups = defaultdict(set)
+    for i, g in rows:
+        groups[i].add(g)
+    df = spark.createDataFrame(rows, "item int, group int")
+    for least, limit in ((1, None), (3, None), (2, 20)):
+        own = {i: g - {0} if limit else g for i, g in groups.items()}
+        both = {(a, b): own[a] & own[b] for a in own for b in own if a < b}
+        found = {tuple(r) for r in graph.shared_members(df, least, limit).select("a", "b", "n_shared", "first_group").collect()}
+        assert found == {(a, b, len(g), min(g)) for (a, b), g in both.items() if len(g) >= least}
+    assert len(most) == 3 and max(most) <= 6 * 500
+
+
 def test_known_duplicates_of_a_common_title(spark):
     """A title of very many known items: the first of them is the answer."""
     known = spark.range(2000).select((1999 - F.col("id")).alias("pos"), F.col("id"), F.concat(F.lit("https://a.com/"), F.col("id")).alias("url"), F.lit("Markets rise on rates").alias("title"))
