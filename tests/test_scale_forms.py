@@ -253,6 +253,26 @@ def test_a_cluster_needs_a_shared_folder():
             storage.shared_dir(_Session(spark_master=master), "x")
 
 
+def test_sets_apart_are_not_fetched(spark, monkeypatch):
+    """Sets that share their rarest tokens but little else make no candidates, similar ones do."""
+    compared, own = [], similarity.jaccard
+    monkeypatch.setattr(similarity, "jaccard", lambda a, b: F.when(F.raise_error(F.lit("compared")).isNull(), 0.0) if compared else own(a, b))
+    rng = random.Random(8)
+    common = [f"w{i}" for i in range(60)]
+    # Two tokens that few sets hold, and others of sixty that very many hold.
+    sets = [(i, sorted({"rare", "seldom", *rng.sample(common, 18)})) for i in range(120)]
+    near = [(1000, sets[0][1][1:]), (1001, sets[1][1] + ["other"])]
+    many = [(2000 + i, sorted({f"own{i}-{k}" for k in range(30)} | set(common))) for i in range(150)]
+    schema = "id long, words array<string>"
+    pairs = {(r.a, r.b) for r in similarity.similar_sets(spark.createDataFrame(sets + near + many, schema), "id", "words", 0.8).collect()}
+    size = dict((i, set(w)) for i, w in sets + near + many)
+    assert pairs == {(a, b) for a in size for b in size if a < b and len(size[a] & size[b]) / len(size[a] | size[b]) >= 0.8 - 1e-9}
+    assert {(0, 1000), (1, 1001)} <= pairs
+    compared.append(True)
+    far = [(i, w) for i, w in sets if all(len(set(w) & set(v)) < 15 for j, v in sets if j < i)]
+    assert len(far) > 20 and similarity.similar_sets(spark.createDataFrame(far + many, schema), "id", "words", 0.8).count() == 0
+
+
 def test_similar_classes_against_all_pairs(spark):
     """Sets with copies (one of them a third of all rows), near copies, chains, and rows without tokens."""
     rng = random.Random(11)
