@@ -6,6 +6,7 @@ import datetime
 import random
 from collections import defaultdict
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +109,30 @@ def test_join_in_time(spark, tmp_path):
     alone = {(x[0], x[1], None) for x in a if x[1] + 7_200_000 < mark} - {(k, at, None) for k, at, _ in pairs}
     rows = [tuple(r) for r in found.collect()]
     assert len(rows) == len(set(rows)) and set(rows) == pairs | alone and pairs and alone
+
+
+def test_calls_of_a_key():
+    """A batch of a key is one value of state, and isn't read again while nothing is due."""
+    calls = []
+
+    class Values(list):
+        exists = lambda self: bool(self)
+        get = lambda self: (calls.append("get"), iter(list(self)))[1]
+        appendList = lambda self, new: (calls.append(("append", len(new))), self.extend(new))
+
+    class Handle:
+        timers: list[int] = []
+        getListState = getValueState = lambda self, *_: Values()
+        listTimers = lambda self: list(self.timers)
+        registerTimer = lambda self, at: self.timers.append(at)
+        deleteTimer = lambda self, at: self.timers.remove(at)
+
+    class Mark:
+        getCurrentWatermarkInMs = lambda self: 0
+
+    quota, handle = timers._DailyQuota("k", 10.0), Handle()
+    quota.init(handle)
+    for first in (500, 100, 900):
+        part = pd.DataFrame({"ms": range(first, first + 300), "x": 1.0})
+        assert list(quota.handleInputRows(("k",), iter([part]), Mark())) == []
+    assert calls == [("append", 1)] * 3 and handle.timers == [100]
