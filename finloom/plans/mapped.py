@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from finloom.plans import mappers
 from finloom.plans.catalog import query
 from finloom.session import table
+from finloom.storage import discard, materialise
 
 SITE = "https://news.example.com"
 
@@ -20,15 +21,65 @@ def _text(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
+#: A table of doubtful names of no more bytes than this is broadcast; edges are
+#: joined with a larger one by a shuffle.
+BROADCAST_BYTES = 20_000_000
+#: Chunks in a part of the extraction mapper's documents; a task holds their lookups.
+CHUNKS = 100_000
+
+
 def named(found: mappers.Graph) -> DataFrame:
     """Nodes and edges by their names."""
-    names = found.node_rows.groupBy("id").agg(F.min("name").alias("name"))
-    src, dst = (names.select(F.col("id").alias(end), F.col("name").alias(f"{end}_name")) for end in ("src", "dst"))
     nodes = found.node_rows.select(F.lit("node").alias("kind"), "label", "name").distinct().select("kind", F.lit(None).cast("string").alias("a"), F.col("label").alias("type"), F.col("name").alias("b"))
-    edges = found.edges.join(src, "src").join(dst, "dst")
+    edges = _named_at_rows(found) if "known" in found.edge_rows.columns else _named_by_joins(found)
     return nodes.unionByName(edges.select(F.lit("edge").alias("kind"), F.col("src_name").alias("a"), "type", F.col("dst_name").alias("b")))
 
 
+def _names(nodes: DataFrame) -> DataFrame:
+    return nodes.groupBy("id").agg(F.min("name").alias("name"))
+
+
+def _named_by_joins(found: mappers.Graph) -> DataFrame:
+    names = _names(found.node_rows)
+    src, dst = (names.select(F.col("id").alias(end), F.col("name").alias(f"{end}_name")) for end in ("src", "dst"))
+    return found.edges.join(src, "src").join(dst, "dst")
+
+
+def _named_at_rows(found: mappers.Graph) -> DataFrame:
+    """Edges by the names that their rows bring, told apart by the digest of their
+    ids; only doubtful names are looked up."""
+    edges, names = found.edge_rows, _doubtful_names(found)
+    if names is None:
+        edges = edges.where("known")
+    else:
+        size = names.agg(F.sum(F.octet_length("id") + F.coalesce(F.octet_length("name"), F.lit(0)))).first()[0] or 0
+        for end in ("src", "dst"):
+            at_end = names.select(F.col("id").alias(end), F.struct("name").alias("own"))
+            edges = edges.join(F.broadcast(at_end) if size <= BROADCAST_BYTES else at_end, end, "left")
+            edges = edges.withColumn(f"{end}_name", F.when(F.col("own").isNotNull(), F.col("own.name")).otherwise(F.col(f"{end}_name")))
+            edges = edges.where(F.col("known") | F.col("own").isNotNull() if end == "dst" else F.lit(True)).drop("own")
+    digest = F.unhex(F.md5(F.concat_ws("\0", "src", "dst", "type"))).alias("digest")
+    return edges.where("once").select("src_name", "type", "dst_name").unionByName(edges.where("not once").select(digest, "src_name", "type", "dst_name").distinct().drop("digest"))
+
+
+def _doubtful_names(found: mappers.Graph) -> DataFrame | None:
+    """Names (id, name) of ids that rows name differently and of those nodes that an
+    edge doesn't know to be one; None if there are none.
+
+    Rows meet by a hash of the id; two ids that share one are looked up in vain.
+    """
+    at = lambda id_: F.xxhash64(id_).alias("at")
+    nodes = found.node_rows.select(at("id"), F.xxhash64("name").alias("named"), F.lit(0).alias("asked"))
+    ends = found.edge_rows.where("not known").select(at("dst"), F.lit(None).cast("long").alias("named"), F.lit(1).alias("asked"))
+    several, asked = F.min("named") != F.max("named"), F.min("named").isNotNull() & (F.max("asked") > 0)
+    doubts = materialise(nodes.unionByName(ends).groupBy("at").agg((several | asked).alias("doubt")).where("doubt").select("at"), "doubts")
+    names = None
+    if n := doubts.count():
+        names = materialise(_names(found.node_rows.join(F.broadcast(doubts) if 8 * n <= BROADCAST_BYTES else doubts, at("id") == doubts["at"], "left_semi")), "names")
+    discard(doubts)
+    return names
+
+
 def _sql(nodes: list[str], edges: list[str]) -> str:
     """nodes: SQL of type and b; edges: of a, type and b."""
     rows = [f"SELECT DISTINCT 'node' AS kind, NULL AS a, type, b FROM ({n})" for n in nodes]
@@ -319,8 +370,12 @@ def mapped_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
         causal_links=only(s(from_type=F.lit("fact"), from_content=fact, to_type=F.lit("claim"), to_content=claim)),
         questions=only(F.struct(_text("why ", key).alias("content"), none.alias("priority"), about, F.array(fact).alias("motivated_by_contents"))),
     )
-    d = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_list(chunk).alias("chunks"))
-    return named(mappers.map_extraction(d.select(_text("hash", F.col("o_custkey")).alias("source_hash"), _text("doc ", F.col("o_custkey")).alias("publisher"), "chunks")))
+    # Keys meet before chunks are made of them, since chunks are much longer.
+    orders = table(spark, sf_dir, "orders")
+    parts = max(orders.count() // CHUNKS, spark.sparkContext.defaultParallelism)
+    o = orders.select(_text("hash", F.col("o_custkey")).alias("source_hash"), "o_custkey", "o_orderkey").repartition(parts, "source_hash")
+    d = o.groupBy("source_hash").agg(F.min(_text("doc ", F.col("o_custkey"))).alias("publisher"), F.collect_list(chunk).alias("chunks"))
+    return named(mappers.map_extraction(d, parts))
 
 
 @query("""

@@ -12,12 +12,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from finloom.functions import ids, text
 from finloom.functions.finance import magnitude
 from finloom.operators import chains, dedup, graph, similarity
 from finloom.plans.catalog import query
 from finloom.session import table
+from finloom.storage import materialise_dealt
 
 # Source types and what they are normalised to; others stay.
 SOURCE_TYPES = {
@@ -41,7 +43,13 @@ AUTHORITIES = ("official", "analyst", "media", "blog", "social", "academic")
 @dataclass
 class Graph:
     """Nodes and edges, and the rows that they are the distinct ones of: what
-    aggregates rows anyway needn't shuffle them for that before."""
+    aggregates rows anyway needn't shuffle them for that before.
+
+    Edge rows may also bring the names that their own rows give both ends
+    (src_name, dst_name), so that names needn't be joined to all edges; whether dst
+    is a node of these rows (known; src is one); and whether no other row is of
+    the same edge (once).
+    """
 
     node_rows: DataFrame
     edge_rows: DataFrame
@@ -52,10 +60,11 @@ class Graph:
 
     @property
     def edges(self) -> DataFrame:
-        return self.edge_rows.distinct()
+        return self.edge_rows.select("src", "dst", "type").distinct()
 
     def __add__(self, other: Graph) -> Graph:
-        return Graph(self.node_rows.unionByName(other.node_rows), self.edge_rows.unionByName(other.edge_rows))
+        bare = [g.edge_rows.select("src", "dst", "type") for g in (self, other)]
+        return Graph(self.node_rows.unionByName(other.node_rows), bare[0].unionByName(bare[1]))
 
 
 def _nodes(df: DataFrame, label: str, id_: Column, name: Column, **props: Column) -> DataFrame:
@@ -69,6 +78,15 @@ def _edges(df: DataFrame, src: Column, dst: Column, kind: str) -> DataFrame:
     return found.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
 
 
+def _named_edges(df: DataFrame, src: Column, src_name: Column, dst: Column, dst_name: Column, kind: str, known: Column | None = None) -> DataFrame:
+    """Edges with the names of their ends."""
+    known = F.lit(True) if known is None else known
+    found = df.select(
+        src.alias("src"), dst.alias("dst"), F.lit(kind).alias("type"), src_name.alias("src_name"), dst_name.alias("dst_name"), known.alias("known"), F.lit(False).alias("once")
+    )
+    return found.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+
+
 def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -161,93 +179,117 @@ def map_forum(batches: DataFrame) -> Graph:
     )
 
 
-def map_extraction(documents: DataFrame) -> Graph:
+def map_extraction(documents: DataFrame, parts: int | None = None) -> Graph:
     """Extraction documents to chunks, entities, facts, claims, data points, periods,
     stances, authors and questions.
 
     documents: source_hash, publisher and chunks (chunk_index, content, entities,
     facts, claims, financial_datapoints, stances, causal_links, questions).
     Names that no entity of the document bears are dropped from edges.
+
+    Chunks are written once, dealt by source_hash into ``parts`` (as many as shuffles
+    have): what is looked up or told apart in a document, over windows and groups
+    that begin with it, isn't shuffled.
     """
     source = F.col("source_hash")
-    c = documents.select("source_hash", "publisher", F.explode("chunks").alias("c"))
+    parts = parts or int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    c = materialise_dealt(documents.select("source_hash", "publisher", F.explode("chunks").alias("c")), "chunks", "source_hash", parts)
     chunk = F.concat_ws("_chunk_", source, F.col("c.chunk_index").cast("string"))
-    found = lambda field: c.where(F.size(f"c.{field}") > 0).select("source_hash", chunk.alias("chunk"), F.posexplode(f"c.{field}").alias("place", "x"))
+    title = F.col("c.section_title")
+    found = lambda field: c.where(F.size(f"c.{field}") > 0).select("source_hash", "publisher", chunk.alias("chunk"), title.alias("title"), F.posexplode(f"c.{field}").alias("place", "x"))
 
     e = found("entities").where(given(F.col("x.name")))
     entity = ids.keyed_id("entity", F.col("x.name"), F.lower("x.entity_type"))
-    named = dedup.latest_wins(
-        e.select("source_hash", "chunk", "place", F.col("x.name").alias("about"), entity.alias("entity"), F.col("x.ticker").alias("ticker")),
-        ["source_hash", "about"],
-        ["chunk", "place"],
-    ).select(F.col("source_hash").alias("n_hash"), "about", "entity", "ticker")
-
-    def about(rows: DataFrame, own: Column, kind: str) -> DataFrame:
-        flat = rows.select("source_hash", own.alias("own"), F.explode("x.about_entities").alias("about"))
-        met = flat.join(named.withColumnRenamed("n_hash", "source_hash"), ["source_hash", "about"])
-        return _edges(met, F.col("own"), F.col("entity"), kind)
-
     facts = found("facts").where(given(F.col("x.content")))
     fact = ids.content_id(F.col("x.content"), "fact")
     claims = found("claims").where(given(F.col("x.content")))
     claim = ids.content_id(F.col("x.content"))
     points = found("financial_datapoints").where(given(F.col("x.metric_name")))
     point = ids.datapoint_id(source, F.col("x.metric_name"), F.coalesce("x.period_label", F.lit("")))
-    with_ticker = points.select("source_hash", "x", point.alias("point"), F.get("x.about_entities", F.lit(0)).alias("about")).join(
-        named.withColumnRenamed("n_hash", "source_hash"), ["source_hash", "about"], "left"
-    )
-    period = F.when(given(F.col("x.period_label")), F.concat_ws("_", F.nullif(F.col("ticker"), F.lit("")), F.col("x.period_label")))
     stances = found("stances").where(given(F.col("x.author_name")) & given(F.col("x.entity_name")))
     stance = ids.keyed_id("stance", F.col("x.author_name"), F.col("x.entity_name"), F.coalesce("x.as_of_date", F.lit("")))
     author = ids.keyed_id("author", F.col("x.author_name"), F.col("x.author_type"))
-    held = stances.select("source_hash", stance.alias("own"), F.col("x.entity_name").alias("about")).join(named.withColumnRenamed("n_hash", "source_hash"), ["source_hash", "about"])
-    based = stances.select(stance.alias("own"), F.explode("x.based_on_claims").alias("content"))
     questions = found("questions").where(given(F.col("x.content")))
     question = ids.content_id(F.col("x.content"), "question")
-
-    contents = union([
-        facts.select("source_hash", F.lit("fact").alias("kind"), F.col("x.content").alias("content"), fact.alias("id")),
-        claims.select("source_hash", F.lit("claim").alias("kind"), F.col("x.content").alias("content"), claim.alias("id")),
-        points.select("source_hash", F.lit("datapoint").alias("kind"), F.col("x.metric_name").alias("content"), point.alias("id")),
-    ])
-    keyed = contents.select(F.concat_ws("|", "source_hash", "kind", "content").alias("key"), "id").distinct()
-    causal = found("causal_links").select(
-        F.concat_ws("|", "source_hash", "x.from_type", "x.from_content").alias("from_key"), F.concat_ws("|", "source_hash", "x.to_type", "x.to_content").alias("to_key")
-    )
-    motivated = questions.select("source_hash", question.alias("own"), F.explode("x.motivated_by_contents").alias("content")).join(
-        contents.where("kind <> 'datapoint'"), ["source_hash", "content"]
-    ).groupBy("own", "content").agg(F.min_by("id", F.when(F.col("kind") == "fact", 0).otherwise(1)).alias("id"))
+    publisher, text_, metric, rating = F.col("publisher"), F.col("x.content"), F.col("x.metric_name"), F.col("x.rating")
+
+    def mentions(rows: DataFrame, kind: str, own: Column, name: Column, about: Column, label: Column | None = None) -> DataFrame:
+        label = F.lit(None).cast("string") if label is None else label
+        return rows.select("source_hash", about.alias("about"), F.lit(kind).alias("type"), own.alias("own"), name.alias("name"), label.alias("label"))
+
+    def met(rows: list[DataFrame]) -> DataFrame:
+        """Mentions with the last entity of their document that bears the name, if any."""
+        last = F.struct("chunk", "place", entity.alias("entity"), F.col("x.ticker").alias("ticker")).alias("last")
+        known = e.where(source.isNotNull()).select("source_hash", F.col("x.name").alias("about"), last)
+        every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*rows, known])
+        return every.withColumn("last", F.max("last").over(Window.partitionBy("source_hash", "about"))).where(F.col("type").isNotNull())
+
+    about = F.explode("x.about_entities")
+    of_period = mentions(points, "FOR_PERIOD", point, metric, F.get("x.about_entities", F.lit(0)), F.col("x.period_label"))
+    period = F.when(given(F.col("label")), F.concat_ws("_", F.nullif(F.col("last.ticker"), F.lit("")), F.col("label")))
+    to_period = F.col("type") == "FOR_PERIOD"
+    about_edges = met([
+        mentions(facts, "RELATES_TO", fact, text_, about),
+        mentions(claims, "ABOUT", claim, text_, about),
+        mentions(points, "RELATES_TO", point, metric, about),
+        mentions(stances, "ON_ENTITY", stance, rating, F.col("x.entity_name")),
+        mentions(questions, "ASKS_ABOUT", question, text_, about),
+        of_period,
+    ]).select(
+        F.col("own").alias("src"), F.when(to_period, period).otherwise(F.col("last.entity")).alias("dst"), "type",
+        F.col("name").alias("src_name"), F.when(to_period, F.col("label")).otherwise(F.col("about")).alias("dst_name"), F.lit(True).alias("known"), F.lit(False).alias("once"),
+    ).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+
+    of = lambda rows, kind, content, *more: rows.select("source_hash", F.lit(kind).alias("kind"), content.alias("content"), *more)
+    asked = questions.select("source_hash", F.explode("x.motivated_by_contents").alias("content"), text_.alias("own"))
+    answers = union([of(facts, "fact", text_), of(claims, "claim", text_)]).where(source.isNotNull())
+    best = F.max("kind").over(Window.partitionBy("source_hash", "content"))  # a fact before a claim
+    motivated = answers.unionByName(asked, allowMissingColumns=True).withColumn("kind", best).where(F.col("own").isNotNull() & F.col("kind").isNotNull())
+    motivated = motivated.groupBy("own", "content").agg(F.max("kind").alias("kind"))
+    motive = F.when(F.col("kind") == "fact", ids.content_id(F.col("content"), "fact")).otherwise(ids.content_id(F.col("content")))
+
+    based = stances.select("source_hash", F.explode("x.based_on_claims").alias("content"), stance.alias("own"), rating.alias("name"))
+    based = of(claims, "claim", text_).unionByName(based, allowMissingColumns=True)
+    based = based.withColumn("kind", F.max("kind").over(Window.partitionBy("source_hash", "content"))).where(F.col("own").isNotNull())
+
+    contents = union([of(facts, "fact", text_, fact.alias("id")), of(claims, "claim", text_, claim.alias("id")), of(points, "datapoint", metric, point.alias("id"))])
+    contents = contents.groupBy("source_hash", "kind", "content").agg(F.collect_set("id").alias("ids"))
+
+    def ends(links: DataFrame, end: str) -> DataFrame:
+        """Links with an id of their end, a row for each; those with an unknown end are dropped."""
+        every = links.withColumns({"kind": F.col(f"x.{end}_type"), "content": F.col(f"x.{end}_content")}).unionByName(contents, allowMissingColumns=True)
+        of_end = F.max("ids").over(Window.partitionBy("source_hash", "kind", "content"))
+        return every.withColumn("ids", of_end).where(F.col("x").isNotNull()).withColumn(end, F.explode("ids")).drop("kind", "content", "ids")
+
+    causal = ends(ends(found("causal_links").select("source_hash", "x"), "from"), "to")
 
     nodes = [
-        _nodes(documents, "Source", source, F.col("publisher")),
-        _nodes(c, "Chunk", chunk, F.col("c.section_title")),
+        _nodes(documents, "Source", source, publisher),
+        _nodes(c, "Chunk", chunk, title),
         _nodes(e, "Entity", entity, F.col("x.name"), entity_type=F.lower("x.entity_type"), ticker=F.col("x.ticker")),
-        _nodes(facts, "Fact", fact, F.col("x.content"), fact_type=F.col("x.fact_type"), as_of_date=F.col("x.as_of_date")),
-        _nodes(claims, "Claim", claim, F.col("x.content"), claim_type=F.col("x.claim_type"), sentiment=F.col("x.sentiment")),
-        _nodes(points, "FinancialDataPoint", point, F.col("x.metric_name"), value=F.col("x.value"), period=F.col("x.period_label")),
-        _nodes(with_ticker, "FiscalPeriod", period, F.col("x.period_label")),
-        _nodes(stances, "Stance", stance, F.col("x.rating"), as_of_date=F.col("x.as_of_date")),
+        _nodes(facts, "Fact", fact, text_, fact_type=F.col("x.fact_type"), as_of_date=F.col("x.as_of_date")),
+        _nodes(claims, "Claim", claim, text_, claim_type=F.col("x.claim_type"), sentiment=F.col("x.sentiment")),
+        _nodes(points, "FinancialDataPoint", point, metric, value=F.col("x.value"), period=F.col("x.period_label")),
+        _nodes(met([of_period]), "FiscalPeriod", period, F.col("label")),
+        _nodes(stances, "Stance", stance, rating, as_of_date=F.col("x.as_of_date")),
         _nodes(stances, "Author", author, F.col("x.author_name"), author_type=F.col("x.author_type")),
-        _nodes(questions, "Question", question, F.col("x.content"), priority=F.col("x.priority")),
+        _nodes(questions, "Question", question, text_, priority=F.col("x.priority")),
     ]
+    held = union([
+        rows.select("source_hash", id_.alias("dst"), F.lit(kind).alias("type"), "publisher", name.alias("name"))
+        for kind, rows, id_, name in (
+            ("CONTAINS_CHUNK", c, chunk, title), ("STATES_FACT", facts, fact, text_), ("MAKES_CLAIM", claims, claim, text_), ("HAS_DATAPOINT", points, point, metric), ("RAISES_QUESTION", questions, question, text_),
+        )
+    ]).where(source.isNotNull() & F.col("dst").isNotNull()).groupBy("source_hash", "dst", "type").agg(F.min("publisher").alias("src_name"), F.min("name").alias("dst_name"))
     edges = [
-        _edges(c, source, chunk, "CONTAINS_CHUNK"),
-        _edges(facts, source, fact, "STATES_FACT"),
-        _edges(facts, fact, F.col("chunk"), "EXTRACTED_FROM"),
-        about(facts, fact, "RELATES_TO"),
-        _edges(claims, source, claim, "MAKES_CLAIM"),
-        _edges(claims, claim, F.col("chunk"), "EXTRACTED_FROM"),
-        about(claims, claim, "ABOUT"),
-        _edges(points, source, point, "HAS_DATAPOINT"),
-        about(points, point, "RELATES_TO"),
-        _edges(with_ticker, F.col("point"), period, "FOR_PERIOD"),
-        _edges(stances, author, stance, "HOLDS_STANCE"),
-        _edges(held, F.col("own"), F.col("entity"), "ON_ENTITY"),
-        _edges(based, F.col("own"), ids.content_id(F.col("content")), "BASED_ON"),
-        _edges(questions, source, question, "RAISES_QUESTION"),
-        about(questions, question, "ASKS_ABOUT"),
-        _edges(motivated, F.col("own"), F.col("id"), "MOTIVATED_BY"),
-        similarity.resolve_endpoints(causal, keyed).withColumn("type", F.lit("CAUSES")),
+        held.select(source.alias("src"), "dst", "type", "src_name", "dst_name", F.lit(True).alias("known"), F.lit(True).alias("once")),
+        _named_edges(facts, fact, text_, F.col("chunk"), F.col("title"), "EXTRACTED_FROM"),
+        _named_edges(claims, claim, text_, F.col("chunk"), F.col("title"), "EXTRACTED_FROM"),
+        _named_edges(stances, author, F.col("x.author_name"), stance, rating, "HOLDS_STANCE"),
+        about_edges,
+        _named_edges(based, F.col("own"), F.col("name"), ids.content_id(F.col("content")), F.col("content"), "BASED_ON", F.col("kind").isNotNull()),
+        _named_edges(motivated, ids.content_id(F.col("own"), "question"), F.col("own"), motive, F.col("content"), "MOTIVATED_BY"),
+        _named_edges(causal, F.col("from"), F.col("x.from_content"), F.col("to"), F.col("x.to_content"), "CAUSES"),
     ]
     return Graph(union(nodes), union(edges))
 

@@ -6,7 +6,7 @@ import uuid
 
 import pytest
 
-from finloom.plans import mappers
+from finloom.plans import mapped, mappers
 from finloom.plans.mappers import Graph
 
 EXTRACTION = (
@@ -195,3 +195,52 @@ def test_edges_are_told_apart_once(spark):
     """Not in each kind of edge and again over all: every time is a shuffle of all edges."""
     plan = mappers.map_extraction(spark.createDataFrame([], EXTRACTION)).edges._jdf.queryExecution().optimizedPlan().toString()
     assert sum(line.lstrip(" :+-").startswith("Aggregate [src#") for line in plan.splitlines()) <= 1
+
+
+def chunk(at: int, **given) -> tuple:
+    """A chunk of the extraction schema with the given fields."""
+    fields = ("section_title", "content", "entities", "facts", "claims", "financial_datapoints", "stances", "causal_links", "questions")
+    return (at, *[given.get(f) for f in fields])
+
+
+def test_named_extraction_shuffles_edges_once(spark):
+    """Neither lookups in a document nor the names of ends are joined."""
+    chunks = [chunk(i, section_title=f"part {i}", entities=[("Apple", "Company", "AAPL")], facts=[(f"f{i}", "x", None, ["Apple"])]) for i in range(3)]
+    found = mapped.named(mappers.map_extraction(spark.createDataFrame([("h", "bank", chunks)], EXTRACTION), 3))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert "Join" not in plan
+    assert not any("source_hash" in line for line in exchanges)
+    assert sum("digest" in line for line in exchanges) == 1
+    assert found.where("kind = 'edge'").count() == 3 * 4
+
+
+@pytest.mark.parametrize("limit", [mapped.BROADCAST_BYTES, 0])
+def test_named_extraction_of_ids_with_several_names(spark, monkeypatch, limit):
+    """The least name that any row gives an id, as joins of all edges find it: titles
+    and publishers that differ by row, ratings of one stance, a claim that another
+    document makes, one that none does, and texts with the id of another kind."""
+    monkeypatch.setattr(mapped, "BROADCAST_BYTES", limit)
+    claims = [("will grow", "x", None, ["Apple", "Nobody"]), ("fact:f", "x", None, None)]
+    first = [
+        chunk(0, section_title="b", entities=[("Apple", "Company", "AAPL")], facts=[("f", "x", None, ["Apple"])], financial_datapoints=[("sales", 1.0, "FY1", ["Apple"]), ("sales", 1.0, "FY2", None)]),
+        chunk(0, entities=[("Apple", "Fund", "Z")], claims=claims, causal_links=[("datapoint", "sales", "claim", "will grow"), ("fact", "f", "claim", "none")]),
+        chunk(1, stances=[("Ann", "bank", "Apple", "Sell", None, ["will grow", "made elsewhere", "made nowhere", "fact:f"]), ("Ann", "bank", "Apple", "Buy", None, None)]),
+    ]
+    second = [
+        chunk(0, section_title="c", claims=[("made elsewhere", "x", None, ["Apple"])], facts=[("made elsewhere", "x", None, None)], questions=[("why?", None, ["Apple"], ["made elsewhere", "f"])]),
+        chunk(1, section_title="d", questions=[("why?", None, None, ["made elsewhere"])]),
+    ]
+    docs = [("h", "bank", first), ("h", "a bank", [chunk(2, section_title="e")]), ("g", None, second), ("g", "x", None), (None, "y", first), ("n", "z", None)]
+    g = mappers.map_extraction(spark.createDataFrame(docs, EXTRACTION), 3)
+    rows = lambda df: sorted((str(r.src_name), r.type, str(r.dst_name)) for r in df.collect())
+    got = rows(mapped._named_at_rows(g))
+    assert got == rows(mapped._named_by_joins(g))
+    assert ("Buy", "BASED_ON", "made elsewhere") in got and ("Buy", "BASED_ON", "f") in got and not any("made nowhere" in r for r in got)
+    assert ("a bank", "CONTAINS_CHUNK", "b") in got
+    assert sum(kind == "CAUSES" for _, kind, _ in got) == 4  # two of each document that begins so
+
+
+def test_named_extraction_looks_nothing_up_where_rows_agree(spark):
+    chunks = [chunk(i, section_title=f"part {i}", stances=[("Ann", "bank", "Apple", "Buy", None, ["made nowhere"])], entities=[("Apple", "Company", None)]) for i in range(2)]
+    assert mapped._doubtful_names(mappers.map_extraction(spark.createDataFrame([("h", "bank", chunks)], EXTRACTION), 2)) is None
